@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_features
+from . import q_features, q_prep, q_profiles
 
-MODULES = [q_features]
+MODULES = [q_features, q_profiles, q_prep]
 
 
 def all_queries() -> dict:
