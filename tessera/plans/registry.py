@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_boost, q_features, q_prep, q_profiles
+from . import q_boost, q_eval, q_features, q_prep, q_profiles
 
-MODULES = [q_features, q_profiles, q_prep, q_boost]
+MODULES = [q_features, q_profiles, q_prep, q_boost, q_eval]
 
 
 def all_queries() -> dict:
