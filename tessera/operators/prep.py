@@ -291,3 +291,22 @@ class ScalerModel(Model, HasInputCols, HasState, DefaultParamsReadable, DefaultP
         exprs = {c: (F.col(c).cast("double") - F.lit(center)) / F.lit(scale)
                  for c, (center, scale) in self.stats.items() if c in df.columns}
         return df.withColumns(exprs) if exprs else df
+
+
+class FeatureOperations(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A8 as a pipeline stage: the ordered operation list, stored as JSON."""
+
+    operations = Param(Params._dummy(), "operations", "operation list as JSON", TypeConverters.toString)
+    onError = Param(Params._dummy(), "onError", "skip or raise", TypeConverters.toString)
+
+    def __init__(self, operations: list | None = None, onError: str = "skip"):
+        super().__init__()
+        self._set(operations=json.dumps(operations or []), onError=onError)
+
+    def get_operations(self) -> list:
+        return json.loads(self.getOrDefault(self.operations))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from ..functions.ops import apply_operations
+        out, _ = apply_operations(df, self.get_operations(), self.getOrDefault(self.onError))
+        return out

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_boost, q_eval, q_features, q_prep, q_profiles
+from . import q_boost, q_eval, q_features, q_prep, q_profiles, q_train
 
-MODULES = [q_features, q_profiles, q_prep, q_boost, q_eval]
+MODULES = [q_features, q_profiles, q_prep, q_boost, q_eval, q_train]
 
 
 def all_queries() -> dict:

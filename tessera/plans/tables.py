@@ -42,3 +42,23 @@ LINEITEM_JOBS_SQL = """(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l
   CAST(l_quantity > 25 AS INTEGER) AS is_bulk, CAST(l_discount > 0.05 AS INTEGER) AS is_discounted,
   CAST(l_tax > 0.04 AS INTEGER) AS is_taxed
   FROM lineitem)"""
+
+
+def order_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: claimed, cost, quantity and line count from its
+    line items, plus order and customer attributes. Target: saving = claimed
+    - cost. The line-item aggregate is hash-partitioned on the order key, so
+    the join to orders reuses that partitioning."""
+    li = table(spark, sf_dir, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum("l_extendedprice").alias("claimed"), F.sum(cost_expr()).alias("cost"),
+        F.sum("l_quantity").alias("quantity"), F.count(F.lit(1)).alias("n_lines"),
+        F.max((F.col("l_returnflag") == "R").cast("int")).alias("has_return"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus",
+                                                   "o_orderpriority")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    jobs = (per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+            .join(cust, orders.o_custkey == cust.c_custkey, "left"))
+    return jobs.select("o_orderkey", "o_totalprice", "claimed", "cost", "quantity", "n_lines", "has_return",
+                       "o_orderstatus", "o_orderpriority", "c_acctbal", "c_mktsegment",
+                       (F.col("claimed") - F.col("cost")).alias("saving"))
