@@ -8,7 +8,7 @@ import os
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
-                             DefaultParamsWriter, MLReader, MLWriter)
+                             DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +37,16 @@ class HasState(Params):
 
 
 def settle_map(mapping: DataFrame) -> tuple[DataFrame, int]:
-    """Materialise a fitted map: small -> local relation, large -> checkpoint."""
-    n = mapping.count()
-    if n <= BROADCAST_ROWS:
-        spark = mapping.sparkSession
-        rows = mapping.collect()
-        return spark.createDataFrame(rows, mapping.schema), n
-    return cut_lineage(mapping), n
+    """Materialise a fitted map: small -> local relation, large -> checkpoint.
+
+    At most BROADCAST_ROWS + 1 rows are fetched to decide, so the driver
+    never receives an unbounded map.
+    """
+    rows = mapping.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) <= BROADCAST_ROWS:
+        return mapping.sparkSession.createDataFrame(rows, mapping.schema), len(rows)
+    big = cut_lineage(mapping)
+    return big, big.count()
 
 
 def lookup(df: DataFrame, mapping: DataFrame, n_rows: int, on_left, on_right) -> DataFrame:
@@ -77,7 +80,7 @@ class MapModelReader(MLReader):
         return inst
 
 
-class MapModel(Model, HasInputCols, HasState):
+class MapModel(Model, HasInputCols, HasState, MLWritable, MLReadable):
     """A fitted stage whose state is a DataFrame map, saved under ``data/``."""
 
     mapping: DataFrame | None = None

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stats import quantiles
-from .base import (DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState,
+from .base import (BROADCAST_ROWS, DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState,
                    MapModel, Model, Transformer, lookup, settle_map)
 from .ordered import global_rank
 
@@ -138,14 +138,26 @@ class LabelEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultParams
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
         ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull()).distinct()
-        ranked = global_rank(long, ["value"], "code", partition_by=["column_name"])
-        mapping, n = settle_map(ranked.select("column_name", "value", (F.col("code") - 1).cast("long").alias("code")))
+        small = long.limit(BROADCAST_ROWS + 1).collect()
+        if len(small) <= BROADCAST_ROWS:
+            # Bounded: codes are assigned from the sorted distinct values.
+            rows, by_col = [], {}
+            for r in small:
+                by_col.setdefault(r["column_name"], []).append(r["value"])
+            for c, values in by_col.items():
+                rows += [(c, v, i) for i, v in enumerate(sorted(values, key=lambda s: s.encode("utf-8")))]
+            mapping = df.sparkSession.createDataFrame(rows, "column_name string, value string, code long")
+            n = len(rows)
+        else:
+            ranked = global_rank(long, ["value"], "code", partition_by=["column_name"])
+            mapping, n = settle_map(ranked.select("column_name", "value",
+                                                  (F.col("code") - 1).cast("long").alias("code")))
         model = LabelEncoderModel(cols, n)
         model.mapping = mapping
         return model
 
 
-class LabelEncoderModel(MapModel, DefaultParamsReadable):
+class LabelEncoderModel(MapModel):
     def __init__(self, inputCols: Sequence[str] | None = None, n_rows: int = 0):
         super().__init__()
         self._setDefault(inputCols=[], state="{}")

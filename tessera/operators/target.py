@@ -62,7 +62,7 @@ class RareCategoryGrouper(Estimator, HasInputCols, DefaultParamsReadable, Defaul
         return model
 
 
-class RareCategoryModel(MapModel, DefaultParamsReadable):
+class RareCategoryModel(MapModel):
     version = Param(Params._dummy(), "version", "1 or 2", TypeConverters.toInt)
     otherLabel = Param(Params._dummy(), "otherLabel", "replacement label", TypeConverters.toString)
 
@@ -144,7 +144,7 @@ class TargetTierGrouper(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
         return model
 
 
-class TargetTierModel(MapModel, DefaultParamsReadable):
+class TargetTierModel(MapModel):
     def __init__(self, inputCols: Sequence[str] | None = None, n_rows: int = 0, edges: dict | None = None):
         super().__init__()
         self._setDefault(inputCols=[], state="{}")

@@ -90,12 +90,14 @@ def assign_folds(df: DataFrame, id_col: str, k: int, mode: str = "shuffle", labe
 
 
 def cross_validate(pipeline: Pipeline, param_maps: list[dict], folded: DataFrame, evaluator: Evaluator,
-                   parallelism: int = 2):
+                   parallelism: int = 2, k: int | None = None):
     """CrossValidator over a fold column; returns (best model, table of
     (param_map index, mean metric)). The fold-tagged input is cached once."""
     folded = folded.persist()
+    if k is None:
+        k = folded.agg(F.max("fold")).first()[0] + 1
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=param_maps or [{}], evaluator=evaluator,
-                        foldCol="fold", parallelism=parallelism, seed=42)
+                        foldCol="fold", numFolds=int(k), parallelism=parallelism, seed=42)
     model = cv.fit(folded)
     spark = folded.sparkSession
     rows = [(i, float(m), str({p.name: v for p, v in pm.items()}))
@@ -111,7 +113,8 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
     random draws; later ones perturb the best quarter so far by one step on
     one parameter. Returns (best model, trial log DataFrame)."""
     rng = random.Random(seed)
-    keys = [k for k in space if _param(learner, k) is not None]
+    k = folded.agg(F.max("fold")).first()[0] + 1
+    keys = [name for name in space if _param(learner, name) is not None]
     values = {k: list(space[k]) for k in keys}
     tried: dict[tuple, float] = {}
     best_model, best_score = None, None
@@ -129,8 +132,8 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
             cand = tuple(base)
             if cand in tried:
                 cand = rng.choice([c for c in all_combos if c not in tried])
-        pm = {_param(learner, k): values[k][j] for k, j in zip(keys, cand)}
-        model, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism)
+        pm = {_param(learner, name): values[name][j] for name, j in zip(keys, cand)}
+        model, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k)
         score = table.first()["metric"]
         tried[cand] = score
         if best_score is None or (score > best_score if larger else score < best_score):
