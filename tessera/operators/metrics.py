@@ -62,12 +62,17 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, classes: Sequence) ->
 
 
 def _per_class(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """tp, predicted count and support per class, from one (label, pred) count."""
+    """tp, predicted count and support per class from one (label, pred) count:
+    each cell is unpivoted into its true class and its predicted class and
+    summed once more (no joins)."""
     cells = df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("c"))
-    sup = cells.groupBy(F.col(label).alias("cls")).agg(F.sum("c").alias("support"))
-    prd = cells.groupBy(F.col(pred).alias("cls")).agg(F.sum("c").alias("predicted"))
-    tp = cells.where(F.col(label) == F.col(pred)).select(F.col(label).alias("cls"), F.col("c").alias("tp"))
-    per = sup.join(prd, "cls", "full").join(tp, "cls", "left").fillna(0, ["support", "predicted", "tp"])
+    both = cells.select(F.explode(F.array(
+        F.struct(F.col(label).alias("cls"), F.col("c").alias("support"), F.lit(0).cast("long").alias("predicted"),
+                 F.when(F.col(label) == F.col(pred), F.col("c")).otherwise(F.lit(0)).cast("long").alias("tp")),
+        F.struct(F.col(pred).alias("cls"), F.lit(0).cast("long").alias("support"), F.col("c").alias("predicted"),
+                 F.lit(0).cast("long").alias("tp")))).alias("e")).select("e.*")
+    per = both.groupBy("cls").agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"),
+                                  F.sum("tp").alias("tp"))
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     recall = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     f1 = F.when(F.col("precision") + F.col("recall") > 0,
