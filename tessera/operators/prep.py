@@ -322,3 +322,31 @@ class FeatureOperations(Transformer, DefaultParamsReadable, DefaultParamsWritabl
         from ..functions.ops import apply_operations
         out, _ = apply_operations(df, self.get_operations(), self.getOrDefault(self.onError))
         return out
+
+
+def column_kinds(df: DataFrame) -> dict[str, list[str]]:
+    """Numeric, text and 0/1-flag columns by schema (no job)."""
+    numeric = numeric_columns(df)
+    flags = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegerType, T.ByteType, T.ShortType,
+                                                                           T.BooleanType))
+             and (f.name.lower().startswith(("is_", "has_")) or isinstance(f.dataType, T.BooleanType))]
+    return {"numeric": [c for c in numeric if c not in flags], "text": string_columns(df), "flag": flags}
+
+
+def assert_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """P10: fail before a numeric learner if any feature is still text."""
+    text = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    if text:
+        raise ValueError(f"columns still hold text before a numeric model: {text}")
+    return df
+
+
+def impute_by_kind(df: DataFrame, numeric: Sequence[str], flags: Sequence[str], text: Sequence[str],
+                   text_fill: str = "missing") -> DataFrame:
+    """M5: median for numeric columns (fitted on ``df``), 0 for flags,
+    ``text_fill`` for text; one fit pass, one projection."""
+    model = NumericImputer(list(numeric), "median").fit(df) if numeric else None
+    out = model.transform(df) if model else df
+    exprs = {c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in flags}
+    exprs.update({c: F.coalesce(F.col(c), F.lit(text_fill)) for c in text})
+    return out.withColumns(exprs) if exprs else out

@@ -101,3 +101,16 @@ def split_rows(df: DataFrame, id_col: str, val_size: float, seed: int, exact: bo
     """Exact-size hash-order split, or the rank-free hash threshold."""
     s = train_valid_split(df, id_col, val_size, seed) if exact else hash_split(df, id_col, val_size, seed)
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "valid").drop("split")
+
+
+def route_columns(groups: dict[str, tuple[list, list[str]]], remainder: list[str] | None = None,
+                  output: str = "features") -> Pipeline:
+    """SC5: per-group stages (name -> (stages, output columns)) followed by one
+    assembler; columns not routed are dropped unless listed in ``remainder``."""
+    stages, cols = [], []
+    for _, (group_stages, out_cols) in groups.items():
+        stages += list(group_stages)
+        cols += list(out_cols)
+    cols += list(remainder or [])
+    stages.append(VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep"))
+    return Pipeline(stages=stages)

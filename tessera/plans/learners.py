@@ -47,6 +47,8 @@ def _spark_params(learner, params: dict, extra: dict | None = None) -> dict:
         name = mapping.get(k, k)
         if name == "featureSubsetStrategy" and isinstance(v, float):
             v = str(v)
+        if k == "alpha" and not learner.hasParam("regParam"):
+            continue
         if name == "impurity" and v in ("squared_error", "mse"):
             v = "variance"
         if learner.hasParam(name):
@@ -90,7 +92,11 @@ def create_learner(model_cfg: dict, seed: int = 42, features_col: str = "feature
         learner.setParams(**_spark_params(learner, params))
     elif t in ("neuralnetwork", "nn", "mlp"):
         if reg:
-            raise ValueError("MLP regression has no Spark learner; use a tree or linear learner")
+            from .mlp import MLPRegressor
+            return MLPRegressor(hidden=params.get("hidden_layer_sizes", (16,)), activation=params.get("activation", "relu"),
+                                alpha=params.get("alpha", 1e-4), learningRate=params.get("learning_rate_init", 1e-2),
+                                maxIter=params.get("max_iter", 100), seed=seed, featuresCol=features_col,
+                                labelCol=label_col)
         layers = params.get("layers")
         if not layers:
             raise ValueError("MLP classifier needs 'layers' (input, hidden..., classes)")

@@ -47,3 +47,10 @@ def prediction_summary_row(scored: DataFrame) -> dict:
     x = F.col("Predicted_Value")
     return scored.agg(F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
                       F.stddev_pop(x).alias("std")).first().asDict()
+
+
+def encode_on_batch(df: DataFrame, cols: list[str]) -> DataFrame:
+    """E5 (unsafe, kept for parity): label codes fitted on the scored batch
+    itself when no encoder was saved. Codes depend on the batch contents."""
+    from ..operators.prep import LabelEncoder
+    return LabelEncoder(cols).fit(df).transform(df)
