@@ -18,10 +18,13 @@ from .ordered import global_rank
 
 def train_valid_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42,
                       out: str = "split") -> DataFrame:
-    """The ceil(n * test_size) rows first in hash order are 'valid'."""
-    n = df.count()
-    n_valid = math.ceil(n * test_size)
+    """The ceil(n * test_size) rows first in hash order are 'valid'.
+
+    n is counted on the ranked (checkpointed) rows, so the source lineage is
+    evaluated once."""
     ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r")
+    n = ranked.count()
+    n_valid = math.ceil(n * test_size)
     return ranked.withColumn(out, F.when(F.col("__r") <= n_valid, F.lit("valid")).otherwise(F.lit("train"))).drop(
         "__h", "__r")
 
@@ -41,9 +44,9 @@ def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, out: str = "fo
 def contiguous_folds(df: DataFrame, id_col: str, k: int = 5, out: str = "fold") -> DataFrame:
     """T2b (regressors): unshuffled folds, contiguous in id order; the first
     n mod k folds hold one extra row."""
-    n = df.count()
-    q, rem = divmod(n, k)
     ranked = global_rank(df, [id_col], "__r")
+    n = ranked.count()
+    q, rem = divmod(n, k)
     r = F.col("__r") - 1
     big = rem * (q + 1)
     fold = F.when(r < big, F.floor(r / (q + 1))).otherwise(F.lit(rem) + F.floor((r - big) / max(q, 1)))
