@@ -79,7 +79,8 @@ def target_profile(df: DataFrame, col: str) -> DataFrame:
     """Mean, median, sample std, min, max, range and bias-corrected skew /
     excess kurtosis (pandas definitions) in one pass."""
     x = F.col(col).cast("double")
-    base = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.median(x).alias("median"),
+    median = quantiles(df, [col], [0.5])[col][0]  # exact, no single-task value map
+    base = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.lit(median).cast("double").alias("median"),
                   F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
                   F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"))
     n = F.col("n").cast("double")
