@@ -20,9 +20,9 @@ def train_valid_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed:
                       out: str = "split") -> DataFrame:
     """The ceil(n * test_size) rows first in hash order are 'valid'.
 
-    n is counted on the ranked (checkpointed) rows, so the source lineage is
-    evaluated once."""
-    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r")
+    The ranked rows are persisted: counting them fills the cache, and the
+    train / valid filters (read many times by training) reuse it."""
+    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r").persist()
     n = ranked.count()
     n_valid = math.ceil(n * test_size)
     return ranked.withColumn(out, F.when(F.col("__r") <= n_valid, F.lit("valid")).otherwise(F.lit("train"))).drop(
@@ -36,15 +36,16 @@ def hash_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 4
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Shuffled k-fold: (rank in hash order - 1) mod k."""
-    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r")
+    """Shuffled k-fold: (rank in hash order - 1) mod k (persisted: CV
+    reads it once per fit)."""
+    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r").persist()
     return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop("__h", "__r")
 
 
 def contiguous_folds(df: DataFrame, id_col: str, k: int = 5, out: str = "fold") -> DataFrame:
     """T2b (regressors): unshuffled folds, contiguous in id order; the first
     n mod k folds hold one extra row."""
-    ranked = global_rank(df, [id_col], "__r")
+    ranked = global_rank(df, [id_col], "__r").persist()
     n = ranked.count()
     q, rem = divmod(n, k)
     r = F.col("__r") - 1
@@ -56,5 +57,6 @@ def contiguous_folds(df: DataFrame, id_col: str, k: int = 5, out: str = "fold")
 def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42,
                      out: str = "fold") -> DataFrame:
     """T2b (classifiers): within each class, (rank in hash order - 1) mod k."""
-    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r", partition_by=[label])
+    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r",
+                         partition_by=[label]).persist()
     return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop("__h", "__r")

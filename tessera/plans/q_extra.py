@@ -176,3 +176,16 @@ def mlp_regressor(spark, sf):
     m = metrics.regression_metrics(model.transform(va), "label", "prediction").first().asDict()
     m["final_train_mse"] = model.stages[-1].history[-1]
     return _metrics_frame(spark, {k: v for k, v in m.items() if k != "n"})
+
+
+@q("score_probability")
+def score_probability(spark, sf):
+    """T16 + T26: a classifier scored in batch with the positive-class
+    probability stamped next to the prediction."""
+    from . import score
+    cfg = _cfg("randomforest", {"n_estimators": 10, "max_depth": 5}, task="classification", target="has_return")
+    rows = prepare_rows(_jobs(spark, sf, "has_return"), "has_return").drop("has_return")
+    plan = plan_features(rows.drop("label"), cfg)
+    tr, _ = split_rows(rows, ID, 0.2, 42)
+    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+    return score.score(model, _jobs(spark, sf, "has_return").drop("has_return"), keep=[ID], with_probability=True)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import itertools
 import logging
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,21 +91,37 @@ def assign_folds(df: DataFrame, id_col: str, k: int, mode: str = "shuffle", labe
 
 
 def cross_validate(pipeline: Pipeline, param_maps: list[dict], folded: DataFrame, evaluator: Evaluator,
-                   parallelism: int = 2, k: int | None = None):
-    """CrossValidator over a fold column; returns (best model, table of
-    (param_map index, mean metric)). The fold-tagged input is cached once."""
+                   parallelism: int = 4, k: int | None = None):
+    """K-fold CV over a fold column; returns (best model refitted on
+    all rows, table of (candidate, mean metric, params)).
+
+    Every (param map, fold) fit is an independent Spark job; they are
+    submitted from a thread pool, so folds run concurrently even with one
+    param map (CrossValidator only parallelises across param maps). The
+    fold-tagged input is cached once.
+    """
     folded = folded.persist()
     if k is None:
         k = folded.agg(F.max("fold")).first()[0] + 1
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=param_maps or [{}], evaluator=evaluator,
-                        foldCol="fold", numFolds=int(k), parallelism=parallelism, seed=42)
-    model = cv.fit(folded)
+    maps = param_maps or [{}]
+
+    def run(job):
+        i, f = job
+        model = pipeline.fit(folded.where(F.col("fold") != f), maps[i])
+        return i, f, float(evaluator.evaluate(model.transform(folded.where(F.col("fold") == f))))
+
+    jobs = [(i, f) for i in range(len(maps)) for f in range(int(k))]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(run, jobs))
+    means = [sum(m for i, _, m in results if i == j) / k for j in range(len(maps))]
+    pick = max if evaluator.isLargerBetter() else min
+    best_i = means.index(pick(means))
+    best = pipeline.fit(folded, maps[best_i])
     spark = folded.sparkSession
-    rows = [(i, float(m), str({p.name: v for p, v in pm.items()}))
-            for i, (m, pm) in enumerate(zip(model.avgMetrics, param_maps or [{}]))]
+    rows = [(i, means[i], str({p.name: v for p, v in pm.items()})) for i, pm in enumerate(maps)]
     table = spark.createDataFrame(rows, "candidate int, metric double, params string")
     folded.unpersist()
-    return model.bestModel, table
+    return best, table
 
 
 def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame, evaluator: Evaluator,

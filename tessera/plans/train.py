@@ -77,8 +77,8 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
             raise ValueError(f"Unsupported search method: {method}")
     else:
         maps = [{}]
-    best, cv_table = cross_validate(pipe, maps, folded, ev, parallelism=int(search.get("parallelism", 2)), k=k)
-    model = best if isinstance(best, PipelineModel) else pipe.fit(train_df)
+    best, cv_table = cross_validate(pipe, maps, folded, ev, parallelism=int(search.get("parallelism", 4)), k=k)
+    model = best
     m = evaluate_regression(model, train_df, valid_df) if task == "regression" else evaluate_classification(model, valid_df)
     best_cv = cv_table.agg(F.max("metric") if ev.isLargerBetter() else F.min("metric")).first()[0]
     m[f"CV_{scoring}"] = float(best_cv)
