@@ -94,8 +94,8 @@ FROM orders LEFT JOIN m ON CAST(o_custkey AS VARCHAR) = m.v WHERE o_orderdate >=
 def label_encode_unseen(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("cust_code"),
                                                "o_orderdate")
-    fit_rows = orders.where(F.col("o_orderdate") < F.lit(_CUTOFF).cast("timestamp"))
-    later = orders.where(F.col("o_orderdate") >= F.lit(_CUTOFF).cast("timestamp"))
+    fit_rows = orders.where(F.col("o_orderdate") < F.lit(_CUTOFF).cast("timestamp_ntz"))
+    later = orders.where(F.col("o_orderdate") >= F.lit(_CUTOFF).cast("timestamp_ntz"))
     model = prep.LabelEncoder(["cust_code"]).fit(fit_rows)
     return model.transform(later).select("o_orderkey", "cust_code")
 
@@ -149,7 +149,7 @@ _MIN_FREQ = 0.0008
 def _rare(version):
     def run(spark, sf):
         orders = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("customer"), "o_orderdate")
-        fit_rows = orders.where(F.col("o_orderdate") < F.lit(_RARE_CUTOFF).cast("timestamp"))
+        fit_rows = orders.where(F.col("o_orderdate") < F.lit(_RARE_CUTOFF).cast("timestamp_ntz"))
         model = target.RareCategoryGrouper(["customer"], _MIN_FREQ, version=version).fit(fit_rows)
         return model.transform(orders).groupBy("customer").agg(F.count(F.lit(1)).alias("n"))
     return run
