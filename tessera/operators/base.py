@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# A fitted map up to this many rows is collected and rebuilt as a small local
-# relation (cheap to broadcast); larger maps stay distributed and are joined.
+# A fitted map up to LOCAL_ROWS rows is fetched and rebuilt as a local
+# relation; larger maps stay distributed (checkpointed). Maps up to
+# BROADCAST_ROWS are broadcast in the lookup join, larger ones shuffle-joined.
+LOCAL_ROWS = 100_000
 BROADCAST_ROWS = 1_000_000
 
 
@@ -39,11 +41,11 @@ class HasState(Params):
 def settle_map(mapping: DataFrame) -> tuple[DataFrame, int]:
     """Materialise a fitted map: small -> local relation, large -> checkpoint.
 
-    At most BROADCAST_ROWS + 1 rows are fetched to decide, so the driver
-    never receives an unbounded map.
+    At most LOCAL_ROWS + 1 rows are fetched to decide, so the driver never
+    receives an unbounded map.
     """
-    rows = mapping.limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) <= BROADCAST_ROWS:
+    rows = mapping.limit(LOCAL_ROWS + 1).collect()
+    if len(rows) <= LOCAL_ROWS:
         return mapping.sparkSession.createDataFrame(rows, mapping.schema), len(rows)
     big = cut_lineage(mapping)
     return big, big.count()
@@ -94,4 +96,4 @@ class MapModel(Model, HasInputCols, HasState, MLWritable, MLReadable):
 
 
 __all__ = ["Estimator", "Model", "Transformer", "DefaultParamsReadable", "DefaultParamsWritable",
-           "HasInputCols", "HasState", "MapModel", "settle_map", "lookup", "BROADCAST_ROWS"]
+           "HasInputCols", "HasState", "MapModel", "settle_map", "lookup", "BROADCAST_ROWS", "LOCAL_ROWS"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stats import quantiles
-from .base import (BROADCAST_ROWS, DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState,
+from .base import (LOCAL_ROWS, DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState,
                    MapModel, Model, Transformer, lookup, settle_map)
 from .ordered import global_rank
 
@@ -138,8 +138,8 @@ class LabelEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultParams
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
         ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull()).distinct()
-        small = long.limit(BROADCAST_ROWS + 1).collect()
-        if len(small) <= BROADCAST_ROWS:
+        small = long.limit(LOCAL_ROWS + 1).collect()
+        if len(small) <= LOCAL_ROWS:
             # Bounded: codes are assigned from the sorted distinct values.
             rows, by_col = [], {}
             for r in small:

@@ -74,3 +74,16 @@ def test_stage_roundtrip(spark, jobs, tmp_dir):
     a = model.transform(df).orderBy("Job_Number").collect()
     b = again.transform(df).orderBy("Job_Number").collect()
     assert a == b
+
+
+def test_label_codes_distributed_path(spark, monkeypatch):
+    """Above the local bound the codes come from the distributed rank and the
+    map is joined without broadcast; results are the same."""
+    from tessera.operators import base
+    monkeypatch.setattr(prep, "LOCAL_ROWS", 2)
+    monkeypatch.setattr(base, "LOCAL_ROWS", 2)
+    monkeypatch.setattr(base, "BROADCAST_ROWS", 2)
+    df = spark.createDataFrame([(v,) for v in ["d", "b", "a", "c", "b"]], "x string")
+    model = prep.LabelEncoder(["x"]).fit(df)
+    got = [r.x for r in model.transform(spark.createDataFrame([("a",), ("d",), ("zz",)], "x string")).collect()]
+    assert sorted(got) == [-1, 0, 3]
