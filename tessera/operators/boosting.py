@@ -116,10 +116,11 @@ def exact_split_candidates(stats: DataFrame, x: str, lam: float = 1.0, f0: float
     distributed ranks (no single-partition window).
     """
     cols = _additive(f0)
-    ranked = global_rank(stats, [x], "__r")
-    pre = ordered_prefix(ranked, [x], {f"L_{c}": F.col(c) for c in cols})
+    # One range pass gives the rank (a running count) and the prefix sums.
+    pre = ordered_prefix(stats, [x], {"__r": F.lit(1), **{f"L_{c}": F.col(c) for c in cols}})
+    pre = pre.withColumn("__r", F.col("__r").cast("long"))
     totals = stats.agg(*[F.sum(c).alias(f"T_{c}") for c in cols])
-    nxt = ranked.select((F.col("__r") - 1).alias("__r"), F.col(x).alias("__next"))
+    nxt = pre.select((F.col("__r") - 1).alias("__r"), F.col(x).alias("__next"))
     cands = pre.join(nxt, "__r").crossJoin(F.broadcast(totals))
     return cands.select(F.col(x).alias("left_max"), ((F.col(x) + F.col("__next")) / F.lit(2.0)).alias("threshold"),
                         *_gain_columns(f0, lam))

@@ -148,10 +148,14 @@ def _model_dir(spark, name):
 
 @q("score_batch")
 def score_batch(spark, sf):
+    """Fit on the train split, save, load, score every order (source
+    columns carried, one write-ready plan). Model selection by CV lives in
+    the train_* flows."""
     cfg = _cfg("catboost", {"iterations": 10, "depth": 4})
-    res = train.train(spark, _jobs(spark, sf), cfg, ID)
+    plan, tr, _ = _prepared(spark, sf, cfg)
+    fitted = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
     path = _model_dir(spark, "model")
-    save_model(res.model, path)
+    save_model(fitted, path)
     model = load_model(path)
     new_rows = _jobs(spark, sf).drop("saving")
     return score.score(model, new_rows, cfg["data"], keep=[ID])
