@@ -38,7 +38,7 @@ _G = "(SELECT p_partkey, p_retailprice, p_size, -2.0 * (p_size - (SELECT avg(p_s
 _F0 = "(SELECT avg(p_size) FROM part)"
 
 
-@q("grad_hess", f"SELECT p_partkey, round(g, 9) AS g, h FROM {_G}")
+@q("grad_hess", f"SELECT p_partkey, round(g, 9) + 0.0 AS g, h FROM {_G}")
 def grad_hess(spark, sf):
     gh = boosting.grad_hess(_part(spark, sf), "p_size")
     return gh.select("p_partkey", F.round("g", 9).alias("g"), "h")
@@ -50,7 +50,7 @@ _BINS = f"""(SELECT p_partkey, p_size, g, h, CAST(CASE WHEN w = 0 THEN 0 ELSE le
 
 
 @q("grad_histogram", f"""
-SELECT CAST(r.range AS INTEGER) AS bin, coalesce(c.n, 0) AS count, round(coalesce(c.G, 0.0), 6) AS G,
+SELECT CAST(r.range AS INTEGER) AS bin, coalesce(c.n, 0) AS count, round(coalesce(c.G, 0.0), 6) + 0.0 AS G,
   round(coalesce(c.H, 0.0), 6) AS H, round(s.mn + r.range * s.w, 6) AS lower
 FROM range({N_BINS}) r LEFT JOIN (SELECT bin, count(*) AS n, sum(g) AS G, sum(h) AS H FROM {_BINS} GROUP BY bin) c
   ON r.range = c.bin,
@@ -70,8 +70,8 @@ def _gain_sql(src, extra_cols):
     h = "(2.0 * nt)"
     gain = (f"0.5 * ({gl} * {gl} / ({hl} + {LAMBDA}) + ({g} - {gl}) * ({g} - {gl}) / (({h} - {hl}) + {LAMBDA}) "
             f"- {g} * {g} / ({h} + {LAMBDA}))")
-    return (f"SELECT {extra_cols}, round({gain}, 4) AS gain, round(-{gl} / ({hl} + {LAMBDA}), 6) AS w_left, "
-            f"round(-({g} - {gl}) / (({h} - {hl}) + {LAMBDA}), 6) AS w_right FROM {src}")
+    return (f"SELECT {extra_cols}, round({gain}, 4) + 0.0 AS gain, round(-{gl} / ({hl} + {LAMBDA}), 6) + 0.0 AS w_left, "
+            f"round(-({g} - {gl}) / (({h} - {hl}) + {LAMBDA}), 6) + 0.0 AS w_right FROM {src}")
 
 
 @q("split_gain_hist", _gain_sql(f"""(
@@ -117,7 +117,7 @@ def split_exact(spark, sf):
 
 @q("leaf_weights", f"""
 SELECT CASE WHEN p_retailprice < {THRESHOLD} THEN 'left' ELSE 'right' END AS side, count(*) AS count,
-  round(sum(g), 6) AS G, round(sum(h), 6) AS H, round(-sum(g) / (sum(h) + {LAMBDA}), 6) AS weight
+  round(sum(g), 6) + 0.0 AS G, round(sum(h), 6) AS H, round(-sum(g) / (sum(h) + {LAMBDA}), 6) + 0.0 AS weight
 FROM {_G} GROUP BY 1""")
 def leaf_weights(spark, sf):
     gh = boosting.grad_hess(_part(spark, sf), "p_size")
