@@ -83,6 +83,7 @@ def apply_operations(df: DataFrame, operations: Iterable[Mapping], on_error: str
     exprs: dict[str, Column] = {}
     available = set(df.columns)
     applied: list[dict] = []
+    out = df
     for op in operations:
         op_name = op.get("operation") or op.get("type")
         if not op_name:
@@ -95,16 +96,17 @@ def apply_operations(df: DataFrame, operations: Iterable[Mapping], on_error: str
             if missing:
                 log.warning("operation %s skipped: missing inputs %s", op_name, missing)
                 continue
-            # Inline earlier outputs so the whole list is one Project.
-            col_args = [exprs.get(c, F.col(c)) for c in inputs]
-            exprs[output] = fn(col_args)
+            if any(c in exprs for c in inputs):
+                # depends on a pending output: materialise that level first
+                out, exprs = out.withColumns(exprs), {}
+            exprs[output] = fn([F.col(c) for c in inputs])
             available.add(output)
             applied.append({"name": op.get("name", op_name), "output": output, "inputs": inputs})
         except Exception:
             if on_error == "raise":
                 raise
             log.exception("failed to apply operation %s", op_name)
-    return (df.withColumns(exprs) if exprs else df), applied
+    return (out.withColumns(exprs) if exprs else out), applied
 
 
 # --- A9-A13: ratios and flags ---------------------------------------------------
