@@ -47,10 +47,14 @@ def evaluate_classification(model: PipelineModel, valid: DataFrame) -> dict:
     return {k: float(v) for k, v in s.items()}
 
 
-def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_split: bool = True) -> TrainResult:
+def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_split: bool = True,
+          fit_on: str = "train") -> TrainResult:
     """Features -> split -> (search | CV + fit) -> evaluate -> importance.
 
-    Stages are fitted on the train split only (no leakage into the valid rows).
+    ``fit_on="train"`` (default) fits fills, encoders and scaler inside each
+    training fold only (no leakage). ``fit_on="all"`` reproduces the
+    reference: those stages are fitted once on all rows before the split and
+    only the learner is trained per fold.
     """
     seed = int(cfg.get("random_state", 42))
     data, model_cfg = cfg["data"], cfg.get("model", {})
@@ -59,7 +63,13 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     rows = rows.drop(data["target_column"]) if data["target_column"] != "label" else rows
     train_df, valid_df = split_rows(rows, id_col, float(cfg.get("val_size", 0.2)), seed, exact_split)
     learner = create_learner(model_cfg, seed)
-    pipe = plan.pipeline(learner)
+    if fit_on == "all":
+        fitted_stages = Pipeline(stages=plan.stages).fit(rows)
+        pipe = Pipeline(stages=[fitted_stages, learner])
+    elif fit_on == "train":
+        pipe = plan.pipeline(learner)
+    else:
+        raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
     search = model_cfg.get("hyperparameter_search", {}) or {}
     scoring = search.get("scoring", "neg_root_mean_squared_error")
     k = int(search.get("cv", cfg.get("cv_folds", 3)))

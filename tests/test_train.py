@@ -15,7 +15,7 @@ def _cfg(model_type, **params):
             "model": {"type": model_type, "task": "regression", "params": params}}
 
 
-def test_factory_types():
+def test_factory_types(spark):
     assert type(learners.create_learner({"type": "catboost", "params": {"iterations": 5, "depth": 3}})).__name__ == \
         "GBTRegressor"
     assert type(learners.create_learner({"type": "randomforest", "task": "classification"})).__name__ == \
@@ -38,3 +38,10 @@ def test_train_save_score(spark, tmp_dir):
     scored = score.score(load_model(tmp_dir + "/m"), df.drop("saving"), keep=["o_orderkey"])
     assert scored.count() == df.count() and scored.where(F.col("Predicted_Value").isNull()).count() == 0
     assert set(scored.select("Model_Type").distinct().toPandas()["Model_Type"]) == {"decisiontree"}
+
+
+def test_fit_on_all_parity_mode(spark):
+    df = order_jobs(spark, SF_SMALL).select("o_orderkey", "o_totalprice", "quantity", "n_lines", "o_orderpriority",
+                                            "c_mktsegment", "saving")
+    res = train.train(spark, df, _cfg("linear"), "o_orderkey", fit_on="all")
+    assert res.metrics["RMSE"] > 0 and res.importance.count() >= 4
