@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import bins
+from ..functions.stats import quantiles
 from ..operators import metrics, profile, split
 from .tables import LINEITEM_JOBS_SQL as LJ
 from .tables import lineitem_jobs, table
@@ -226,8 +226,10 @@ FROM lineitem, (SELECT quantile_cont(l_extendedprice, [0.0, 0.2, 0.4, 0.6, 0.8,
 def mutual_info_binned(spark, sf):
     li = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", "l_tax")
     out = li
+    probs = [i / 5 for i in range(6)]
+    all_edges = quantiles(li, ["l_extendedprice", "l_tax"], probs)  # both columns in the same passes
     for src, name in [("l_extendedprice", "price_bin"), ("l_tax", "tax_bin")]:
-        edges = bins.quantile_edges(li, src, 5)
+        edges = all_edges[src]
         # Edges may repeat on coarse columns: each value goes to its first bin.
         expr = None
         for i in range(1, 5):
