@@ -126,7 +126,9 @@ class TargetTierGrouper(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
         return stats.withColumnRenamed("raw_mean", "mean")
 
     def _fit(self, df: DataFrame) -> TargetTierModel:
-        stats = self.category_means(df)
+        # One pass over the rows; the quantile passes below then read the
+        # small per-category table (local or checkpointed), not ``df``.
+        stats, _ = settle_map(self.category_means(df))
         parts, edges_by_col = [], {}
         for c in self.getInputCols():
             sc = stats.where(F.col("column_name") == c)
