@@ -112,18 +112,24 @@ class TargetTierGrouper(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
             self._set(inputCols=list(inputCols))
 
     def category_means(self, df: DataFrame) -> DataFrame:
-        """(column_name, value, n, mean) with mean smoothed when m > 0."""
+        """(column_name, value, n, mean) with mean smoothed when m > 0.
+
+        One grouped pass: groups keep the null value so the global prior
+        (mean of all non-null targets) is the count-weighted mean of each
+        column's groups; null values are dropped afterwards (pandas groupby).
+        ``n`` counts non-null targets, as pandas ``agg('count')``.
+        """
         y = self.getOrDefault(self.labelCol)
         m = self.getOrDefault(self.smoothing)
-        long = _unpivot(df, self.getInputCols(), [y]).where(F.col("value").isNotNull())
-        stats = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"),
-                                                          F.avg(F.col(y).cast("double")).alias("raw_mean"))
+        long = _unpivot(df, self.getInputCols(), [y])
+        target = F.col(y).cast("double")
+        groups = long.groupBy("column_name", "value").agg(F.count(target).alias("n"), F.sum(target).alias("__s"),
+                                                           F.avg(target).alias("mean"))
         if m > 0:
-            prior = df.agg(F.avg(F.col(y).cast("double")).alias("__prior"))
-            stats = stats.crossJoin(F.broadcast(prior)).withColumn(
-                "raw_mean", (F.col("n") * F.col("raw_mean") + F.lit(m) * F.col("__prior")) / (F.col("n") + F.lit(m))
-            ).drop("__prior")
-        return stats.withColumnRenamed("raw_mean", "mean")
+            prior = groups.groupBy("column_name").agg((F.sum("__s") / F.sum("n")).alias("__prior"))
+            groups = groups.join(F.broadcast(prior), "column_name").withColumn(
+                "mean", (F.col("n") * F.col("mean") + F.lit(m) * F.col("__prior")) / (F.col("n") + F.lit(m)))
+        return groups.where(F.col("value").isNotNull()).select("column_name", "value", "n", "mean")
 
     def _fit(self, df: DataFrame) -> TargetTierModel:
         # One pass over the rows; the quantile passes below then read the
