@@ -122,13 +122,20 @@ def order_statistics(df: DataFrame, cols: Sequence[str], ranks: dict[str, set[in
 def quantiles(df: DataFrame, cols: Iterable[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles of each column (one count pass,
     a few bracketing passes only for big inputs, one bounded fetch)."""
+    return quantiles_with(df, cols, probs)[0]
+
+
+def quantiles_with(df: DataFrame, cols: Iterable[str], probs: Sequence[float], extra_aggs: Sequence = ()):
+    """As ``quantiles``; ``extra_aggs`` (aliased aggregate Columns) ride along
+    in the first counting pass and come back as a Row."""
     cols = list(cols)
     probs = [float(p) for p in probs]
     if not cols:
-        return {}
+        return {}, (df.agg(*extra_aggs).first() if extra_aggs else None)
     x = {c: F.col(c).cast("double") for c in cols}
     row = df.agg(*[F.count_if(_valid(x[c])).alias(f"n_{c}") for c in cols],
-                 *[F.approx_count_distinct(F.when(_valid(x[c]), x[c])).alias(f"d_{c}") for c in cols]).first()
+                 *[F.approx_count_distinct(F.when(_valid(x[c]), x[c])).alias(f"d_{c}") for c in cols],
+                 *extra_aggs).first()
     counts = {c: int(row[f"n_{c}"]) for c in cols}
     distinct = {c: int(row[f"d_{c}"]) for c in cols}
     ranks = {c: ({r for p in probs for r in _positions(counts[c], p)[:2]} if counts[c] else set()) for c in cols}
@@ -146,7 +153,7 @@ def quantiles(df: DataFrame, cols: Iterable[str], probs: Sequence[float]) -> dic
             a, b = stats[(c, lo)], stats[(c, hi)]
             vals.append(a if hi == lo or pos == lo else a + (pos - lo) * (b - a))
         result[c] = vals
-    return result
+    return result, row
 
 
 def quantile_column(col: str, probs: Sequence[float], exact: bool = True):

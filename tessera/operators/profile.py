@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ops import row_sum
-from ..functions.stats import quantiles
+from ..functions.stats import quantiles, quantiles_with
 
 
 def null_report(df: DataFrame, cols: Sequence[str] | None = None, warn_pct: float = 5.0) -> DataFrame:
@@ -32,21 +32,18 @@ def null_report(df: DataFrame, cols: Sequence[str] | None = None, warn_pct: floa
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (exact), max per column."""
     cols = list(cols)
-    q = quantiles(df, cols, [0.25, 0.5, 0.75])
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column_name"),
-                     F.col(f"{c}__count").cast("long").alias("count"),
-                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                     F.col(f"{c}__min").alias("min"),
-                     F.lit(q[c][0]).cast("double").alias("p25"), F.lit(q[c][1]).cast("double").alias("p50"),
-                     F.lit(q[c][2]).cast("double").alias("p75"),
-                     F.col(f"{c}__max").alias("max")) for c in cols]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    # the moments ride along in the quantiles' first counting pass
+    q, st = quantiles_with(df, cols, [0.25, 0.5, 0.75], aggs)
+    rows = [(c, st[f"{c}__count"], st[f"{c}__mean"], st[f"{c}__std"], st[f"{c}__min"], q[c][0], q[c][1], q[c][2],
+             st[f"{c}__max"]) for c in cols]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, count long, mean double, std double, min double, p25 double, p50 double, "
+              "p75 double, max double")
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
@@ -79,16 +76,17 @@ def target_profile(df: DataFrame, col: str) -> DataFrame:
     """Mean, median, sample std, min, max, range and bias-corrected skew /
     excess kurtosis (pandas definitions) in one pass."""
     x = F.col(col).cast("double")
-    median = quantiles(df, [col], [0.5])[col][0]  # exact, no single-task value map
-    base = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.lit(median).cast("double").alias("median"),
-                  F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
-                  F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"))
-    n = F.col("n").cast("double")
-    skew = F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2)
-    kurt = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
-    return base.select("n", "mean", "median", "std", "min", "max",
-                       (F.col("max") - F.col("min")).alias("range"),
-                       skew.alias("skew"), kurt.alias("kurtosis"))
+    aggs = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+            F.max(x).alias("max"), F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2")]
+    q, st = quantiles_with(df, [col], [0.5], aggs)  # exact median; moments in the same first pass
+    n = float(st["n"])
+    skew = st["g1"] * (n * (n - 1)) ** 0.5 / (n - 2) if st["g1"] is not None and n > 2 else None
+    kurt = ((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * st["g2"] + 6)) if st["g2"] is not None and n > 3 else None
+    rng = (st["max"] - st["min"]) if st["max"] is not None else None
+    return df.sparkSession.createDataFrame(
+        [(st["n"], st["mean"], q[col][0], st["std"], st["min"], st["max"], rng, skew, kurt)],
+        "n long, mean double, median double, std double, min double, max double, range double, skew double, "
+        "kurtosis double")
 
 
 def iqr_outliers(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
