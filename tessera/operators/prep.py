@@ -204,13 +204,14 @@ class OneHotWide(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWr
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("v"))
             for c in cols])).alias("kv")).select("kv.*").distinct()
-        sizes = long.groupBy("k").count().collect()
-        too_big = [r["k"] for r in sizes if r["count"] > bound]
-        if too_big:
-            raise ValueError(f"one-hot of {too_big} exceeds {bound} categories; use the vector encoder")
+        # One bounded fetch: more than bound * len(cols) rows means some column is over the bound.
+        fetched = long.limit(bound * len(cols) + 1).collect()
         cats: dict[str, list[str]] = {c: [] for c in cols}
-        for r in long.collect():
+        for r in fetched:
             cats[r["k"]].append(r["v"])
+        too_big = [c for c, v in cats.items() if len(v) > bound]
+        if too_big or len(fetched) > bound * len(cols):
+            raise ValueError(f"one-hot of {too_big or cols} exceeds {bound} categories; use the vector encoder")
         return OneHotWideModel(cols, {c: sorted(v) for c, v in cats.items()}, self.getOrDefault(self.dropInput))
 
 
