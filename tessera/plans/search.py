@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import classification_scores
-from ..operators.split import contiguous_folds, kfold, stratified_folds
+from ..operators.split import contiguous_folds, hash_folds, kfold, stratified_folds
 from .learners import PARAM_MAP
 
 log = logging.getLogger(__name__)
@@ -82,7 +82,10 @@ def random_draws(learner, space: dict, n_iter: int, seed: int = 42) -> list[dict
 
 def assign_folds(df: DataFrame, id_col: str, k: int, mode: str = "shuffle", label: str = "label",
                  seed: int = 42) -> DataFrame:
-    """Shuffled, contiguous (regressor default) or stratified folds."""
+    """Shuffled, contiguous (regressor default), stratified, or
+    rank-free ``hash`` folds (no shuffle, expected sizes)."""
+    if mode == "hash":
+        return hash_folds(df, id_col, k, seed)
     if mode == "contiguous":
         return contiguous_folds(df, id_col, k)
     if mode == "stratified":

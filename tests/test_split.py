@@ -33,3 +33,10 @@ def test_hash_split_close(spark):
     df = spark.range(20000).withColumnRenamed("id", "k")
     share = split.hash_split(df, "k", 0.2).where("split = 'valid'").count() / 20000
     assert abs(share - 0.2) < 0.02
+
+
+def test_hash_folds_cover_all(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    f = split.hash_folds(df, "k", 5)
+    sizes = {r.fold: r["count"] for r in f.groupBy("fold").count().collect()}
+    assert set(sizes) == set(range(5)) and all(abs(v - 1000) < 150 for v in sizes.values())
