@@ -154,12 +154,3 @@ def quantiles_with(df: DataFrame, cols: Iterable[str], probs: Sequence[float], e
             vals.append(a if hi == lo or pos == lo else a + (pos - lo) * (b - a))
         result[c] = vals
     return result, row
-
-
-def quantile_column(col: str, probs: Sequence[float], exact: bool = True):
-    """An aggregate expression for group-wise quantiles inside one ``agg``
-    (exact ``percentile`` holds each group's values: use on bounded groups)."""
-    x = F.col(col).cast("double")
-    if exact:
-        return F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
-    return F.percentile_approx(x, [float(p) for p in probs], APPROX_ACCURACY)
