@@ -33,20 +33,19 @@ def equal_width_bins(df: DataFrame, col: str, n_bins: int, out: str = "bin",
                      right_closed: bool = True) -> DataFrame:
     """A15 (right-closed) and A20 (left-closed, clipped): bin index 0..n-1.
 
-    min/max come from one global aggregate that is cross-joined as one row.
+    min/max come from one global aggregate and are applied as literals.
     """
     x = F.col(col).cast("double")
-    stats = df.agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
-    w = (F.col("__mx") - F.col("__mn")) / F.lit(float(n_bins))
+    r = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
+    mn = F.lit(r["mn"]).cast("double")
+    w = (F.lit(r["mx"]).cast("double") - mn) / F.lit(float(n_bins))
     if right_closed:
-        raw = F.ceil((x - F.col("__mn")) / w) - 1
+        raw = F.ceil((x - mn) / w) - 1
     else:
-        raw = F.floor((x - F.col("__mn")) / w)
+        raw = F.floor((x - mn) / w)
     idx = F.when(w == 0, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(n_bins - 1)))
-    return (df.crossJoin(F.broadcast(stats))
-            .withColumn(out, F.when(x.isNull(), F.lit(None)).otherwise(idx.cast("int")))
-            .withColumn(f"{out}_width", w)
-            .withColumnRenamed("__mn", f"{out}_min").drop("__mx"))
+    return df.withColumns({out: F.when(x.isNull(), F.lit(None)).otherwise(idx.cast("int")),
+                           f"{out}_width": w, f"{out}_min": mn})
 
 
 def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:

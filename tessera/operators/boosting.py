@@ -30,8 +30,9 @@ def leaf_weight_expr(g: Column, h: Column, lam: float) -> Column:
 
 
 def with_base_score(df: DataFrame, label: str, name: str = "f0") -> DataFrame:
-    """Attach the global mean of ``label`` (one-row aggregate, cross-joined)."""
-    return df.crossJoin(F.broadcast(df.agg(F.avg(F.col(label).cast("double")).alias(name))))
+    """Attach the global mean of ``label`` (one-row aggregate, applied as a literal)."""
+    f0 = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    return df.withColumn(name, F.lit(f0).cast("double"))
 
 
 def grad_hess(df: DataFrame, label: str, pred: str | None = None) -> DataFrame:
@@ -55,22 +56,24 @@ def squared_loss_groups(df: DataFrame, keys: list[str], label: str, f0: float) -
 def histogram_bins(df: DataFrame, x: str, n_bins: int) -> tuple[DataFrame, DataFrame]:
     """Equal-width left-closed bin id 0..n-1 (max clipped into the last).
     Returns (rows with ``bin``, one-row (mn, width) table)."""
-    st = df.agg(F.min(F.col(x).cast("double")).alias("mn"), F.max(F.col(x).cast("double")).alias("mx")).select(
-        "mn", ((F.col("mx") - F.col("mn")) / F.lit(float(n_bins))).alias("width"))
-    b = F.when(F.col("width") == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(x).cast("double") - F.col("mn")) / F.col("width")), F.lit(n_bins - 1))).cast("int")
-    return df.crossJoin(F.broadcast(st)).withColumn("bin", b).drop("mn", "width"), st
+    r = df.agg(F.min(F.col(x).cast("double")).alias("mn"), F.max(F.col(x).cast("double")).alias("mx")).first()
+    mn, width = r["mn"], ((r["mx"] - r["mn"]) / float(n_bins) if r["mn"] is not None else None)
+    st = df.sparkSession.createDataFrame([(mn, width)], "mn double, width double")
+    b = F.when(F.lit(width) == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col(x).cast("double") - F.lit(mn)) / F.lit(width)), F.lit(n_bins - 1))).cast("int")
+    return df.withColumn("bin", b), st
 
 
 def gradient_histogram(df: DataFrame, x: str, n_bins: int, g: str = "g", h: str = "h") -> DataFrame:
     """Count, sum g and sum h per bin; empty bins are kept with zeros."""
     binned, st = histogram_bins(df, x, n_bins)
+    mn, width = st.first()
     agg = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.sum(g).alias("G"), F.sum(h).alias("H"))
     all_bins = df.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin"))
-    return (all_bins.join(agg, "bin", "left").crossJoin(F.broadcast(st))
+    return (all_bins.join(agg, "bin", "left")
             .select("bin", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
                     F.coalesce("G", F.lit(0.0)).alias("G"), F.coalesce("H", F.lit(0.0)).alias("H"),
-                    (F.col("mn") + F.col("bin") * F.col("width")).alias("lower")))
+                    (F.lit(mn) + F.col("bin") * F.lit(width)).alias("lower")))
 
 
 def _gh_from(prefix: str, f0: float | None) -> tuple[Column, Column]:
@@ -119,9 +122,9 @@ def exact_split_candidates(stats: DataFrame, x: str, lam: float = 1.0, f0: float
     # One range pass gives the rank (a running count) and the prefix sums.
     pre = ordered_prefix(stats, [x], {"__r": F.lit(1), **{f"L_{c}": F.col(c) for c in cols}})
     pre = pre.withColumn("__r", F.col("__r").cast("long"))
-    totals = stats.agg(*[F.sum(c).alias(f"T_{c}") for c in cols])
+    totals = stats.agg(*[F.sum(c).alias(f"T_{c}") for c in cols]).first()
     nxt = pre.select((F.col("__r") - 1).alias("__r"), F.col(x).alias("__next"))
-    cands = pre.join(nxt, "__r").crossJoin(F.broadcast(totals))
+    cands = pre.join(nxt, "__r").withColumns({f"T_{c}": F.lit(float(totals[f"T_{c}"])) for c in cols})
     return cands.select(F.col(x).alias("left_max"), ((F.col(x) + F.col("__next")) / F.lit(2.0)).alias("threshold"),
                         *_gain_columns(f0, lam))
 

@@ -36,8 +36,8 @@ def mape(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def baseline_comparison(train: DataFrame, valid: DataFrame, label: str, pred: str) -> DataFrame:
     """Model vs the train-mean baseline on the valid rows (float mean)."""
-    base = train.agg(F.avg(F.col(label).cast("double")).alias("__base"))
-    v = valid.crossJoin(F.broadcast(base))
+    base = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    v = valid.withColumn("__base", F.lit(base).cast("double"))
     y = F.col(label).cast("double")
     e, eb = y - F.col(pred).cast("double"), y - F.col("__base")
     agg = v.agg(F.avg(F.abs(e)).alias("mae"), F.avg(F.abs(eb)).alias("baseline_mae"),
@@ -129,9 +129,9 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (k * n_c)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = counts.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
-    return counts.crossJoin(F.broadcast(tot)).select(
-        label, "n_c", (F.col("n") / (F.col("k") * F.col("n_c"))).alias("weight"))
+    tot = counts.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k")).first()  # one row
+    return counts.select(label, "n_c", (F.lit(float(tot["n"])) / (F.lit(float(tot["k"])) * F.col("n_c")))
+                         .alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -148,7 +148,8 @@ def cv_summary(scores: DataFrame, score: str = "score") -> DataFrame:
 
 def overfit_gap(train_r2: DataFrame, test_r2: DataFrame) -> DataFrame:
     """Train R^2 - test R^2 with bands (< 0.1 ok, < 0.2 mild, else severe)."""
-    j = train_r2.select(F.col("r2").alias("train_r2")).crossJoin(test_r2.select(F.col("r2").alias("test_r2")))
+    tr, te = train_r2.first()["r2"], test_r2.first()["r2"]
+    j = train_r2.sparkSession.createDataFrame([(tr, te)], "train_r2 double, test_r2 double")
     gap = F.col("train_r2") - F.col("test_r2")
     return j.withColumn("gap", gap).withColumn(
         "band", F.when(gap < 0.1, F.lit("ok")).when(gap < 0.2, F.lit("mild")).otherwise(F.lit("severe")))

@@ -49,9 +49,8 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def value_shares(df: DataFrame, col: str) -> DataFrame:
     """Normalised value counts; nulls are left out of the denominator."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
-    total = counts.agg(F.sum("cnt").alias("__total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .select(col, "cnt", (F.col("cnt") / F.col("__total")).alias("share")))
+    total = df.agg(F.count(col)).first()[0]  # non-null rows, one scalar
+    return counts.select(col, "cnt", (F.col("cnt") / F.lit(float(total))).alias("share"))
 
 
 def grouped_mean(df: DataFrame, key: str, value: str, name: str = "mean") -> DataFrame:
@@ -107,18 +106,19 @@ def iqr_outliers(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
 def histogram(df: DataFrame, col: str, n_bins: int = 30) -> DataFrame:
     """Equal-width histogram (left-closed, last bin closed), empty bins kept."""
     x = F.col(col).cast("double")
-    st = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"))
-    w = (F.col("mx") - F.col("mn")) / F.lit(float(n_bins))
-    binned = df.select(x.alias("__x")).crossJoin(F.broadcast(st)).select(
+    r = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
+    mn = F.lit(r["mn"]).cast("double")
+    w = (F.lit(r["mx"]).cast("double") - mn) / F.lit(float(n_bins))
+    binned = df.select(
         F.when(w == 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("__x") - F.col("mn")) / w), F.lit(n_bins - 1))).cast("int").alias("bin"))
+            F.least(F.floor((x - mn) / w), F.lit(n_bins - 1))).cast("int").alias("bin"))
     counts = binned.where(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     spark = df.sparkSession
     all_bins = spark.range(n_bins).select(F.col("id").cast("int").alias("bin"))
-    return (all_bins.join(counts, "bin", "left").crossJoin(F.broadcast(st))
+    return (all_bins.join(counts, "bin", "left")
             .select("bin", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
-                    (F.col("mn") + F.col("bin") * w).alias("lower"),
-                    (F.col("mn") + (F.col("bin") + 1) * w).alias("upper")))
+                    (mn + F.col("bin") * w).alias("lower"),
+                    (mn + (F.col("bin") + 1) * w).alias("upper")))
 
 
 def flag_exclusivity(df: DataFrame, flags: Sequence[str]) -> DataFrame:

@@ -89,8 +89,9 @@ def split_gain_hist(spark, sf):
     binned, st = boosting.histogram_bins(part, "p_retailprice", N_BINS)
     agg = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.sum("p_size").alias("sum_y"))
     all_bins = spark.range(N_BINS).select(F.col("id").cast("int").alias("bin"))
-    hist = (all_bins.join(agg, "bin", "left").fillna(0, ["count", "sum_y"]).crossJoin(F.broadcast(st))
-            .withColumn("lower", F.col("mn") + F.col("bin") * F.col("width")))
+    mn, width = st.first()
+    hist = (all_bins.join(agg, "bin", "left").fillna(0, ["count", "sum_y"])
+            .withColumn("lower", F.lit(mn) + F.col("bin") * F.lit(width)))
     gains = boosting.histogram_split_gains(hist, LAMBDA, f0=f0)
     return gains.select("bin", F.round("threshold", 6).alias("threshold"), F.round("gain", 4).alias("gain"),
                         F.round("w_left", 6).alias("w_left"), F.round("w_right", 6).alias("w_right"))

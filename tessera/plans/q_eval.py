@@ -115,9 +115,9 @@ def baseline_improvement(spark, sf):
     s = split.train_valid_split(part, "p_partkey", 0.2, seed=42)
     train, valid = s.where(F.col("split") == "train"), s.where(F.col("split") == "valid")
     means = train.groupBy("p_type").agg(F.avg(F.col("p_size").cast("double")).alias("pred"))
-    base = train.agg(F.avg(F.col("p_size").cast("double")).alias("__b"))
-    scored = (valid.join(F.broadcast(means), "p_type", "left").crossJoin(F.broadcast(base))
-              .withColumn("pred", F.coalesce("pred", "__b")).drop("__b"))
+    base = train.agg(F.avg(F.col("p_size").cast("double"))).first()[0]
+    scored = (valid.join(F.broadcast(means), "p_type", "left")
+              .withColumn("pred", F.coalesce("pred", F.lit(base).cast("double"))))
     return _r(metrics.baseline_comparison(train, scored, "p_size", "pred"), 9)
 
 
