@@ -45,3 +45,23 @@ def test_fit_on_all_parity_mode(spark):
                                             "c_mktsegment", "saving")
     res = train.train(spark, df, _cfg("linear"), "o_orderkey", fit_on="all")
     assert res.metrics["RMSE"] > 0 and res.importance.count() >= 4
+
+
+def test_score_literal_rows_and_text_guard(spark, tmp_dir):
+    """A saved model scores hand-written rows; P10: text left before a
+    numeric learner is rejected."""
+    import pytest
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from tessera.operators import prep
+
+    train_rows = spark.createDataFrame([(float(x), float(2 * x + 1)) for x in range(20)], "x double, label double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
+                             learners.create_learner({"type": "linear"})]).fit(train_rows)
+    save_model(model, tmp_dir + "/lin")
+    literal = spark.createDataFrame([(100.0,)], "x double")
+    out = score.score(load_model(tmp_dir + "/lin"), literal).first()
+    assert abs(out.Predicted_Value - 201.0) < 1e-6 and out.Model_Type == "linear"
+    with pytest.raises(ValueError, match="text"):
+        prep.assert_numeric(spark.createDataFrame([("a", 1.0)], "c string, x double"), ["c", "x"])
