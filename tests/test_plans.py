@@ -69,3 +69,19 @@ def test_stream_scoring_matches_batch(spark, tmp_dir):
     want = {r.id: r.prediction for r in model.transform(df).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
     assert F is not None
+
+
+def test_batch_scorer_accepts_a_stream(spark, tmp_dir):
+    """T16 on a readStream frame: the same score() call, stamps included."""
+    from tessera.plans import score
+    df = _linear(spark, 60)
+    src = tmp_dir + "/in2"
+    df.drop("label").write.parquet(src)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="features"),
+                             learners.create_learner({"type": "linear"})]).fit(df)
+    stream = spark.readStream.schema(df.drop("label").schema).parquet(src)
+    scored = score.score(model, stream, keep=["id"])
+    assert scored.isStreaming
+    run_to_table(scored, "stream_score_fn", tmp_dir + "/ckpt2")
+    rows = spark.table("stream_score_fn").collect()
+    assert len(rows) == 60 and {r.Model_Type for r in rows} == {"linear"}
