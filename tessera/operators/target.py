@@ -40,11 +40,16 @@ class RareCategoryGrouper(Estimator, HasInputCols, DefaultParamsReadable, Defaul
     version = Param(Params._dummy(), "version", "1 or 2", TypeConverters.toInt)
     otherLabel = Param(Params._dummy(), "otherLabel", "replacement label", TypeConverters.toString)
 
-    def __init__(self, inputCols: Sequence[str] | None = None, minFrequency: float = 0.03, version: int = 1,
+    # Default share thresholds of the two versions.
+    DEFAULT_MIN_FREQUENCY = {1: 0.03, 2: 0.3}
+
+    def __init__(self, inputCols: Sequence[str] | None = None, minFrequency: float | None = None, version: int = 1,
                  otherLabel: str = "Other"):
         super().__init__()
         self._setDefault(inputCols=[])
-        self._set(minFrequency=minFrequency, version=version, otherLabel=otherLabel)
+        if minFrequency is None:
+            minFrequency = self.DEFAULT_MIN_FREQUENCY[version]
+        self._set(minFrequency=float(minFrequency), version=version, otherLabel=otherLabel)
         if inputCols is not None:
             self._set(inputCols=list(inputCols))
 
