@@ -57,6 +57,7 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     only the learner is trained per fold.
     """
     seed = int(cfg.get("random_state", 42))
+    fit_on = cfg.get("fit_on", fit_on)
     data, model_cfg = cfg["data"], cfg.get("model", {})
     rows = prepare_rows(df, data["target_column"])
     plan = plan_features(rows.drop("label"), cfg)
