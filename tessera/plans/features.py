@@ -8,6 +8,7 @@ encoders and scaler (the reference re-fits or drops them at scoring).
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
@@ -19,7 +20,10 @@ from ..operators import prep
 from ..operators.split import hash_split, train_valid_split
 from .learners import encoding_for
 
-KNOWN_PREP_KEYS = {"scale_features", "scaling_method", "categorical_encoding", "missing_strategy"}
+log = logging.getLogger(__name__)
+
+KNOWN_PREP_KEYS = {"scale_features", "scaling_method", "categorical_encoding", "missing_strategy",
+                   "handle_missing"}  # handle_missing is accepted for config compatibility; it has no effect
 
 
 @dataclass
@@ -48,6 +52,8 @@ def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None) -> Fe
     unknown = set(pre) - KNOWN_PREP_KEYS
     if unknown:
         raise ValueError(f"unknown preprocessing keys: {sorted(unknown)}")
+    if "handle_missing" in pre:
+        log.info("preprocessing.handle_missing has no effect; missing values are always filled")
     ops = fe.get("operations") or []
     cats = [c for c in (data.get("categorical_features") or []) if c in df.columns]
     cats += [c for c in prep.string_columns(df) if c not in cats and c != label]

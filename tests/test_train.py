@@ -65,3 +65,24 @@ def test_score_literal_rows_and_text_guard(spark, tmp_dir):
     assert abs(out.Predicted_Value - 201.0) < 1e-6 and out.Model_Type == "linear"
     with pytest.raises(ValueError, match="text"):
         prep.assert_numeric(spark.createDataFrame([("a", 1.0)], "c string, x double"), ["c", "x"])
+
+
+def test_plan_accepts_shipped_config_shape(spark):
+    """A config shaped like the reference's neural-network config (with its
+    inert handle_missing key and a categorical_handling block) plans fine;
+    a misspelled key is rejected."""
+    import pytest
+
+    from tessera.plans.features import plan_features
+    df = spark.createDataFrame([(1, 10.0, "a", 1.0)], "Job_Number long, Job_Value double, Estimator string, y double")
+    cfg = {"data": {"target_column": "y", "categorical_features": ["Estimator"]},
+           "feature_engineering": {"preprocessing": {"scale_features": True, "scaling_method": "standard",
+                                                     "categorical_encoding": "onehot", "handle_missing": True,
+                                                     "missing_strategy": "mean"},
+                                   "categorical_handling": {"fillna": "Unknown", "encoding": "onehot"}},
+           "model": {"type": "neuralnetwork"}}
+    plan = plan_features(df.drop("y"), cfg)
+    assert plan.summary["encoding_method"] == "onehot"
+    cfg["feature_engineering"]["preprocessing"]["scaling_methd"] = "minmax"
+    with pytest.raises(ValueError, match="unknown preprocessing keys"):
+        plan_features(df.drop("y"), cfg)
