@@ -53,11 +53,25 @@ def evaluator_for(scoring: str, label: str = "label") -> Evaluator:
     raise ValueError(f"unknown scoring {scoring}")
 
 
+# Search-space names of the MLP regressor and its Params.
+MLP_PARAM_MAP = {"hidden_layer_sizes": "hidden", "learning_rate_init": "learningRate", "max_iter": "maxIter"}
+
+
 def _param(learner, name: str):
-    spark_name = PARAM_MAP.get(name, name)
+    """The learner's Param for a reference parameter name: mapped name first,
+    then the name itself; None when Spark has no twin."""
+    candidates = [PARAM_MAP.get(name, name), MLP_PARAM_MAP.get(name, name), name]
     if type(learner).__name__.startswith("RandomForest") and name == "n_estimators":
-        spark_name = "numTrees"
-    return learner.getParam(spark_name) if learner.hasParam(spark_name) else None
+        candidates.insert(0, "numTrees")
+    for spark_name in candidates:
+        if learner.hasParam(spark_name):
+            return learner.getParam(spark_name)
+    return None
+
+
+def _convert(param, value):
+    # featureSubsetStrategy is a string Param ("0.8", "sqrt", ...)
+    return str(value) if param.name == "featureSubsetStrategy" else value
 
 
 def grid(learner, space: dict) -> list[dict]:
@@ -68,7 +82,7 @@ def grid(learner, space: dict) -> list[dict]:
         if p is None:
             log.info("search parameter %s has no Spark twin; ignored", k)
             continue
-        b = b.addGrid(p, list(values))
+        b = b.addGrid(p, [_convert(p, v) for v in values])
     return b.build()
 
 
@@ -152,7 +166,7 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
             cand = tuple(base)
             if cand in tried:
                 cand = rng.choice([c for c in all_combos if c not in tried])
-        pm = {_param(learner, name): values[name][j] for name, j in zip(keys, cand)}
+        pm = {_param(learner, name): _convert(_param(learner, name), values[name][j]) for name, j in zip(keys, cand)}
         model, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k)
         score = table.first()["metric"]
         tried[cand] = score

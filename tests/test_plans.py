@@ -85,3 +85,16 @@ def test_batch_scorer_accepts_a_stream(spark, tmp_dir):
     run_to_table(scored, "stream_score_fn", tmp_dir + "/ckpt2")
     rows = spark.table("stream_score_fn").collect()
     assert len(rows) == 60 and {r.Model_Type for r in rows} == {"linear"}
+
+
+def test_shipped_search_spaces_map_to_spark_params(spark):
+    gbt = learners.create_learner({"type": "xgboost"})
+    maps = search.grid(gbt, {"n_estimators": [300, 400], "learning_rate": [0.05], "max_depth": [3],
+                             "min_child_weight": [1, 2], "subsample": [0.8], "colsample_bytree": [0.6, 0.8],
+                             "gamma": [0.1], "reg_alpha": [0.1]})
+    assert len(maps) == 4
+    assert {m[gbt.getParam("featureSubsetStrategy")] for m in maps} == {"0.6", "0.8"}
+    mlp = learners.create_learner({"type": "neuralnetwork", "task": "regression"})
+    maps = search.grid(mlp, {"hidden_layer_sizes": [[50], [100, 50]], "activation": ["relu", "tanh"],
+                             "alpha": [0.001], "learning_rate_init": [0.01], "batch_size": [32]})
+    assert len(maps) == 4 and {tuple(m[mlp.getParam("hidden")]) for m in maps} == {(50,), (100, 50)}
