@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .op07_simhash import op7_simhash
+from .op09_suffix import op9_suffix
 
 QUERIES = {
     "op7_simhash": op7_simhash,
+    "op9_suffix": op9_suffix,
 }
 
 ORACLES: dict[str, str] = {}
