@@ -5,11 +5,13 @@ from __future__ import annotations
 from .op06_quality import op6_quality
 from .op07_simhash import op7_simhash
 from .op09_suffix import op9_suffix
+from .op10_decontaminate import op10_decontaminate
 
 QUERIES = {
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op9_suffix": op9_suffix,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}

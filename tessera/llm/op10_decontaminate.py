@@ -1,0 +1,197 @@
+"""Benchmark decontamination by greedy string tiling.
+
+Documents and benchmark items become lower-cased word tokens. A shared run of
+``seed`` tokens joins a document to an item; for each joined pair the longest
+common token runs are marked greedily, longest first and without overlap (a
+running Karp-Rabin hash finds the runs of each length), down to ``seed``
+tokens. The share of the item's tokens under tiles is its coverage, whatever
+the order of the tiles, so a passage cut up and reordered still counts. A pair
+is contaminated at a coverage of ``threshold`` or more.
+
+The benchmark is read in blocks of at most about 32 MB of text. Each block is
+broadcast and meets all documents in one pass, so any benchmark size works.
+
+Defined results: null and word-less texts match nothing; an item with fewer
+than ``seed`` words is seeded by its whole length; repeated rows and ties are
+reported for each row (leftmost run first); empty tables give no rows; columns
+other than ids and texts are not read by the search and pass the filter.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .bytesops import groups, mix, span_hash, spans
+from .common import table
+
+SEED = 5
+THRESHOLD = 0.8
+BLOCK_BYTES = 32 << 20
+CHUNK = 1 << 18
+FILTER_BITS = 22
+
+_WORD = np.array([bytes([c]).isalnum() or c > 127 for c in range(256)])
+
+
+def word_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of all texts, and each text's number of words."""
+    raw = [t.lower().encode("utf-8", "replace") + b" " for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    start, end = spans(_WORD[data])
+    stop = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+    return span_hash(data, start, end), np.diff(np.concatenate(([0], np.searchsorted(start, stop))))
+
+
+def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Karp-Rabin hash of the ``n`` words from every place on."""
+    if len(words) < n:
+        return np.empty(0, np.uint64)
+    h = np.zeros(len(words) - n + 1, np.uint64)
+    for j in range(n):
+        h = h * np.uint64(0xD6E8FEB86659FD93) + words[j:j + len(h)]
+    return mix(h)
+
+
+def greedy_tiles(item: list[int], runs: list[list[int]], least: int) -> list[tuple[int, int, int, int]]:
+    """Greedy string tiling of ``item`` against token runs: ``(item place, run, run place, length)``.
+
+    Lengths go down from the longest possible; at each one a table of the
+    item's unmarked stretches is met by the unmarked stretches of the runs.
+    """
+    free = [True] * len(item)
+    open_runs = [[True] * len(r) for r in runs]
+    tiles, left = [], len(item)
+    for n in range(min(len(item), max(map(len, runs))), least - 1, -1):
+        if left < n:
+            continue
+        places: dict[tuple, list[int]] = {}
+        for i in range(len(item) - n + 1):
+            if all(free[i:i + n]):
+                places.setdefault(tuple(item[i:i + n]), []).append(i)
+        for r, (run, is_open) in enumerate(zip(runs, open_runs)):
+            for j in range(len(run) - n + 1) if places else ():
+                if is_open[j] and all(is_open[j:j + n]):
+                    for i in places.get(tuple(run[j:j + n]), ()):
+                        if all(free[i:i + n]):
+                            free[i:i + n] = [False] * n
+                            is_open[j:j + n] = [False] * n
+                            tiles.append((i, r, j, n))
+                            left -= n
+                            break
+    return tiles
+
+
+class BenchmarkBlock:
+    """Items of one block and the table of their seeds."""
+
+    def __init__(self, items: list[tuple[int, str]], seed: int = SEED, threshold: float = THRESHOLD):
+        self.seed, self.threshold = seed, threshold
+        words, count = word_tokens([t for _, t in items])
+        self.ids = [i for (i, _), n in zip(items, count) if n]
+        self.tokens = [w.tolist() for w, n in zip(np.split(words, np.cumsum(count)[:-1]), count) if n] if len(items) else []
+        by_length: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for k, toks in enumerate(self.tokens):
+            n = min(seed, len(toks))
+            by_length.setdefault(n, []).append((np.unique(gram_hashes(np.array(toks, np.uint64), n)), k))
+        self.seeds = {}
+        for n, found in by_length.items():
+            h = np.concatenate([x for x, _ in found])
+            of = np.repeat([k for _, k in found], [len(x) for x, _ in found])
+            order = np.argsort(h, kind="stable")
+            maybe = np.zeros(1 << FILTER_BITS, bool)
+            maybe[h >> np.uint64(64 - FILTER_BITS)] = True
+            self.seeds[n] = (h[order], of[order], maybe)
+
+    def _joined(self, words: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """(document, item) -> (place, length) of the shared seeds."""
+        out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for n, (known, of, maybe) in self.seeds.items():
+            h = gram_hashes(words, n)
+            at = np.flatnonzero(maybe[h >> np.uint64(64 - FILTER_BITS)])
+            at = at[doc[at] == doc[at + n - 1]]
+            lo, hi = np.searchsorted(known, h[at], "left"), np.searchsorted(known, h[at], "right")
+            for p, x, y in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+                for k in of[x:y].tolist():
+                    out.setdefault((int(doc[p]), k), []).append((p, n))
+        return out
+
+    def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """``(text index, item id, item words, covered words, tiles)`` of every joined pair."""
+        out = []
+        for b, e in groups([len(t) for t in texts], CHUNK):
+            words, count = word_tokens(texts[b:e])
+            doc = np.repeat(np.arange(b, e), count)
+            for (d, k), hits in self._joined(words, doc).items():
+                runs, stop = [], -1
+                for p, n in hits:  # places ascend; a tile of at least a seed lies inside a run of seeds
+                    if p <= stop:
+                        runs[-1][1] = stop = max(stop, p + n)
+                    else:
+                        runs.append([p, p + n])
+                        stop = p + n
+                item = self.tokens[k]
+                tiles = greedy_tiles(item, [words[x:y].tolist() for x, y in runs], min(self.seed, len(item)))
+                out.append((d, self.ids[k], len(item), sum(t[3] for t in tiles), len(tiles)))
+        return out
+
+    def contaminated(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        return [m for m in self.matches(texts) if m[3] >= self.threshold * m[2]]
+
+
+def benchmark_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", seed: int = SEED,
+                     threshold: float = THRESHOLD) -> Iterator:
+    """Broadcast blocks of the benchmark, each of at most about ``BLOCK_BYTES`` of text."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("text is not null")
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = -(-total // BLOCK_BYTES)
+    for k in range(n):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
+        yield spark.sparkContext.broadcast(BenchmarkBlock(sorted((r.item_id, r.text) for r in rows), seed, threshold))
+
+
+def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
+    """``(doc_id, item_id, item_words, covered_words, n_tiles, coverage)`` of every contaminated pair."""
+    schema = "doc_id long, item_id long, item_words int, covered_words int, n_tiles int"
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def search(block):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = block.value.contaminated(batch.column("text").to_pylist())
+                ids = batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, *(pa.array([f[c] for f in found], pa.int64() if c == 1 else pa.int32()) for c in range(1, 5))],
+                    names=["doc_id", "item_id", "item_words", "covered_words", "n_tiles"])
+        return run
+
+    out = docs.sparkSession.createDataFrame([], schema)
+    for block in benchmark_blocks(benchmark, seed=seed, threshold=threshold):
+        out = out.union(texts.mapInArrow(search(block), schema))
+    return out.withColumn("coverage", F.col("covered_words") / F.col("item_words"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", seed: int = SEED,
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text contains no benchmark item; all columns pass, nothing is shuffled."""
+    def keep(block):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                mask = np.ones(batch.num_rows, bool)
+                mask[[f[0] for f in block.value.contaminated([t or "" for t in batch.column(text_col).to_pylist()])]] = False
+                yield batch.filter(pa.array(mask))
+        return run
+
+    for block in benchmark_blocks(benchmark, seed=seed, threshold=threshold):
+        docs = docs.mapInArrow(keep(block), docs.schema)
+    return docs
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
