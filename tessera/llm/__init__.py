@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from .op05_packing import op5_packing
 from .op06_quality import op6_quality
 from .op07_simhash import op7_simhash
 from .op09_suffix import op9_suffix
 from .op10_decontaminate import op10_decontaminate
 
 QUERIES = {
+    "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op9_suffix": op9_suffix,
