@@ -14,6 +14,8 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -178,6 +180,16 @@ def quality_scores(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_c
     return arrow_map(id_text(docs, id_col, text_col), run, "doc_id long, score double")
 
 
+def quality_filter(docs: DataFrame, chain: Chain, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more; all columns pass, nothing is shuffled."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array(chain.quality(texts) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = fit_quality(docs, table(spark, sf_dir, "labels"))

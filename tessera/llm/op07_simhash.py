@@ -7,7 +7,8 @@ two segments that differ in one bit or none share a form. Forms are equality
 keys; every pair met under a key is verified on all 64 bits.
 
 Defined results: null and word-less texts have fingerprint zero and link like
-any other; repeated rows share a fingerprint; an empty table gives no rows;
+any other; repeated rows share a fingerprint; rows with a null id get a
+fingerprint but link to nothing (null component); an empty table gives no rows;
 columns other than the id and the text are not read.
 """
 
@@ -112,7 +113,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``(doc_id, fp, component_id)``: the smallest id reachable over pairs within ``distance`` bits."""
     spark = docs.sparkSession
     fps = settle(fingerprints(docs, id_col, text_col, shingle))
-    classes = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    classes = settle(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
     keyed = classes.select(F.explode(F.array(*_forms(F.col("fp"), distance))).alias("key"), "fp", "rep")
     edges = (keyed.repartition("key").sortWithinPartitions("key", "fp")
              .mapInArrow(_verify(distance), "u long, v long").distinct())
@@ -120,7 +121,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = settle(classes.join(labels, "rep", "left")
                    .select("fp", F.coalesce("component", "rep").alias("component_id")))
     discard(spark, classes, labels)
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+    return fps.join(named, "fp", "left").select("doc_id", "fp", component)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

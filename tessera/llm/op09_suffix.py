@@ -256,12 +256,19 @@ def _cut(batch: pa.RecordBatch) -> dict:
         kept.append(b"".join(parts))
         removed.append(cut)
         spans.append(n)
-    return {"doc_id": batch.column("doc_id"), "kept": kept, "n_removed": removed, "n_spans": spans,
-            "n_bytes": [len(k) + r for k, r in zip(kept, removed)]}
+    out = {"doc_id": batch.column("doc_id"), "kept": kept, "n_removed": removed, "n_spans": spans,
+           "n_bytes": [len(k) + r for k, r in zip(kept, removed)]}
+    if "carry" in batch.schema.names:
+        out["carry"] = batch.column("carry")
+    return out
+
 
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, kept, n_bytes, n_removed, n_spans)``: ``kept`` the bytes no repeated ``span``-byte string covers.
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """``(doc_id, kept, n_bytes, n_removed, n_spans)``: ``kept`` the bytes no repeated ``span``-byte string covers."""
+    Columns named in ``carry`` come along in a struct column ``carry``.
+    """
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
     found = settle(arrow_map(texts.select("row", "text"), _anchor_rows(span),
@@ -277,8 +284,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     covered = settle(runs.mapInArrow(_all_runs(span), "row long, s long, e long"))
     discard(spark, found, again)
     spans = covered.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
-    return arrow_map(texts.join(spans, "row", "left"), _cut,
-                     "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    schema = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
+    if carry:
+        own = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), own.alias("text"),
+                            F.struct(*carry).alias("carry")).withColumn("row", F.xxhash64("doc_id", "text"))
+        schema += f", carry {texts.schema['carry'].dataType.simpleString()}"
+    return arrow_map(texts.join(spans, "row", "left"), _cut, schema)
 
 
 def _all_runs(span: int):
