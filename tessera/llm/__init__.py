@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from .op02_token_counts import op2_token_counts
 from .op05_packing import op5_packing
 from .op06_quality import op6_quality
 from .op07_simhash import op7_simhash
+from .op08_toxicity import op8_toxicity
 from .op09_suffix import op9_suffix
 from .op10_decontaminate import op10_decontaminate
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
     "op9_suffix": op9_suffix,
     "op10_decontaminate": op10_decontaminate,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FOLDS = 5
+LONGEST = 1 << 16  # bytes of a text that a training sample may hold
 
 
 def held_out(doc_id="doc_id") -> F.Column:
@@ -16,8 +17,8 @@ def held_out(doc_id="doc_id") -> F.Column:
 def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text bytes, y)`` of at most ``per_class`` labelled documents of either class outside
-    the held-out fold, chosen by a hash of the id (the same at every run). Null labels take no part;
-    of contradicting rows the larger label counts."""
+    the held-out fold, chosen by a hash of the id (the same at every run), without texts over ``LONGEST``
+    bytes. Null labels take no part; of contradicting rows the larger label counts."""
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out())
              .groupBy("doc_id").agg(F.max("y").alias("y")))
@@ -26,4 +27,5 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
     ids = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    text = text.where(F.octet_length("text") <= LONGEST)
     return text.join(F.broadcast(ids), "doc_id")  # at most 2 x per_class ids
