@@ -42,6 +42,7 @@ GAP = -(1 << 18)  # code of what is no letter; any id with it stays negative
 
 SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+")
 APART = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")  # letters set apart: i d i o t
+MARKS = re.compile(r"[^\w\n]+|_+")
 # look-alike characters (fixed values)
 _LOOKALIKE = str.maketrans("01345789@$!|", "oieastbgasii")
 
@@ -79,8 +80,9 @@ def subsequences(marked: list[str]):
 
 
 def marked(words: list[str]) -> list[str]:
-    """Words with their begin and end marked as letters."""
-    return ["\1" + w.translate(_LOOKALIKE) + "\2" for w in words]
+    """Words in letters only, look-alikes replaced, with begin and end marked as letters."""
+    plain = MARKS.sub("", "\n".join(words).translate(_LOOKALIKE)).split("\n")
+    return ["\1" + w + "\2" for w in plain]
 
 
 class WordKernel:
@@ -156,9 +158,7 @@ def pick_landmarks(docs: list[list[list[str]]], y: np.ndarray, n: int, least: fl
     seen, total = (Counter(), Counter()), [1, 1]
     for label in (0, 1):  # distinct sentences: copies of a document say nothing new
         for ws in {frozenset(ws) for s, own in zip(docs, y.tolist()) if own == label for ws in s}:
-            words = {w.strip(".,;:!?\"'()").translate(_LOOKALIKE) for w in ws}
-            seen[label].update({"\1" + w[:k] + "\2" * (k == len(w)) for w in words for k in {*range(4, 9), len(w)}
-                                if 3 <= len(w[:k]) <= 24})
+            seen[label].update({w[:k] for w in marked(list(ws)) for k in {*range(5, 10), len(w)} if 5 <= len(w[:k]) <= 26})
             total[label] += 1
     n0, n1 = total
     score = {}
