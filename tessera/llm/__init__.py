@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op01_warc import ORACLE as OP1_SQL, op1_warc
 from .op02_token_counts import op2_token_counts
 from .op05_packing import op5_packing
 from .op06_quality import op6_quality
@@ -11,6 +12,7 @@ from .op09_suffix import op9_suffix
 from .op10_decontaminate import op10_decontaminate
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
@@ -20,4 +22,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
