@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .op01_warc import ORACLE as OP1_SQL, op1_warc
 from .op02_token_counts import op2_token_counts
+from .op03_chat import ORACLE as OP3_SQL, op3_chat
+from .op04_ann import ORACLE as OP4_SQL, op4_ann
 from .op05_packing import op5_packing
 from .op06_quality import op6_quality
 from .op07_simhash import op7_simhash
@@ -14,6 +16,8 @@ from .op10_decontaminate import op10_decontaminate
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
+    "op3_chat": op3_chat,
+    "op4_ann": op4_ann,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
@@ -22,4 +26,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op3_chat": OP3_SQL, "op4_ann": OP4_SQL}
