@@ -15,7 +15,7 @@ from tessera.llm.op05_packing import pack_documents
 from tessera.llm.op06_quality import fit_quality, quality_filter
 from tessera.llm.op07_simhash import simhash_components
 from tessera.llm.op09_suffix import suffix_dedup
-from tessera.llm.op10_decontaminate import decontaminate
+from tessera.llm.op10_tiling import decontaminate
 from tessera.llm.tokens import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")

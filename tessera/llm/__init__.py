@@ -11,7 +11,7 @@ from .op06_quality import op6_quality
 from .op07_simhash import op7_simhash
 from .op08_toxicity import op8_toxicity
 from .op09_suffix import op9_suffix
-from .op10_decontaminate import op10_decontaminate
+from .op10_tiling import op10_decontaminate
 
 QUERIES = {
     "op1_warc": op1_warc,
