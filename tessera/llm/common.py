@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..session import discard, settle  # noqa: F401  (re-exported for the operators)
 
 
+SLICE_BYTES = 4 << 20  # a function sees about so much of a batch at a time, which bounds its memory
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,8 +34,9 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
     types = [f.type for f in to_arrow_schema(_parse_datatype_string(schema))]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            step = max(1, whole.num_rows // (whole.nbytes // SLICE_BYTES + 1))
+            for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
                 cols = fn(batch)
                 yield pa.RecordBatch.from_arrays(
                     [cols[n] if isinstance(cols[n], pa.Array) else pa.array(cols[n], type=t)

@@ -30,6 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,8 +110,8 @@ def _anchor_rows(span: int):
     def run(batch: pa.RecordBatch) -> dict:
         rows = batch.column("row").to_numpy()
         found = anchors(batch.column("text").to_pylist(), span)
-        return {"row": rows[found["i"]], "a": found["a"], "lo": found["lo"].astype(np.int32),
-                "hi": found["hi"].astype(np.int32), "h": found["h"], "lead": found["lead"].astype(np.int32)}
+        return {"row": rows[found["i"]], "place": (found["a"] << 20) | (found["lo"] << 10) | found["hi"],
+                "h": found["h"], "lead": found["lead"].astype(np.int32)}
 
     return run
 
@@ -120,46 +121,51 @@ def _rank(lead: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (lead.astype(np.int64) << 32) + (h.astype(np.int64) >> 32)
 
 
-def _splitters(again: DataFrame, buckets: int, sample: int = 200) -> np.ndarray:
-    """Bucket bounds of even weight from at most about ``sample`` repeated anchors a bucket."""
-    total = again.count()
-    rows = again.sample(min(1.0, sample * buckets / max(total, 1)), seed=7).select("lead", "h", "n").toPandas()
-    if not len(rows):
-        return np.empty(0, np.int64)
-    rank = _rank(rows["lead"].to_numpy(), rows["h"].to_numpy())
-    order = np.argsort(rank)
-    weight = np.cumsum(np.minimum(rows["n"].to_numpy(), PER_BLOCK)[order])
-    return np.unique(rank[order][np.searchsorted(weight, weight[-1] * np.arange(1, buckets) / buckets)])
+def _splitters(found: DataFrame, buckets: int, sample: int = 200) -> np.ndarray:
+    """Bucket bounds of even weight from a sample of about ``sample`` anchors a bucket."""
+    share = min(1.0, sample * buckets / max(found.count(), 1))
+    rows = found.sample(share, seed=7).select("lead", "h").toPandas()
+    rank = np.sort(_rank(rows["lead"].to_numpy(), rows["h"].to_numpy()))
+    return np.unique(rank[len(rank) * np.arange(1, buckets) // buckets]) if len(rank) else rank
 
 
 PIECES = "bucket int, h long, block int, row long, s long, multi boolean, piece binary"
 
 
 def _pieces(cuts: np.ndarray, span: int):
-    """Documents with their repeated anchors -> pieces; equal ones of a batch leave as one marked ``multi``
-    (rows without a piece say that all windows from ``s`` are repeated, ``block`` being their number)."""
+    """Documents with their repeated anchors -> pieces; equal ones of a slice leave as one marked ``multi``
+    (rows without a piece say that the ``block`` windows from ``s`` on are repeated)."""
+    names = ("bucket", "h", "block", "row", "s", "multi", "piece")
+
     def run(batch: pa.RecordBatch) -> dict:
-        names = ("bucket", "h", "block", "row", "s", "multi", "piece")
         keep: dict[tuple, list] = {}
-        rows: list[tuple] = []
+        known: dict[int, list[list[int]]] = {}
         cand = batch.column("cand")
         flat, offsets = cand.flatten(), np.concatenate(([0], np.cumsum(cand.value_lengths().to_numpy())))
-        a, lo, hi, h, n = (flat.field(c).to_numpy() for c in ("a", "lo", "hi", "h", "n"))
-        bucket = np.searchsorted(cuts, _rank(flat.field("lead").to_numpy(), h), side="right").tolist()
+        place, h, n = (flat.field(c).to_numpy() for c in ("place", "h", "n"))
         ways = np.clip(n // PER_BLOCK + 1, 1, span).tolist()
-        a, lo, hi, h = a.tolist(), lo.tolist(), hi.tolist(), h.tolist()
-        for k, (doc, text) in enumerate(zip(batch.column("row").to_pylist(), batch.column("text").to_pylist())):
-            for j in range(offsets[k], offsets[k + 1]):
+        place = place.tolist()
+        for k, (doc, raw) in enumerate(zip(batch.column("row").to_pylist(), batch.column("text").to_pylist())):
+            text = unpack(raw)
+            for j in sorted(range(offsets[k], offsets[k + 1]), key=place.__getitem__):
+                a, lo, hi = place[j] >> 20, place[j] >> 10 & 1023, place[j] & 1023
                 width = -(-span // ways[j])
-                for block in range(lo[j] // width, hi[j] // width + 1):
-                    s = a[j] - min(hi[j], block * width + width - 1)
-                    e = a[j] - max(lo[j], block * width) + span
-                    piece = text[s:e]
-                    seen = keep.setdefault((h[j], block, piece), [bucket[j], doc, s, None])
-                    if seen[1] != doc or seen[2] != s:
-                        seen[3] = True
-                        rows.append((0, 0, e - s - span + 1, doc, s, True, None))
-        rows += [(b, key[0], key[1], doc, s, multi, key[2]) for key, (b, doc, s, multi) in keep.items()]
+                for block in range(hi // width, lo // width - 1, -1):
+                    s, e = a - min(hi, block * width + width - 1), a - max(lo, block * width) + span
+                    lead = int.from_bytes(text[a:a + 4], "big") - (1 << 31)
+                    if (seen := keep.setdefault((int(h[j]), block, text[s:e]), [lead, doc, s, None]))[3] is None:
+                        seen[3] = False
+                        continue
+                    seen[3] = True
+                    runs = known.setdefault(doc, [])
+                    if runs and runs[-1][0] <= s <= runs[-1][1] - span + 1:  # neighbouring pieces: one row
+                        runs[-1][1] = max(runs[-1][1], e)
+                    else:
+                        runs.append([s, e])
+        rows = [(0, 0, e - s - span + 1, doc, s, True, None) for doc, runs in known.items() for s, e in runs]
+        bucket = np.searchsorted(cuts, _rank(np.array([v[0] for v in keep.values()], np.int64),
+                                             np.array([key[0] for key in keep], np.int64)), side="right").tolist()
+        rows += [(b, key[0], key[1], doc, s, multi, key[2]) for b, (key, (_, doc, s, multi)) in zip(bucket, keep.items())]
         return dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
 
     return run
@@ -241,9 +247,20 @@ def _bucket_runs(span: int):
     return run
 
 
+def unpack(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
+def _packed(batch: pa.RecordBatch) -> dict:
+    """Texts compressed, since they are shuffled twice."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return {n: list(map(pack, batch.column(n).to_pylist())) if n == "text" else batch.column(n) for n in batch.schema.names}
+
+
 def _cut(batch: pa.RecordBatch) -> dict:
     kept, removed, spans = [], [], []
-    for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
+    for raw, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
+        text = unpack(raw)
         parts, at, cut, n = [], 0, 0, 0
         for s, e in sorted((r["s"], r["e"]) for r in runs or ()):
             if s > at or not n:
@@ -271,26 +288,28 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
-    found = settle(arrow_map(texts.select("row", "text"), _anchor_rows(span),
-                             "row long, a long, lo int, hi int, h long, lead int"))
-    again = settle(found.groupBy("h").agg(F.first("lead").alias("lead"), F.count("*").alias("n")).where("n > 1"))
-    cuts = _splitters(again, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cand = (found.join(again.select("h", "n"), "h").groupBy("row")
-            .agg(F.collect_list(F.struct("a", "lo", "hi", "h", "n", "lead")).alias("cand")))
-    pieces = arrow_map(texts.select("row", "text").join(cand, "row"), _pieces(cuts, span), PIECES)
+    found = settle(arrow_map(texts.select("row", "text"), _anchor_rows(span), "row long, place long, h long, lead int"))
+    again = settle(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    cuts = _splitters(found, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cand = (found.select("row", "place", "h").join(again, "h").groupBy("row")
+            .agg(F.collect_list(F.struct("place", "h", "n")).alias("cand")))
+    packed = arrow_map(texts.select("row", "text"), _packed, "row long, text binary")
+    pieces = arrow_map(packed.join(cand, "row"), _pieces(cuts, span), PIECES)
     # rows without a piece need no meeting: they are dealt by their own place
     to = F.when(F.col("piece").isNull(), F.xxhash64("row", "s")).otherwise(F.xxhash64("bucket", "block"))
     runs = pieces.withColumn("to", to).repartition("to").sortWithinPartitions("h", "block")
     covered = settle(runs.mapInArrow(_all_runs(span), "row long, s long, e long"))
     discard(spark, found, again)
     spans = covered.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
-    schema = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
+    schema, extra = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", ""
     if carry:
         own = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
         texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), own.alias("text"),
                             F.struct(*carry).alias("carry")).withColumn("row", F.xxhash64("doc_id", "text"))
-        schema += f", carry {texts.schema['carry'].dataType.simpleString()}"
-    return arrow_map(texts.join(spans, "row", "left"), _cut, schema)
+        extra = f", carry {texts.schema['carry'].dataType.simpleString()}"
+    names = ["doc_id", "row", "text", *["carry"] * bool(extra)]
+    packed = arrow_map(texts.select(*names), _packed, "doc_id long, row long, text binary" + extra)
+    return arrow_map(packed.join(spans, "row", "left"), _cut, schema + extra)
 
 
 def _all_runs(span: int):
