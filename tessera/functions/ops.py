@@ -76,8 +76,8 @@ def apply_operations(df: DataFrame, operations: Iterable[Mapping], on_error: str
 
     Each op is ``{name?, operation|type, inputs, output}``. Ops without a name
     are skipped. With ``on_error="skip"`` (training) failures are logged and
-    the op is left out; with ``"raise"`` (scoring) they propagate. Ops whose
-    inputs are missing are skipped with a warning and not reported as applied.
+    the op is left out, as are ops whose inputs are missing (a warning; not
+    reported as applied); with ``"raise"`` (scoring) all of these raise.
     All outputs land in one projection.
     """
     exprs: dict[str, Column] = {}
@@ -94,6 +94,8 @@ def apply_operations(df: DataFrame, operations: Iterable[Mapping], on_error: str
             inputs, output = list(op["inputs"]), op["output"]
             missing = [c for c in inputs if c not in available]
             if missing:
+                if on_error == "raise":
+                    raise ValueError(f"operation {op_name}: missing inputs {missing}")
                 log.warning("operation %s skipped: missing inputs %s", op_name, missing)
                 continue
             if any(c in exprs for c in inputs):

@@ -35,8 +35,15 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-class CategoricalBaseline(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Listed plus all string columns -> string, null and 'nan' -> 'Unknown'."""
+def number(c: str) -> F.Column:
+    """A column as double with NaN as null: NaN is a missing value everywhere."""
+    return F.nullif(F.col(c).cast("double"), F.lit(float("nan")))
+
+
+class FeatureCopies(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Copies source columns to ``<col>__f``; later stages work on the copies, so sources reach the output unchanged."""
+
+    SUFFIX = "__f"
 
     def __init__(self, inputCols: Sequence[str] | None = None):
         super().__init__()
@@ -45,7 +52,24 @@ class CategoricalBaseline(Transformer, HasInputCols, DefaultParamsReadable, Defa
             self._set(inputCols=list(inputCols))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        cols = list(dict.fromkeys([c for c in self.getInputCols() if c in df.columns] + string_columns(df)))
+        return df.withColumns({c + self.SUFFIX: F.col(c) for c in self.getInputCols()}) if self.getInputCols() else df
+
+
+class CategoricalBaseline(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Listed plus (unless ``listedOnly``) all string columns -> string, null and 'nan' -> 'Unknown'."""
+
+    listedOnly = Param(Params._dummy(), "listedOnly", "leave unlisted text columns alone", TypeConverters.toBoolean)
+
+    def __init__(self, inputCols: Sequence[str] | None = None, listedOnly: bool = False):
+        super().__init__()
+        self._setDefault(inputCols=[], listedOnly=False)
+        self._set(listedOnly=listedOnly)
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        rest = [] if self.getOrDefault(self.listedOnly) else string_columns(df)
+        cols = list(dict.fromkeys([c for c in self.getInputCols() if c in df.columns] + rest))
         exprs = {}
         for c in cols:
             s = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
@@ -53,21 +77,30 @@ class CategoricalBaseline(Transformer, HasInputCols, DefaultParamsReadable, Defa
         return df.withColumns(exprs) if exprs else df
 
 
-class FillMissing(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """M4/M6: stateless sweep: numeric nulls -> number, string nulls -> text."""
+class FillMissing(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """M4/M6: stateless sweep: numeric nulls and NaN -> number, string nulls -> text (all columns, or the listed ones)."""
 
     numeric = Param(Params._dummy(), "numeric", "numeric fill", TypeConverters.toFloat)
     text = Param(Params._dummy(), "text", "string fill", TypeConverters.toString)
 
-    def __init__(self, numeric: float = 0.0, text: str = UNKNOWN):
+    def __init__(self, numeric: float = 0.0, text: str = UNKNOWN, inputCols: Sequence[str] | None = None):
         super().__init__()
+        self._setDefault(inputCols=[])
         self._set(numeric=float(numeric), text=text)
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         num = self.getOrDefault(self.numeric)
         txt = self.getOrDefault(self.text)
-        exprs = {c: F.coalesce(F.col(c), F.lit(num).cast(df.schema[c].dataType)) for c in numeric_columns(df)}
+        listed = set(self.getInputCols()) if self.isSet(self.inputCols) else set(df.columns)
+        exprs = {}
+        for c in numeric_columns(df):
+            kind = df.schema[c].dataType
+            known = F.nullif(F.col(c), F.lit(float("nan")).cast(kind)) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(c)
+            exprs[c] = F.coalesce(known, F.lit(num).cast(kind))
         exprs.update({c: F.coalesce(F.col(c), F.lit(txt)) for c in string_columns(df)})
+        exprs = {c: e for c, e in exprs.items() if c in listed}
         return df.withColumns(exprs) if exprs else df
 
 
@@ -91,7 +124,7 @@ class NumericImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultPara
         cols = self.getInputCols() or numeric_columns(df)
         strategy = self.getOrDefault(self.strategy)
         if strategy == "mean":
-            row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first().asDict()
+            row = df.agg(*[F.avg(number(c)).alias(c) for c in cols]).first().asDict()
             fills = {c: (row[c] if row[c] is not None else 0.0) for c in cols}
         elif strategy == "median":
             med = quantiles(df, cols, [0.5])
@@ -114,7 +147,7 @@ class NumericImputerModel(Model, HasInputCols, HasState, DefaultParamsReadable,
 
     def _transform(self, df: DataFrame) -> DataFrame:
         fills = self.fills
-        exprs = {c: F.coalesce(F.col(c).cast("double"), F.lit(float(v))) for c, v in fills.items() if c in df.columns}
+        exprs = {c: F.coalesce(number(c), F.lit(float(v))) for c, v in fills.items() if c in df.columns}
         return df.withColumns(exprs) if exprs else df
 
 
@@ -267,14 +300,14 @@ class Scaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritab
         method = self.getOrDefault(self.method)
         stats: dict[str, list[float]] = {}
         if method == "standard":
-            row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in cols],
-                         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols]).first()
+            row = df.agg(*[F.avg(number(c)).alias(f"m_{c}") for c in cols],
+                         *[F.stddev_pop(number(c)).alias(f"s_{c}") for c in cols]).first()
             for c in cols:
                 s = row[f"s_{c}"] or 0.0
                 stats[c] = [row[f"m_{c}"] or 0.0, s if s != 0 else 1.0]
         elif method == "minmax":
-            row = df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in cols],
-                         *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in cols]).first()
+            row = df.agg(*[F.min(number(c)).alias(f"lo_{c}") for c in cols],
+                         *[F.max(number(c)).alias(f"hi_{c}") for c in cols]).first()
             for c in cols:
                 lo, hi = row[f"lo_{c}"] or 0.0, row[f"hi_{c}"] or 0.0
                 stats[c] = [lo, (hi - lo) if hi != lo else 1.0]

@@ -1,7 +1,7 @@
 """Feature build (T13): config -> unfitted pyspark.ml Pipeline of stages.
 
-baseline text fill -> operations -> numeric impute -> categorical encoding
-(chosen by model type) -> optional scaling -> final null sweep -> vector.
+operations -> feature copies -> baseline text fill -> numeric impute -> null
+sweep -> categorical encoding (chosen by model type) -> optional scaling -> vector.
 All fitted state lives in the stages, so scoring reuses the same fills,
 encoders and scaler (the reference re-fits or drops them at scoring).
 """
@@ -12,12 +12,15 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, RobustScaler, StandardScaler, StringIndexer,
+                                VectorAssembler)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ops import apply_operations
 from ..operators import prep
 from ..operators.split import hash_split, train_valid_split
+from ..sources.readers import clean_name, required_feature_columns
 from .learners import encoding_for
 
 log = logging.getLogger(__name__)
@@ -38,69 +41,113 @@ class FeaturePlan:
         return Pipeline(stages=self.stages + ([learner] if learner is not None else []))
 
 
-def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None) -> FeaturePlan:
+def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None, id_col: str | None = None) -> FeaturePlan:
     """Build the stage list from a config (``data`` + ``feature_engineering``).
 
-    Column kinds come from the schema (no job). Unknown preprocessing keys
-    are rejected instead of being silently ignored.
+    Features are the configured ``feature_columns`` (else ``columns_needed``
+    without the target; else every numeric and text column), never the id or
+    the target, plus the outputs of the operations. All stages work on copies
+    (``<col>__f``): source columns pass through a fitted model unchanged.
+    Without a ``preprocessing`` key nothing is imputed or scaled; what is
+    missing becomes ``Unknown`` or 0. Column kinds come from the schema (no
+    job). Unknown preprocessing keys are rejected instead of being ignored.
     """
     data = cfg.get("data", {})
     fe = cfg.get("feature_engineering", {}) or {}
-    label = data["target_column"]
+    label = clean_name(data["target_column"])
     model_type = (model_type or cfg.get("model", {}).get("type", "")).lower()
+    configured = "preprocessing" in fe
     pre = fe.get("preprocessing", {}) or {}
     unknown = set(pre) - KNOWN_PREP_KEYS
     if unknown:
         raise ValueError(f"unknown preprocessing keys: {sorted(unknown)}")
     if "handle_missing" in pre:
         log.info("preprocessing.handle_missing has no effect; missing values are always filled")
-    ops = fe.get("operations") or []
-    cats = [c for c in (data.get("categorical_features") or []) if c in df.columns]
-    cats += [c for c in prep.string_columns(df) if c not in cats and c != label]
-    op_outputs = [op["output"] for op in ops if (op.get("operation") or op.get("type"))
-                  and all(i in df.columns or any(o.get("output") == i for o in ops) for i in op.get("inputs", []))]
-    numeric = [c for c in prep.numeric_columns(df) if c != label and c not in cats] + op_outputs
-
-    stages: list = [prep.CategoricalBaseline(cats)]
-    if ops:
-        stages.append(prep.FeatureOperations(ops, onError="skip"))
+    ops = [{**op, **{k: [clean_name(c) for c in op[k]] if k == "inputs" else clean_name(op[k])
+                     for k in ("inputs", "output") if k in op}} for op in fe.get("operations") or []]
+    if data.get("feature_columns") or data.get("columns_needed"):
+        listed = [c for c in required_feature_columns(data) if c != id_col or c in map(clean_name, data.get("feature_columns") or [])]
+        missing = [c for c in listed if c not in df.columns]
+        if missing:
+            raise ValueError(f"missing required columns: {missing}")
+    else:
+        listed = [c for c in df.columns if c not in (label, id_col)]
+    text = set(prep.string_columns(df)) | {clean_name(c) for c in data.get("categorical_features") or []}
+    cats = [c for c in listed if c in text]
+    numbers = set(prep.numeric_columns(df))
+    # Training leaves out what cannot run; the saved stage holds the rest and raises when scoring data lack an input.
+    _, applied_ops = apply_operations(df, ops, "skip")
+    made = [op["output"] for op in applied_ops]
+    ops = [op for op in ops if op.get("output") in made and (op.get("operation") or op.get("type"))]
+    numeric = [c for c in listed if c in numbers and c not in cats and c not in made] + made
+    copy = prep.FeatureCopies.SUFFIX
+    num_f, cat_f = [c + copy for c in numeric], [c + copy for c in cats]
+
     strategy = pre.get("missing_strategy", "mean")
-    stages.append(prep.NumericImputer(numeric, strategy=strategy))
     method = encoding_for(model_type, pre.get("categorical_encoding", "label"))
+    applied = []
+    stages: list = []
+    if ops:
+        stages.append(prep.FeatureOperations(ops, onError="raise"))
+        applied.append(f"operations: {', '.join(made)}")
+    stages += [prep.FeatureCopies(numeric + cats), prep.CategoricalBaseline(cat_f, listedOnly=True)]
+    applied.append(f"text filled with {prep.UNKNOWN}: {', '.join(cats)}")
+    if configured:
+        stages.append(prep.NumericImputer(num_f, strategy=strategy))
+        applied.append(f"numbers filled by {strategy}")
+    else:
+        applied.append("numbers filled with 0")
+    stages.append(prep.FillMissing(inputCols=num_f + cat_f))  # before indexing, which hangs metadata on its outputs
     cat_features: list[str] = []
-    if cats:
+    if cats and method in ("onehot", "native"):
+        idx = [f"{c}__idx" for c in cats]
+        stages.append(StringIndexer(inputCols=cat_f, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"))
+        cat_features = idx  # nominal metadata on the column: trees split on sets of categories
         if method == "onehot":
             # Vector one-hot: the dropped last slot is the unseen one -> all zeros.
-            from pyspark.ml.feature import OneHotEncoder
-            idx = [f"{c}__idx" for c in cats]
-            stages.append(StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep",
-                                        stringOrderType="alphabetAsc"))
-            stages.append(OneHotEncoder(inputCols=idx, outputCols=[f"{c}__oh" for c in cats], dropLast=True))
             cat_features = [f"{c}__oh" for c in cats]
-        elif method == "native":
-            # Trees take indexed categoricals (nominal metadata on the column).
-            idx = [f"{c}__idx" for c in cats]
-            stages.append(StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep",
-                                        stringOrderType="alphabetAsc"))
-            cat_features = idx
-        else:
-            stages.append(prep.LabelEncoder(cats))
-            cat_features = list(cats)
-    if pre.get("scale_features", False):
-        stages.append(prep.Scaler(numeric + (cat_features if method == "label" else []),
-                                  pre.get("scaling_method", "standard")))
-    stages.append(prep.FillMissing())
-    feature_cols = numeric + cat_features
-    stages.append(VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep"))
-    return FeaturePlan(stages, feature_cols, label, cats,
-                       {"model_type": model_type, "encoding_method": method, "missing_strategy": strategy,
-                        "scaling": bool(pre.get("scale_features", False)),
-                        "scaling_method": pre.get("scaling_method", "standard"), "operations": ops})
+            stages.append(OneHotEncoder(inputCols=idx, outputCols=cat_features, dropLast=True))
+    elif cats:
+        stages.append(prep.LabelEncoder(cat_f))
+        cat_features = cat_f
+    applied.append(f"categories: {method}")
+    scaling, scaler = bool(pre.get("scale_features", False)), pre.get("scaling_method", "standard")
+    if scaling:
+        stages.append(prep.Scaler(num_f + (cat_f if method == "label" else []), scaler))
+        if method == "onehot" and cats:
+            raw = [f"{c}__ohr" for c in cats]
+            stages[-2].setOutputCols(raw)
+            stages += [_vector_scaler(scaler, r, o) for r, o in zip(raw, cat_features)]
+        applied.append(f"scaled: {scaler}")
+    stages.append(VectorAssembler(inputCols=num_f + cat_features, outputCol="features", handleInvalid="keep"))
+    return FeaturePlan(stages, numeric + cats, label, cats,
+                       {"model_type": model_type, "encoding_method": method, "missing_strategy": strategy if configured else None,
+                        "scaling": scaling, "scaling_method": scaler, "operations": ops, "transformations": applied})
+
+
+def _vector_scaler(method: str, inp: str, out: str):
+    """SC1-SC3 on a one-hot vector (0/1 slots are numbers like any other to the scaler; standard uses the sample deviation)."""
+    if method == "minmax":
+        return MinMaxScaler(inputCol=inp, outputCol=out)
+    if method == "robust":
+        return RobustScaler(inputCol=inp, outputCol=out, withCentering=True, withScaling=True)
+    return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
+
+
+def slot_name(name: str) -> str:
+    """The configured name behind a vector slot: copies, indexes and one-hot slots lose their suffixes."""
+    for mark in ("__ohr_", "__oh_"):
+        if mark in name:
+            return name.replace(mark, "_", 1)
+    for mark in (prep.FeatureCopies.SUFFIX, "__idx"):
+        name = name.removesuffix(mark)
+    return name
 
 
 def prepare_rows(df: DataFrame, label: str) -> DataFrame:
     """Drop rows with a null target; cast the target to double as ``label``."""
-    return df.na.drop(subset=[label]).withColumn("label", F.col(label).cast("double"))
+    label = clean_name(label)
+    return df.withColumn("label", prep.number(label)).where(F.col("label").isNotNull())
 
 
 def split_rows(df: DataFrame, id_col: str, val_size: float, seed: int, exact: bool = True) -> tuple[DataFrame, DataFrame]:

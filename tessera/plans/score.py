@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.readers import clean_column_names, required_feature_columns
+from ..sources.readers import clean_column_names, clean_name, required_feature_columns
 from ..sources.sinks import model_family, write_table
 
 
@@ -15,17 +15,21 @@ def score(model: PipelineModel, df: DataFrame, data_cfg: dict | None = None, kee
           with_probability: bool = False) -> DataFrame:
     """Clean names, check required columns, predict, stamp.
 
-    Source columns are carried through the plan (no second read of the input
-    and no positional append). The timestamp is one literal per query.
+    Source columns pass through unchanged, in values and types (features are
+    copies; no second read of the input and no positional append). The
+    prediction is named ``Predicted_<target>`` after the config's target. The
+    timestamp is one literal per query.
     """
+    predicted = "Predicted_Value"
     df = clean_column_names(df)
     if data_cfg:
         required = required_feature_columns(data_cfg)
         missing = [c for c in required if c not in df.columns]
         if missing:
             raise ValueError(f"missing required columns: {missing}")
+        predicted = f"Predicted_{clean_name(data_cfg.get('target_column') or 'Target')}"
     scored = model.transform(df)
-    stamps = {"Predicted_Value": F.col("prediction"),
+    stamps = {predicted: F.col("prediction"),
               "Prediction_Timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
               "Model_Type": F.lit(model_family(model))}
     if with_probability and "probability" in scored.columns:
@@ -42,9 +46,9 @@ def score_to_path(model: PipelineModel, df: DataFrame, path: str, fmt: str = "pa
     return out
 
 
-def prediction_summary_row(scored: DataFrame) -> dict:
+def prediction_summary_row(scored: DataFrame, predicted: str = "Predicted_Value") -> dict:
     """G1 of the predictions, one aggregate."""
-    x = F.col("Predicted_Value")
+    x = F.col(predicted)
     return scored.agg(F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
                       F.stddev_pop(x).alias("std")).first().asDict()
 

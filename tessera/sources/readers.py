@@ -8,7 +8,8 @@ from collections.abc import Iterable
 import yaml
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 # The driver's table set.
 TABLES = (
@@ -45,10 +46,11 @@ def _resolve_format(path: str, file_type: str | None) -> str:
 
 def read_table(spark: SparkSession, path: str, file_type: str | None = None,
                columns: Iterable[str] | None = None, schema: StructType | str | None = None,
-               base_dir: str | None = None) -> DataFrame:
+               base_dir: str | None = None, nan_as_null: bool = True) -> DataFrame:
     """Read a table; project ``columns`` so pruning reaches the scan.
 
-    A relative path that is missing is retried under ``base_dir`` (S4); a
+    NaN in float columns is a missing value (null) unless ``nan_as_null`` is
+    off. A relative path that is missing is retried under ``base_dir`` (S4); a
     missing file raises FileNotFoundError, an unknown type ValueError (S5).
     """
     fmt = _resolve_format(path, file_type)
@@ -68,7 +70,7 @@ def read_table(spark: SparkSession, path: str, file_type: str | None = None,
             df = reader.load(candidate)
             if columns is not None:
                 df = df.select(*list(columns))
-            return df
+            return nan_to_null(df) if nan_as_null else df
         except AnalysisException as exc:  # path missing, or column missing
             if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                 raise
@@ -76,13 +78,24 @@ def read_table(spark: SparkSession, path: str, file_type: str | None = None,
     raise FileNotFoundError(f"data file not found: {path}") from last_error
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN -> null in every float and double column (one projection; none without such columns)."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (FloatType, DoubleType))]
+    return df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit(float("nan")).cast(df.schema[c].dataType)) for c in floats}) if floats else df
+
+
+def clean_name(name: str) -> str:
+    """P7 for one name, as configs use it: stripped, spaces to underscores."""
+    return str(name).strip().replace(" ", "_")
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
     """Strip names and turn spaces into underscores; collisions are an error."""
-    new = [c.strip().replace(" ", "_") for c in df.columns]
+    new = [clean_name(c) for c in df.columns]
     if len(set(new)) != len(new):
         dup = sorted({c for c in new if new.count(c) > 1})
         raise ValueError(f"column names collide after cleaning: {dup}")
@@ -91,14 +104,14 @@ def clean_column_names(df: DataFrame) -> DataFrame:
 
 def required_feature_columns(data_cfg: dict) -> list[str]:
     """feature_columns, else columns_needed minus the target, else error."""
-    target = data_cfg.get("target_column")
+    target = clean_name(data_cfg.get("target_column") or "")
     if data_cfg.get("feature_columns"):
         cols = list(data_cfg["feature_columns"])
     elif data_cfg.get("columns_needed"):
-        cols = [c for c in data_cfg["columns_needed"] if c != target]
+        cols = [c for c in data_cfg["columns_needed"] if clean_name(c) != target]
     else:
         raise ValueError("config lists neither feature_columns nor columns_needed")
-    return [c.replace(" ", "_") for c in cols]
+    return [clean_name(c) for c in cols]
 
 
 def validate_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
