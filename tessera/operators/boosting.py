@@ -166,17 +166,16 @@ def goss_sample(df: DataFrame, id_col: str, g: str = "g", top_ratio: float = 0.2
     """Keep the top ``top_ratio`` rows by |g| (ties by id), plus a seeded
     ``bottom_ratio`` share of all rows drawn from the rest; drawn rows weigh
     (n - top_n) / bottom_n. Returns the selected rows with ``weight`` and
-    ``part`` (top / sampled). Ranks are distributed."""
+    ``part`` (top / sampled). Only ids and gradients are ranked (distributed); the rows join on the id, which is unique."""
     n = df.count()
     top_n, bottom_n = int(n * top_ratio), int(n * bottom_ratio)
-    keyed = df.withColumn("__neg_abs_g", -F.abs(F.col(g)))
-    ranked = global_rank(keyed, ["__neg_abs_g", id_col], "__grank")
-    top = ranked.where(F.col("__grank") <= top_n).withColumns({"weight": F.lit(1.0), "part": F.lit("top")})
-    rest = ranked.where(F.col("__grank") > top_n).withColumn("__h", hash_order_key(id_col, seed))
-    drawn = global_rank(rest, ["__h"], "__hrank").where(F.col("__hrank") <= bottom_n).withColumns(
-        {"weight": F.lit((n - top_n) / bottom_n if bottom_n else 0.0), "part": F.lit("sampled")})
-    cols = df.columns + ["weight", "part"]
-    return top.select(*cols).unionByName(drawn.select(*cols))
+    slim = df.select(F.col(id_col).alias("__id"), (-F.abs(F.col(g))).alias("__neg_abs_g"))
+    ranked = global_rank(slim, ["__neg_abs_g", "__id"], "__grank")
+    top = ranked.where(F.col("__grank") <= top_n).select("__id", F.lit(1.0).alias("weight"), F.lit("top").alias("part"))
+    rest = ranked.where(F.col("__grank") > top_n).select("__id", hash_order_key("__id", seed).alias("__h"))
+    drawn = global_rank(rest, ["__h"], "__hrank").where(F.col("__hrank") <= bottom_n).select(
+        "__id", F.lit((n - top_n) / bottom_n if bottom_n else 0.0).alias("weight"), F.lit("sampled").alias("part"))
+    return df.join(top.unionByName(drawn), F.col(id_col) == F.col("__id")).select(*df.columns, "weight", "part")
 
 
 def ordered_leaf_weight(df: DataFrame, id_col: str, x: str, threshold: float, g: str = "g", h: str = "h",

@@ -1,8 +1,9 @@
 """Deterministic splits and folds.
 
-Order is md5('seed:id'): the same in Spark and any SQL engine. Exact sizes
-use a distributed global rank; ``hash_split`` is the rank-free variant whose
-sizes are only expected values.
+Order is md5('seed:id'): the same in Spark and any SQL engine. Splits and
+training folds of exact sizes need only a few order statistics of the hash
+(``hash_cuts``); folds defined by a rank sort (id, hash) alone. ``hash_split``
+and ``hash_folds`` have expected sizes only.
 """
 
 from __future__ import annotations
@@ -16,17 +17,67 @@ from .boosting import hash_order_key
 from .ordered import global_rank
 
 
+def hash_cuts(hashed: DataFrame, ranks_of) -> tuple[int, dict[int, str]]:
+    """Exact order statistics of the hash column ``__h`` without sorting rows.
+
+    ``ranks_of(n)`` lists 1-based ranks. Each pass counts rows per hash prefix
+    (three hex digits more each time, at most 4096 rows back per open rank)
+    until a rank's prefix holds few rows, which are then fetched.
+    """
+    width, few = 3, 4096
+    counts = {r["p"]: r["n"] for r in hashed.groupBy(F.substring("__h", 1, width).alias("p")).agg(F.count("*").alias("n")).collect()}
+    n = sum(counts.values())
+    ranks = [r for r in dict.fromkeys(ranks_of(n)) if 1 <= r <= n]
+    place = {r: ("", 0, n) for r in ranks}  # rank -> prefix, rows before it, rows in it
+    found: dict[int, str] = {}
+    while True:
+        for r, (prefix, before, size) in place.items():
+            for p in sorted(k for k in counts if k.startswith(prefix)):
+                if before + counts[p] >= r:
+                    place[r] = (p, before, counts[p])
+                    break
+                before += counts[p]
+        found |= {r: p for r, (p, _, _) in place.items() if len(p) >= 32}
+        wide = {p for r, (p, _, size) in place.items() if size > few and r not in found}
+        if not wide:
+            break
+        width += 3
+        inside = hashed.where(F.substring("__h", 1, width - 3).isin(sorted(wide)))
+        counts = {p: size for p, _, size in place.values() if p not in wide} | {
+            r["p"]: r["n"] for r in inside.groupBy(F.substring("__h", 1, width).alias("p")).agg(F.count("*").alias("n")).collect()}
+    for p in {p for r, (p, _, _) in place.items() if r not in found}:
+        rows = sorted(r["__h"] for r in hashed.where(F.col("__h").startswith(p)).select("__h").collect())
+        found |= {r: rows[r - before - 1] for r, (q, before, _) in place.items() if q == p}
+    return n, found
+
+
 def train_valid_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42,
                       out: str = "split") -> DataFrame:
     """The ceil(n * test_size) rows first in hash order are 'valid'.
 
-    The ranked rows are persisted: counting them fills the cache, and the
-    train / valid filters (read many times by training) reuse it."""
-    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r").persist()
-    n = ranked.count()
-    n_valid = math.ceil(n * test_size)
-    return ranked.withColumn(out, F.when(F.col("__r") <= n_valid, F.lit("valid")).otherwise(F.lit("train"))).drop(
-        "__h", "__r")
+    Only one number is needed, the hash of the last valid row; the split is
+    then a map-side comparison (no shuffle of rows, nothing kept in memory).
+    Rows that share an id fall on the same side."""
+    h = hash_order_key(id_col, seed)
+    _, cuts = hash_cuts(df.select(h.alias("__h")), lambda n: [math.ceil(n * test_size)])
+    valid = h <= F.lit(next(iter(cuts.values()))) if cuts else F.lit(False)
+    return df.withColumn(out, F.when(valid, F.lit("valid")).otherwise(F.lit("train")))
+
+
+def cut_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+    """T2 for training: shuffled folds of exact sizes (the first n mod k hold one row more), each a range
+    of the hash order between two exact cuts. No shuffle of rows."""
+    h = hash_order_key(id_col, seed)
+
+    def ends(n: int) -> list[int]:
+        return [sum(n // k + (j < n % k) for j in range(i + 1)) for i in range(k - 1)]
+
+    n, cuts = hash_cuts(df.select(h.alias("__h")), ends)
+    above = [(h > F.lit(cuts[e])).cast("int") if e in cuts else F.lit(1) for e in ends(n)]
+    fold = F.lit(0)
+    for a in above:
+        fold = fold + a
+    return df.withColumn(out, fold.cast("int"))
 
 
 def hash_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
@@ -35,18 +86,24 @@ def hash_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 4
     return df.withColumn(out, F.when(u < F.lit(float(test_size)), F.lit("valid")).otherwise(F.lit("train")))
 
 
+def _with_rank(df: DataFrame, id_col: str, order: F.Column, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``__r``, the 1-based rank by ``order``: only (id, order, keys) are sorted, then joined back on the id."""
+    slim = df.select(F.col(id_col).alias("__id"), order.alias("__h"), *partition_by).dropDuplicates(["__id"])
+    ranks = global_rank(slim, ["__h"], "__r", partition_by=partition_by).select("__id", "__r")
+    return df.join(ranks, F.col(id_col) == F.col("__id")).drop("__id")
+
+
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    """Shuffled k-fold: (rank in hash order - 1) mod k (persisted: CV
-    reads it once per fit)."""
-    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r").persist()
-    return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop("__h", "__r")
+    """Shuffled k-fold: (rank in hash order - 1) mod k."""
+    ranked = _with_rank(df, id_col, hash_order_key(id_col, seed))
+    return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop("__r")
 
 
 def contiguous_folds(df: DataFrame, id_col: str, k: int = 5, out: str = "fold") -> DataFrame:
     """T2b (regressors): unshuffled folds, contiguous in id order; the first
     n mod k folds hold one extra row."""
-    ranked = global_rank(df, [id_col], "__r").persist()
-    n = ranked.count()
+    ranked = _with_rank(df, id_col, F.col(id_col))
+    n = df.select(id_col).distinct().count()
     q, rem = divmod(n, k)
     r = F.col("__r") - 1
     big = rem * (q + 1)
@@ -57,9 +114,8 @@ def contiguous_folds(df: DataFrame, id_col: str, k: int = 5, out: str = "fold")
 def stratified_folds(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int = 42,
                      out: str = "fold") -> DataFrame:
     """T2b (classifiers): within each class, (rank in hash order - 1) mod k."""
-    ranked = global_rank(df.withColumn("__h", hash_order_key(id_col, seed)), ["__h"], "__r",
-                         partition_by=[label]).persist()
-    return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop("__h", "__r")
+    ranked = _with_rank(df, id_col, hash_order_key(id_col, seed), (label,))
+    return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("int")).drop("__r")
 
 
 def hash_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
