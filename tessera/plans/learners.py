@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasWeightCol
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,11 @@ PARAM_MAP = {
     "gamma": "minInfoGain", "min_impurity_decrease": "minInfoGain", "criterion": "impurity",
     "max_iter": "maxIter", "alpha": "regParam", "l1_ratio": "elasticNetParam",
 }
+PARAM_MAP["min_child_weight"] = "minInstancesPerNode"
+# Settings that steer a library's run or printing and no model.
+INERT_PARAMS = {"verbose", "verbosity", "n_jobs", "thread_count", "random_state", "random_seed", "seed", "eval_metric", "objective",
+                "solver", "cat_features", "learning_rate_schedule", "logging_level", "allow_writing_files"}
+UNLIMITED_DEPTH = 30  # the deepest tree Spark grows
 BOOSTERS = ("catboost", "xgboost", "lightgbm", "gbt")
 FOREST_PARAMS = {"n_estimators": "numTrees"}
 
@@ -40,26 +47,121 @@ def encoding_for(model_type: str, configured: str = "label") -> str:
     return configured
 
 
-def _spark_params(learner, params: dict, extra: dict | None = None) -> dict:
+def convert_param(name: str, value):
+    """A reference parameter value as its Spark twin takes it."""
+    if name == "featureSubsetStrategy":
+        return "all" if value is None else str(value)
+    if name == "maxDepth" and (value is None or value < 0):
+        return UNLIMITED_DEPTH
+    if name == "impurity" and value in ("squared_error", "mse"):
+        return "variance"
+    return value
+
+
+def _spark_params(learner, params: dict, extra: dict | None = None, ignore: tuple = ()) -> dict:
+    """Spark Params for reference parameters. One without a Spark twin raises unless the config lists it under
+    ``ignore_params``: a model other than the one asked for is never trained silently."""
     out = {}
     mapping = {**PARAM_MAP, **(extra or {})}
     for k, v in (params or {}).items():
         name = mapping.get(k, k)
-        if name == "featureSubsetStrategy" and isinstance(v, float):
-            v = str(v)
-        if k == "alpha" and not learner.hasParam("regParam"):
-            continue
-        if name == "impurity" and v in ("squared_error", "mse"):
-            v = "variance"
-        if learner.hasParam(name):
-            out[name] = v
+        if k == "loss_function":
+            loss = str(v).upper()
+            if loss not in ("RMSE", "MAE", "LOGLOSS") or (loss == "MAE" and not learner.hasParam("lossType")):
+                raise ValueError(f"loss {v} has no Spark twin")
+            if loss == "MAE":
+                out["lossType"] = "absolute"
+        elif learner.hasParam(name):
+            out[name] = convert_param(name, v)
+        elif k in INERT_PARAMS or k in ignore:
+            log.info("parameter %s has no effect on Spark", k)
         else:
-            log.info("parameter %s has no Spark twin; ignored", k)
-    if params and params.get("loss_function", "").upper() == "MAE" and learner.hasParam("lossType"):
-        out["lossType"] = "absolute"
+            raise ValueError(f"parameter {k} has no Spark twin; list it under model.ignore_params to train without it")
     return out
 
 
+class LinearByAlpha(Estimator, HasFeaturesCol, HasLabelCol):
+    """Ridge, lasso and elastic net by their own ``alpha``.
+
+    Spark scales the label by its deviation and the loss by 1 / n, so its strength depends on the data: with s the
+    population deviation and n the rows, ridge is alpha * s / n, lasso alpha, and elastic net weighs both parts.
+    """
+
+    alpha = Param(Params._dummy(), "alpha", "regularisation strength", TypeConverters.toFloat)
+    l1_ratio = Param(Params._dummy(), "l1_ratio", "share of the absolute penalty", TypeConverters.toFloat)
+
+    def __init__(self, kind: str = "ridge", featuresCol: str = "features", labelCol: str = "label"):
+        super().__init__()
+        self.kind = kind
+        self._setDefault(alpha=1.0, l1_ratio=0.5)
+        self._set(featuresCol=featuresCol, labelCol=labelCol)
+
+    def setParams(self, **params):
+        return self._set(**params)
+
+    def _fit(self, df: DataFrame):
+        y, a = F.col(self.getLabelCol()), self.getOrDefault(self.alpha)
+        n, s = df.agg(F.count(y), F.stddev_pop(y)).first()
+        l1 = {"ridge": 0.0, "lasso": 1.0}.get(self.kind, self.getOrDefault(self.l1_ratio))
+        if self.kind == "ridge":
+            reg, net = a * (s or 0.0) / max(n, 1), 0.0
+        else:
+            reg = a * (l1 + (s or 0.0) * (1 - l1))
+            net = a * l1 / reg if reg else 0.0
+        return LinearRegression(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), standardization=False,
+                                regParam=reg, elasticNetParam=net).fit(df)
+
+
+class LogisticByC(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol):
+    """Logistic regression by the inverse strength ``C``: Spark's regParam is 1 / (C * sum of weights)."""
+
+    C = Param(Params._dummy(), "C", "inverse regularisation strength", TypeConverters.toFloat)
+    maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+
+    def __init__(self, featuresCol: str = "features", labelCol: str = "label"):
+        super().__init__()
+        self._setDefault(C=1.0, maxIter=100)
+        self._set(featuresCol=featuresCol, labelCol=labelCol)
+
+    def setParams(self, **params):
+        return self._set(**params)
+
+    def setWeightCol(self, value: str):
+        return self._set(weightCol=value)
+
+    def _fit(self, df: DataFrame):
+        weight = F.col(self.getWeightCol()) if self.isSet(self.weightCol) else F.lit(1.0)
+        total = df.agg(F.sum(weight)).first()[0] or 1.0
+        learner = LogisticRegression(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), standardization=False,
+                                     maxIter=self.getOrDefault(self.maxIter), regParam=1.0 / (self.getOrDefault(self.C) * total))
+        if self.isSet(self.weightCol):
+            learner.setWeightCol(self.getWeightCol())
+        return learner.fit(df)
+
+
+class PerceptronByLayers(Estimator, HasFeaturesCol, HasLabelCol):
+    """MLP classifier by ``hidden_layer_sizes``; input and output layers are read from the data."""
+
+    hidden_layer_sizes = Param(Params._dummy(), "hidden_layer_sizes", "hidden layers", TypeConverters.toListInt)
+    maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
+
+    def __init__(self, featuresCol: str = "features", labelCol: str = "label", seed: int = 42):
+        super().__init__()
+        self._setDefault(hidden_layer_sizes=[100], maxIter=200)
+        self._set(featuresCol=featuresCol, labelCol=labelCol, seed=seed)
+
+    def setParams(self, **params):
+        return self._set(**params)
+
+    def _fit(self, df: DataFrame):
+        width = df.select(self.getFeaturesCol()).first()[0].size
+        classes = int(df.agg(F.max(self.getLabelCol())).first()[0]) + 1
+        return MultilayerPerceptronClassifier(
+            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), seed=self.getOrDefault(self.seed),
+            layers=[width, *self.getOrDefault(self.hidden_layer_sizes), max(classes, 2)], maxIter=self.getOrDefault(self.maxIter)).fit(df)
+
+
 def create_learner(model_cfg: dict, seed: int = 42, features_col: str = "features", label_col: str = "label"):
     """Model type -> Spark learner; task regression or classification.
     Unknown types raise ValueError."""
@@ -68,40 +170,38 @@ def create_learner(model_cfg: dict, seed: int = 42, features_col: str = "feature
     reg = task == "regression"
     params = dict(model_cfg.get("params") or {})
     common = {"featuresCol": features_col, "labelCol": label_col}
+    ignore = tuple(model_cfg.get("ignore_params") or ())
     if t in BOOSTERS:
         learner = GBTRegressor(**common, seed=seed) if reg else GBTClassifier(**common, seed=seed)
-        learner.setParams(**_spark_params(learner, params))
+        learner.setParams(**_spark_params(learner, params, ignore=ignore))
     elif t in ("randomforest", "xgboost_rf"):
         learner = (RandomForestRegressor(**common, seed=seed) if reg else RandomForestClassifier(**common, seed=seed))
-        learner.setParams(**_spark_params(learner, params, FOREST_PARAMS))
+        learner.setParams(**_spark_params(learner, params, FOREST_PARAMS, ignore))
     elif t == "decisiontree":
         learner = DecisionTreeRegressor(**common, seed=seed) if reg else DecisionTreeClassifier(**common, seed=seed)
-        learner.setParams(**_spark_params(learner, params))
-    elif t in ("linear", "ridge", "lasso", "elasticnet"):
-        learner = LinearRegression(**common, standardization=False)
-        p = _spark_params(learner, params)
-        if t == "lasso":
-            p["elasticNetParam"] = 1.0
-        elif t in ("linear", "ridge"):
-            p["elasticNetParam"] = 0.0
-        if t == "linear":
-            p["regParam"] = 0.0
-        learner.setParams(**p)
+        learner.setParams(**_spark_params(learner, params, ignore=ignore))
+    elif t == "linear":
+        learner = LinearRegression(**common, standardization=False, regParam=0.0, elasticNetParam=0.0)
+        learner.setParams(**_spark_params(learner, params, ignore=ignore))
+    elif t in ("ridge", "lasso", "elasticnet"):
+        learner = LinearByAlpha(t, **common)
+        learner.setParams(**_spark_params(learner, params, {"alpha": "alpha", "l1_ratio": "l1_ratio"}, ignore))
     elif t == "logistic":
-        learner = LogisticRegression(**common, standardization=False)
-        learner.setParams(**_spark_params(learner, params))
+        learner = LogisticByC(**common)
+        learner.setParams(**_spark_params(learner, params, ignore=ignore))
     elif t in ("neuralnetwork", "nn", "mlp"):
+        known = {"hidden_layer_sizes", "activation", "alpha", "learning_rate_init", "max_iter", "layers"} | INERT_PARAMS | set(ignore)
+        if other := sorted(set(params) - known):
+            raise ValueError(f"parameters {other} have no Spark twin; list them under model.ignore_params to train without them")
         if reg:
             from .mlp import MLPRegressor
             return MLPRegressor(hidden=params.get("hidden_layer_sizes", (16,)), activation=params.get("activation", "relu"),
                                 alpha=params.get("alpha", 1e-4), learningRate=params.get("learning_rate_init", 1e-2),
                                 maxIter=params.get("max_iter", 100), seed=seed, featuresCol=features_col,
                                 labelCol=label_col)
-        layers = params.get("layers")
-        if not layers:
-            raise ValueError("MLP classifier needs 'layers' (input, hidden..., classes)")
-        learner = MultilayerPerceptronClassifier(**common, seed=seed, layers=layers,
-                                                 maxIter=params.get("max_iter", 100))
+        hidden = list(params.get("hidden_layer_sizes") or params.get("layers", [0, 100, 0])[1:-1])
+        learner = PerceptronByLayers(**common, seed=seed)
+        learner.setParams(hidden_layer_sizes=hidden, maxIter=params.get("max_iter", 200))
     else:
         raise ValueError(f"Unsupported model type: {t}")
     return learner

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import itertools
 import logging
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import classification_scores
-from ..operators.split import contiguous_folds, hash_folds, kfold, stratified_folds
-from .learners import PARAM_MAP
+from ..operators.split import contiguous_folds, cut_folds, hash_folds, kfold, stratified_folds
+from .learners import PARAM_MAP, convert_param
 
 log = logging.getLogger(__name__)
 
@@ -63,54 +62,102 @@ def _param(learner, name: str):
     candidates = [PARAM_MAP.get(name, name), MLP_PARAM_MAP.get(name, name), name]
     if type(learner).__name__.startswith("RandomForest") and name == "n_estimators":
         candidates.insert(0, "numTrees")
+    if learner.hasParam(name):  # a learner that takes the reference name itself
+        return learner.getParam(name)
     for spark_name in candidates:
         if learner.hasParam(spark_name):
             return learner.getParam(spark_name)
     return None
 
 
-def _convert(param, value):
-    # featureSubsetStrategy is a string Param ("0.8", "sqrt", ...)
-    return str(value) if param.name == "featureSubsetStrategy" else value
-
-
-def grid(learner, space: dict) -> list[dict]:
-    """The full grid; keys may use reference names (mapped to Spark)."""
-    b = ParamGridBuilder()
+def _axes(learner, space: dict, ignore: tuple = ()) -> list[tuple]:
+    """(Param, values) of every searched parameter; one without a Spark twin raises unless listed in ``ignore``."""
+    axes = []
     for k, values in space.items():
         p = _param(learner, k)
-        if p is None:
-            log.info("search parameter %s has no Spark twin; ignored", k)
-            continue
-        b = b.addGrid(p, [_convert(p, v) for v in values])
-    return b.build()
+        if p is not None:
+            axes.append((p, [convert_param(p.name, v) for v in values]))
+        elif k in ignore:
+            log.info("search parameter %s ignored as configured", k)
+        else:
+            raise ValueError(f"search parameter {k} has no Spark twin; list it under model.ignore_params to search without it")
+    return axes
+
 
+def _combination(axes: list[tuple], index: int) -> dict:
+    """The ``index``-th combination of the grid (last parameter fastest), without building the others."""
+    out = {}
+    for p, values in reversed(axes):
+        index, i = divmod(index, len(values))
+        out[p] = values[i]
+    return dict(reversed(out.items()))
 
-def random_draws(learner, space: dict, n_iter: int, seed: int = 42) -> list[dict]:
-    """n_iter distinct draws from the grid, seeded (all of it when smaller)."""
-    maps = grid(learner, space)
-    if len(maps) <= n_iter:
-        return maps
-    return random.Random(seed).sample(maps, n_iter)
+
+def grid_size(axes: list[tuple]) -> int:
+    return math.prod(len(v) for _, v in axes)
+
+
+def grid(learner, space: dict, ignore: tuple = ()) -> list[dict]:
+    """The full grid; keys may use reference names (mapped to Spark)."""
+    axes = _axes(learner, space, ignore)
+    return [_combination(axes, i) for i in range(grid_size(axes))]
+
+
+def random_draws(learner, space: dict, n_iter: int, seed: int = 42, ignore: tuple = ()) -> list[dict]:
+    """n_iter distinct draws from the grid, seeded (all of it when smaller); only the draws are built."""
+    axes = _axes(learner, space, ignore)
+    total = grid_size(axes)
+    chosen = range(total) if total <= n_iter else random.Random(seed).sample(range(total), n_iter)
+    return [_combination(axes, i) for i in chosen]
+
+
+class Dimension:
+    """One searched parameter: a list of choices (None allowed), or ``{"low", "high"}`` with ``"step"`` (integers
+    unless the step is fractional) or ``"log": True`` (floats drawn evenly in the logarithm)."""
+
+    def __init__(self, spec):
+        self.spec = spec
+        self.choices = list(spec) if not isinstance(spec, dict) else spec.get("choices")
+        if self.choices is None and not spec.get("log") and (spec.get("step") or isinstance(spec["low"], int)):
+            step = spec.get("step", 1)
+            self.choices = [spec["low"] + i * step for i in range(int((spec["high"] - spec["low"]) / step + 1e-9) + 1)]
+
+    def draw(self, rng: random.Random):
+        if self.choices is not None:
+            return rng.choice(self.choices)
+        lo, hi = self.spec["low"], self.spec["high"]
+        return math.exp(rng.uniform(math.log(lo), math.log(hi))) if self.spec.get("log") else rng.uniform(lo, hi)
+
+    def step(self, value, rng: random.Random):
+        """A value near ``value``: the next choice, or up to a tenth of the range away."""
+        if self.choices is not None:
+            at = self.choices.index(value) + rng.choice([-1, 1])
+            return self.choices[min(max(at, 0), len(self.choices) - 1)]
+        lo, hi = self.spec["low"], self.spec["high"]
+        if self.spec.get("log"):
+            return min(max(value * (hi / lo) ** rng.uniform(-0.1, 0.1), lo), hi)
+        return min(max(value + (hi - lo) * rng.uniform(-0.1, 0.1), lo), hi)
 
 
 def assign_folds(df: DataFrame, id_col: str, k: int, mode: str = "shuffle", label: str = "label",
                  seed: int = 42) -> DataFrame:
-    """Shuffled, contiguous (regressor default), stratified, or
-    rank-free ``hash`` folds (no shuffle, expected sizes)."""
+    """Shuffled (exact cuts of the hash order, rows not moved), ``rank`` (rank mod k), contiguous
+    (regressor default), stratified, or ``hash`` folds (expected sizes)."""
+    if mode == "rank":
+        return kfold(df, id_col, k, seed)
     if mode == "hash":
         return hash_folds(df, id_col, k, seed)
     if mode == "contiguous":
         return contiguous_folds(df, id_col, k)
     if mode == "stratified":
         return stratified_folds(df, id_col, label, k, seed)
-    return kfold(df, id_col, k, seed)
+    return cut_folds(df, id_col, k, seed)
 
 
 def cross_validate(pipeline: Pipeline, param_maps: list[dict], folded: DataFrame, evaluator: Evaluator,
                    parallelism: int = 4, k: int | None = None):
     """K-fold CV over a fold column; returns (best model refitted on
-    all rows, table of (candidate, mean metric, params)).
+    all rows, table of (candidate, mean metric, its deviation over the folds, params)).
 
     Every (param map, fold) fit is an independent Spark job; they are
     submitted from a thread pool, so folds run concurrently even with one
@@ -130,13 +177,15 @@ def cross_validate(pipeline: Pipeline, param_maps: list[dict], folded: DataFrame
     jobs = [(i, f) for i in range(len(maps)) for f in range(int(k))]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, jobs))
-    means = [sum(m for i, _, m in results if i == j) / k for j in range(len(maps))]
+    scores = [[m for i, _, m in results if i == j] for j in range(len(maps))]
+    means = [sum(s) / k for s in scores]
+    devs = [math.sqrt(sum((x - m) ** 2 for x in s) / k) for s, m in zip(scores, means)]
     pick = max if evaluator.isLargerBetter() else min
     best_i = means.index(pick(means))
     best = pipeline.fit(folded, maps[best_i])
     spark = folded.sparkSession
-    rows = [(i, means[i], str({p.name: v for p, v in pm.items()})) for i, pm in enumerate(maps)]
-    table = spark.createDataFrame(rows, "candidate int, metric double, params string")
+    rows = [(i, means[i], devs[i], str({p.name: v for p, v in pm.items()})) for i, pm in enumerate(maps)]
+    table = spark.createDataFrame(rows, "candidate int, metric double, metric_std double, params string")
     folded.unpersist()
     return best, table
 
@@ -148,33 +197,35 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
     one parameter. Returns (best model, trial log DataFrame)."""
     rng = random.Random(seed)
     k = folded.agg(F.max("fold")).first()[0] + 1
-    keys = [name for name in space if _param(learner, name) is not None]
-    values = {k: list(space[k]) for k in keys}
-    tried: dict[tuple, float] = {}
+    axes = {name: Dimension(spec) for name, spec in space.items()}
+    for name in axes:
+        if _param(learner, name) is None:
+            raise ValueError(f"search parameter {name} has no Spark twin")
+    tried: list[tuple[dict, float]] = []
     best_model, best_score = None, None
     larger = evaluator.isLargerBetter()
-    all_combos = list(itertools.product(*[range(len(values[k])) for k in keys]))
-    for t in range(min(n_trials, len(all_combos))):
-        if t < n_startup or not tried:
-            cand = rng.choice([c for c in all_combos if c not in tried])
+    for t in range(n_trials):
+        for _ in range(100):  # a new candidate, if the space still holds one
+            if t < n_startup:
+                cand = {name: d.draw(rng) for name, d in axes.items()}
+            else:
+                ranked = sorted(tried, key=lambda x: x[1], reverse=larger)
+                cand = dict(rng.choice(ranked[: max(1, len(ranked) // 4)])[0])
+                name = rng.choice(list(axes))
+                cand[name] = axes[name].step(cand[name], rng) if rng.random() < 0.8 else axes[name].draw(rng)
+            if all(cand != c for c, _ in tried):
+                break
         else:
-            ranked = sorted(tried.items(), key=lambda kv: kv[1], reverse=larger)
-            top = ranked[: max(1, len(ranked) // 4)]
-            base = list(rng.choice(top)[0])
-            i = rng.randrange(len(keys))
-            base[i] = min(max(base[i] + rng.choice([-1, 1]), 0), len(values[keys[i]]) - 1)
-            cand = tuple(base)
-            if cand in tried:
-                cand = rng.choice([c for c in all_combos if c not in tried])
-        pm = {_param(learner, name): _convert(_param(learner, name), values[name][j]) for name, j in zip(keys, cand)}
+            break
+        pm = {_param(learner, name): convert_param(_param(learner, name).name, v) for name, v in cand.items()}
         model, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k)
         score = table.first()["metric"]
-        tried[cand] = score
+        tried.append((cand, score))
         if best_score is None or (score > best_score if larger else score < best_score):
             best_model, best_score = model, score
     spark = folded.sparkSession
-    log_rows = [(i, str({k: values[k][j] for k, j in zip(keys, c)}), float(s)) for i, (c, s) in enumerate(tried.items())]
-    return best_model, spark.createDataFrame(log_rows, "trial int, params string, metric double")
+    return best_model, spark.createDataFrame([(i, str(c), float(s)) for i, (c, s) in enumerate(tried)],
+                                             "trial int, params string, metric double")
 
 
 def fold_scores(pipeline: Pipeline, folded: DataFrame, evaluator: Evaluator, k: int) -> DataFrame:

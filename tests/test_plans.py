@@ -1,6 +1,7 @@
 import os
 import random
 
+import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -28,10 +29,13 @@ def test_mlp_regressor_learns_linear_map(spark):
 def test_grid_and_random_draws(spark):
     learner = learners.create_learner({"type": "randomforest"})
     space = {"n_estimators": [5, 10, 20], "max_depth": [3, 5], "not_a_param": [1]}
-    assert len(search.grid(learner, space)) == 6
-    draws = search.random_draws(learner, space, 4, seed=1)
+    with pytest.raises(ValueError, match="not_a_param"):  # never a smaller search than was asked for
+        search.grid(learner, space)
+    ignore = ("not_a_param",)
+    assert len(search.grid(learner, space, ignore)) == 6
+    draws = search.random_draws(learner, space, 4, seed=1, ignore=ignore)
     assert len(draws) == 4 and len({str(sorted((p.name, v) for p, v in d.items())) for d in draws}) == 4
-    assert search.random_draws(learner, space, 4, seed=1) == draws
+    assert search.random_draws(learner, space, 4, seed=1, ignore=ignore) == draws
 
 
 def test_cross_validate_and_adaptive(spark):
@@ -91,10 +95,10 @@ def test_shipped_search_spaces_map_to_spark_params(spark):
     gbt = learners.create_learner({"type": "xgboost"})
     maps = search.grid(gbt, {"n_estimators": [300, 400], "learning_rate": [0.05], "max_depth": [3],
                              "min_child_weight": [1, 2], "subsample": [0.8], "colsample_bytree": [0.6, 0.8],
-                             "gamma": [0.1], "reg_alpha": [0.1]})
-    assert len(maps) == 4
+                             "gamma": [0.1], "reg_alpha": [0.1]}, ignore=("reg_alpha",))
+    assert len(maps) == 8 and {m[gbt.getParam("minInstancesPerNode")] for m in maps} == {1, 2}
     assert {m[gbt.getParam("featureSubsetStrategy")] for m in maps} == {"0.6", "0.8"}
     mlp = learners.create_learner({"type": "neuralnetwork", "task": "regression"})
     maps = search.grid(mlp, {"hidden_layer_sizes": [[50], [100, 50]], "activation": ["relu", "tanh"],
-                             "alpha": [0.001], "learning_rate_init": [0.01], "batch_size": [32]})
+                             "alpha": [0.001], "learning_rate_init": [0.01], "batch_size": [32]}, ignore=("batch_size",))
     assert len(maps) == 4 and {tuple(m[mlp.getParam("hidden")]) for m in maps} == {(50,), (100, 50)}
