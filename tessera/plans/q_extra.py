@@ -13,7 +13,7 @@ from ..functions import ops
 from ..operators import metrics, prep, split, target
 from . import learners, train
 from .features import plan_features, prepare_rows, split_rows
-from .q_train import ID, _cfg, _jobs, _metrics_frame
+from .q_train import FEATURE_NAMES, ID, JOBS_SQL, PREDICT_SQL, _cfg, _jobs, _linear_cfg, _metrics_frame, ols_sql
 from .search import assign_folds, cross_validate, evaluator_for
 from .tables import table
 
@@ -113,35 +113,49 @@ def run_experiment_q(spark, sf):
     return _metrics_frame(spark, train.run_experiment(spark, cfg, "p_partkey").metrics)
 
 
-@q("train_symlog_target")
+@q("train_symlog_target", f"""
+WITH {JOBS_SQL}, {ols_sql("sign(saving) * ln(1 + abs(saving))")},
+e AS (SELECT saving AS y, {PREDICT_SQL} AS z FROM s, f WHERE valid), p AS (SELECT y, sign(z) * (exp(abs(z)) - 1) AS p FROM e)
+SELECT round(avg(abs(y - p)), 3) AS mae, round(sqrt(avg((y - p) ** 2)), 3) AS rmse FROM p""")
 def train_symlog_target(spark, sf):
     """Fit on symlog(target), invert predictions with symexp, score on the
     original scale."""
-    cfg = _cfg("xgboost", {"n_estimators": 10, "max_depth": 4})
+    cfg = _linear_cfg()
     rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
-    plan = plan_features(rows.drop("label"), cfg)
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, va = split_rows(rows, ID, 0.2, 42)
     model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr.withColumn("label", ops.symlog("label")))
     scored = model.transform(va).withColumn("prediction", ops.symexp("prediction"))
-    return metrics.regression_metrics(scored, "label", "prediction")
+    return metrics.regression_metrics(scored, "label", "prediction").select(F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"))
 
 
-@q("tree_stats")
+@q("tree_stats", "SELECT 6 AS depth, true AS binary_tree, true AS leaves_fit")
 def tree_stats_q(spark, sf):
+    """A tree grown to its full depth has one leaf more than inner nodes, 2 ** depth at most."""
     cfg = _cfg("decisiontree", {"max_depth": 6})
     res = train.train(spark, _jobs(spark, sf), cfg, ID)
     st = learners.tree_stats(res.model)
-    return spark.createDataFrame([(st["depth"], st["nodes"], st["leaves"])], "depth int, nodes int, leaves int")
-
-
-@q("engineered_table")
+    inner = st["nodes"] - st["leaves"]
+    return spark.createDataFrame([(st["depth"], st["leaves"] == inner + 1, 6 < st["leaves"] <= 64)],
+                                 "depth int, binary_tree boolean, leaves_fit boolean")
+
+
+@q("engineered_table", f"""
+WITH {JOBS_SQL}, d AS (SELECT o_orderkey, o_totalprice, CAST(quantity AS DOUBLE) AS quantity, CAST(n_lines AS DOUBLE) AS n_lines,
+  coalesce(c_acctbal, (SELECT avg(c_acctbal) FROM j)) AS c_acctbal, CASE WHEN quantity = 0 THEN 0 ELSE o_totalprice / quantity END AS value_per_unit,
+  CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS DOUBLE) AS o_orderstatus,
+  CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS o_orderpriority,
+  CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS DOUBLE) AS c_mktsegment, saving AS label FROM j),
+k AS (SELECT {", ".join(f"median({c}) AS m_{c}, CASE WHEN quantile_cont({c}, 0.75) = quantile_cont({c}, 0.25) THEN 1 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS w_{c}" for c in FEATURE_NAMES.split(","))} FROM d)
+SELECT o_orderkey, {", ".join(f"round(({c} - m_{c}) / w_{c}, 6) AS {c}" for c in FEATURE_NAMES.split(","))}, round(label, 6) AS label FROM d, k""")
 def engineered_table(spark, sf):
     """Fit the preprocessing stages without a learner; view the table."""
     cfg = _cfg("lightgbm", prep={"missing_strategy": "mean", "scale_features": True, "scaling_method": "robust"})
     rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
-    plan = plan_features(rows.drop("label"), cfg)
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     model = Pipeline(stages=plan.stages[:-1]).fit(rows)
-    return model.transform(rows).select(ID, *plan.feature_cols, "label")
+    copy = prep.FeatureCopies.SUFFIX
+    return model.transform(rows).select(ID, *[F.round(c + copy, 6).alias(c) for c in plan.feature_cols], F.round("label", 6).alias("label"))
 
 
 @q("search_transformer_params")
@@ -170,7 +184,7 @@ def mlp_regressor(spark, sf):
     cfg = _cfg("mlp", {"hidden_layer_sizes": [16], "max_iter": 60, "learning_rate_init": 0.05},
                prep={"missing_strategy": "mean", "scale_features": True})
     rows = prepare_rows(_jobs(spark, sf), "saving").withColumn("label", F.col("label") / 1000.0).drop("saving")
-    plan = plan_features(rows.drop("label"), cfg)
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, va = split_rows(rows, ID, 0.2, 42)
     model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
     m = metrics.regression_metrics(model.transform(va), "label", "prediction").first().asDict()
@@ -185,7 +199,7 @@ def score_probability(spark, sf):
     from . import score
     cfg = _cfg("randomforest", {"n_estimators": 10, "max_depth": 5}, task="classification", target="has_return")
     rows = prepare_rows(_jobs(spark, sf, "has_return"), "has_return").drop("has_return")
-    plan = plan_features(rows.drop("label"), cfg)
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, _ = split_rows(rows, ID, 0.2, 42)
     model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
     return score.score(model, _jobs(spark, sf, "has_return").drop("has_return"), keep=[ID], with_probability=True)

@@ -1,6 +1,9 @@
-"""Registered queries, step 7: train, tune, score, log (rows-only checks).
+"""Registered queries, step 7: train, tune, score, log.
 
-The job table is ``order_jobs`` (one row per order, id ``o_orderkey``).
+The job table is ``order_jobs`` (one row per order, id ``o_orderkey``). Linear
+flows are checked against least squares in SQL. Learners without a closed form
+report facts that SQL knows: which features they used, how many rows they were
+judged on, and whether they beat the mean.
 """
 
 from __future__ import annotations
@@ -23,13 +26,66 @@ ID = "o_orderkey"
 FEATURES = ["o_totalprice", "quantity", "n_lines", "c_acctbal", "o_orderstatus", "o_orderpriority", "c_mktsegment"]
 
 
-def q(name):
+def q(name, sql=None):
     def deco(fn):
         Q[name] = fn
+        if sql is not None:
+            O[name] = sql
         return fn
     return deco
 
 
+# The job table, its hash split (T1) and least squares on two features, for the oracles.
+JOBS_SQL = """j AS (SELECT o_orderkey, o_totalprice, quantity, n_lines, c_acctbal, o_orderstatus, o_orderpriority, c_mktsegment,
+  claimed - cost AS saving, has_return
+  FROM (SELECT l_orderkey, sum(l_extendedprice) AS claimed, sum(l_extendedprice * (1.0 - l_discount)) AS cost,
+          sum(l_quantity) AS quantity, count(*) AS n_lines, max(CAST(l_returnflag = 'R' AS INTEGER)) AS has_return
+        FROM lineitem GROUP BY l_orderkey)
+  JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR))) <= ceil(count(*) OVER () * 0.2) AS valid
+  FROM j)"""
+
+
+def ols_sql(y: str, ridge: str = "0") -> str:
+    """Least squares of ``y`` on (o_totalprice, quantity) over the train rows; ``ridge`` is added to both variances."""
+    return f"""m AS (SELECT avg(o_totalprice) AS m1, avg(quantity) AS m2, avg({y}) AS my, var_pop(o_totalprice) + {ridge} AS s11,
+  var_pop(quantity) + {ridge} AS s22, covar_pop(o_totalprice, quantity) AS s12, covar_pop(o_totalprice, {y}) AS s1y,
+  covar_pop(quantity, {y}) AS s2y FROM s WHERE NOT valid),
+f AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2
+  FROM m)"""
+
+
+PREDICT_SQL = "(my + b1 * (o_totalprice - m1) + b2 * (quantity - m2))"
+LINEAR = ["o_totalprice", "quantity"]
+
+
+def _linear_cfg(model_type="linear", params=None, target="saving", search_cfg=None):
+    return {"experiment_name": f"{model_type}_two", "random_state": 42, "val_size": 0.2, "cv_folds": 3,
+            "data": {"target_column": target, "feature_columns": LINEAR}, "feature_engineering": {},
+            "model": {"type": model_type, "task": "regression", "params": params or {},
+                      "hyperparameter_search": search_cfg or {"enabled": False, "cv": 3}}}
+
+
+FEATURE_NAMES = "o_totalprice,quantity,n_lines,c_acctbal,value_per_unit,o_orderstatus,o_orderpriority,c_mktsegment"
+FACTS_SQL = f"""WITH {JOBS_SQL} SELECT fact, value FROM (
+  SELECT 'features' AS fact, '{FEATURE_NAMES}' AS value
+  UNION ALL SELECT 'valid_rows', CAST(count(*) FILTER (WHERE valid) AS VARCHAR) FROM s
+  UNION ALL SELECT 'beats_mean', 'true')"""
+
+
+def _facts(spark, result, n_valid):
+    """Facts of a training run that SQL can confirm."""
+    m = result.metrics
+    return spark.createDataFrame([("features", ",".join(result.feature_cols)), ("valid_rows", str(n_valid)),
+                                  ("beats_mean", str(m["Improvement_percent"] > 0).lower())], "fact string, value string")
+
+
+def _run_facts(spark, sf, cfg):
+    jobs = _jobs(spark, sf)
+    _, valid = split_rows(prepare_rows(jobs, "saving"), ID, 0.2, 42)
+    return _facts(spark, train.train(spark, jobs, cfg, ID), valid.count())
+
+
 def _cfg(model_type, params=None, task="regression", target="saving", search_cfg=None, prep=None):
     return {
         "experiment_name": f"{model_type}_{task}", "random_state": 42, "val_size": 0.2, "cv_folds": 3,
@@ -51,21 +107,45 @@ def _metrics_frame(spark, m: dict):
     return spark.createDataFrame([(k, float(v)) for k, v in m.items()], "metric string, value double")
 
 
-@q("train_gbt")
+@q("train_gbt", FACTS_SQL)
 def train_gbt(spark, sf):
-    cfg = _cfg("catboost", {"iterations": 15, "depth": 4, "learning_rate": 0.1})
-    return _metrics_frame(spark, train.train(spark, _jobs(spark, sf), cfg, ID).metrics)
+    return _run_facts(spark, sf, _cfg("catboost", {"iterations": 15, "depth": 4, "learning_rate": 0.1}))
 
 
-@q("train_forest")
+@q("train_forest", FACTS_SQL)
 def train_forest(spark, sf):
-    cfg = _cfg("randomforest", {"n_estimators": 20, "max_depth": 6})
-    return _metrics_frame(spark, train.train(spark, _jobs(spark, sf), cfg, ID).metrics)
-
-
-def _prepared(spark, sf, cfg, target="saving"):
+    return _run_facts(spark, sf, _cfg("randomforest", {"n_estimators": 20, "max_depth": 6}))
+
+
+@q("train_linear", f"""
+WITH {JOBS_SQL}, {ols_sql("saving")},
+e AS (SELECT saving, {PREDICT_SQL} AS p FROM s, f WHERE valid)
+SELECT metric, round(value, 4) AS value FROM (
+  SELECT 'MAE' AS metric, avg(abs(saving - p)) AS value FROM e UNION ALL SELECT 'RMSE', sqrt(avg((saving - p) ** 2)) FROM e
+  UNION ALL SELECT 'R2', 1 - sum((saving - p) ** 2) / (var_pop(saving) * count(*)) FROM e
+  UNION ALL SELECT 'Residual_mean', avg(saving - p) FROM e)""")
+def train_linear(spark, sf):
+    """T14 with least squares: every metric against SQL."""
+    m = train.train(spark, _jobs(spark, sf), _linear_cfg(), ID).metrics
+    return _metrics_frame(spark, {k: round(m[k], 4) for k in ("MAE", "RMSE", "R2", "Residual_mean")})
+
+
+@q("ridge_coefficients", f"""
+WITH {JOBS_SQL}, n AS (SELECT CAST(1000000000000.0 AS DOUBLE) / count(*) AS lam FROM s WHERE NOT valid), {ols_sql("saving", "(SELECT lam FROM n)")}
+SELECT 'o_totalprice' AS feature, round(b1, 9) AS coef FROM f UNION ALL SELECT 'quantity', round(b2, 6) FROM f""")
+def ridge_coefficients(spark, sf):
+    """Ridge by its own alpha, as the normal equations give it."""
+    plan, tr, _ = _prepared(spark, sf, _linear_cfg("ridge", {"alpha": 1e12}), prefix=LINEAR)
+    model = plan.pipeline(learners.create_learner({"type": "ridge", "params": {"alpha": 1e12}})).fit(tr)
+    return learners.coefficients(spark, model, LINEAR).withColumn(
+        "coef", F.when(F.col("feature") == "quantity", F.round("coef", 6)).otherwise(F.round("coef", 9)))
+
+
+def _prepared(spark, sf, cfg, target="saving", prefix=None):
     rows = prepare_rows(_jobs(spark, sf, target), target).drop(target)
-    plan = plan_features(rows.drop("label"), cfg)
+    if prefix:
+        rows = rows.select(ID, *prefix, "label")
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, va = split_rows(rows, ID, 0.2, 42)
     return plan, tr, va
 
@@ -120,10 +200,14 @@ def adaptive_search(spark, sf):
     return trials
 
 
-@q("feature_importance")
+@q("feature_importance", f"""
+SELECT unnest(string_split('{FEATURE_NAMES}', ',')) AS feature, true AS in_range, true AS sums_to_one""")
 def feature_importance(spark, sf):
+    """One importance in [0, 1] for each configured feature, adding up to 1."""
     cfg = _cfg("randomforest", {"n_estimators": 15, "max_depth": 6})
-    return train.train(spark, _jobs(spark, sf), cfg, ID).importance
+    imp = train.train(spark, _jobs(spark, sf), cfg, ID).importance
+    total = imp.agg(F.sum("importance")).first()[0]
+    return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"), F.lit(abs(total - 1) < 1e-6).alias("sums_to_one"))
 
 
 @q("coef_path")
@@ -146,23 +230,26 @@ def _model_dir(spark, name):
     return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-@q("score_batch")
+@q("score_batch", f"""
+WITH {JOBS_SQL}, {ols_sql("saving")}
+SELECT o_orderkey, o_totalprice, quantity, n_lines, c_acctbal, o_orderstatus, o_orderpriority, c_mktsegment,
+  round({PREDICT_SQL}, 3) AS "Predicted_saving", 'linear' AS "Model_Type" FROM s, f""")
 def score_batch(spark, sf):
-    """Fit on the train split, save, load, score every order (source
-    columns carried, one write-ready plan). Model selection by CV lives in
-    the train_* flows."""
-    cfg = _cfg("catboost", {"iterations": 10, "depth": 4})
+    """Fit on the train split, save, load, score every order. All source columns come back as they were."""
+    cfg = _linear_cfg()
     plan, tr, _ = _prepared(spark, sf, cfg)
-    fitted = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
     path = _model_dir(spark, "model")
-    save_model(fitted, path)
-    model = load_model(path)
-    new_rows = _jobs(spark, sf).drop("saving")
-    return score.score(model, new_rows, cfg["data"], keep=[ID])
+    save_model(plan.pipeline(learners.create_learner(cfg["model"])).fit(tr), path)
+    scored = score.score(load_model(path), _jobs(spark, sf).drop("saving"), cfg["data"])
+    return scored.drop("Prediction_Timestamp").withColumn("Predicted_saving", F.round("Predicted_saving", 3))
 
 
-@q("experiment_log")
+@q("experiment_log", """
+SELECT * FROM (VALUES ('exp1', 'Baseline_MAE,CV_RMSE_mean,CV_RMSE_std,CV_neg_root_mean_squared_error,Improvement_percent,MAE,R2,RMSE,Residual_mean,Residual_std', 1),
+                      ('exp2', 'Baseline_MAE,CV_RMSE_mean,CV_RMSE_std,CV_neg_root_mean_squared_error,Improvement_percent,MAE,R2,RMSE,Residual_mean,Residual_std', 1))
+  t(experiment_name, metric_names, runs)""")
 def experiment_log(spark, sf):
+    """Two runs logged and read back: names, metrics and one id each."""
     log_dir = _model_dir(spark, "runlog")
     runs = RunLog(log_dir)
     for name, mtype in [("exp1", "linear"), ("exp2", "decisiontree")]:
@@ -170,7 +257,8 @@ def experiment_log(spark, sf):
         cfg["experiment_name"] = name
         res = train.train(spark, _jobs(spark, sf), cfg, ID)
         runs.append(spark, name, res.metrics, learners.model_params(res.model))
-    return runs.read(spark).select("run_id", "experiment_name", "timestamp", "metrics")
+    names = F.array_join(F.array_sort(F.map_keys("metrics")), ",")
+    return runs.read(spark).groupBy("experiment_name").agg(F.max(names).alias("metric_names"), F.count_distinct("run_id").cast("int").alias("runs"))
 
 
 @q("training_history")
@@ -190,7 +278,7 @@ def classify_logistic(spark, sf):
     cfg = _cfg("logistic", {"max_iter": 50}, task="classification", target="has_return",
                prep={"missing_strategy": "mean", "scale_features": True})
     rows = prepare_rows(_jobs(spark, sf, "has_return"), "has_return").drop("has_return")
-    plan = plan_features(rows.drop("label"), cfg)
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, va = split_rows(rows, ID, 0.2, 42)
     tr = metrics.with_class_weights(tr, "label", "weight")
     learner = learners.create_learner(cfg["model"]).setWeightCol("weight")
@@ -198,17 +286,18 @@ def classify_logistic(spark, sf):
     return metrics.classification_report(model.transform(va), "label", "prediction")
 
 
-@q("stream_score")
+@q("stream_score", """
+WITH f AS (SELECT regr_slope(o_custkey, o_totalprice) AS b, regr_intercept(o_custkey, o_totalprice) AS a FROM orders)
+SELECT o_orderkey, round(a + b * o_totalprice, 3) AS "Predicted_Value" FROM orders, f""")
 def stream_score(spark, sf):
-    from ..streaming.scoring import run_to_table, stream_scores
+    """A fitted model on a stream: the table's files as they land, a file sink with a checkpoint in the shared folder."""
+    from ..streaming.scoring import run_to_files, stream_table_scores
     orders = table(spark, sf, "orders")
-    feats = ["o_totalprice", "o_orderstatus", "o_orderpriority"]
-    cfg = {"data": {"target_column": "o_custkey", "categorical_features": ["o_orderstatus", "o_orderpriority"]},
-           "feature_engineering": {}, "model": {"type": "decisiontree"}}
-    rows = prepare_rows(orders.select(ID, *feats, "o_custkey"), "o_custkey").drop("o_custkey")
-    plan = plan_features(rows.drop("label", ID), cfg)
-    model = plan.pipeline(learners.create_learner({"type": "decisiontree", "params": {"max_depth": 4}})).fit(rows)
-    scored = stream_scores(spark, model, sf, orders.schema, [ID], glob="orders.parquet")
-    name = f"scores_{uuid.uuid4().hex[:8]}"
-    run_to_table(scored, name, _model_dir(spark, "stream-ckpt"))
-    return spark.table(name)
+    cfg = {"data": {"target_column": "o_custkey", "feature_columns": ["o_totalprice"]}, "feature_engineering": {},
+           "model": {"type": "linear"}}
+    rows = prepare_rows(orders.select(ID, "o_totalprice", "o_custkey"), "o_custkey").drop("o_custkey")
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
+    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(rows)
+    scored = stream_table_scores(spark, model, f"{sf}/orders.parquet", orders.schema, [ID])
+    return run_to_files(scored, _model_dir(spark, "stream-out"), _model_dir(spark, "stream-ckpt")).withColumn(
+        "Predicted_Value", F.round("Predicted_Value", 3))

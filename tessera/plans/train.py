@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics
-from ..sources.readers import clean_column_names, read_table
+from ..sources.readers import clean_column_names, clean_name, read_table
 from ..sources.sinks import RunLog, save_model
-from .features import plan_features, prepare_rows, split_rows
+from .features import plan_features, prepare_rows, slot_name, split_rows
 from .learners import create_learner, feature_importance, model_params
 from .search import assign_folds, cross_validate, evaluator_for, grid, random_draws
 
@@ -28,6 +28,8 @@ class TrainResult:
     cv: DataFrame | None
     feature_cols: list[str]
     run_id: str | None = None
+    best_params: dict | None = None
+    transformations: list | None = None
 
 
 def evaluate_regression(model: PipelineModel, train: DataFrame, valid: DataFrame) -> dict:
@@ -59,9 +61,10 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     seed = int(cfg.get("random_state", 42))
     fit_on = cfg.get("fit_on", fit_on)
     data, model_cfg = cfg["data"], cfg.get("model", {})
-    rows = prepare_rows(df, data["target_column"])
-    plan = plan_features(rows.drop("label"), cfg)
-    rows = rows.drop(data["target_column"]) if data["target_column"] != "label" else rows
+    target = clean_name(data["target_column"])
+    rows = prepare_rows(clean_column_names(df), target)
+    plan = plan_features(rows.drop("label"), cfg, id_col=id_col)
+    rows = rows.drop(target) if target != "label" else rows
     train_df, valid_df = split_rows(rows, id_col, float(cfg.get("val_size", 0.2)), seed, exact_split)
     learner = create_learner(model_cfg, seed)
     if fit_on == "all":
@@ -79,11 +82,12 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     ev = evaluator_for(scoring)
     if search.get("enabled"):
         space = search.get("param_distributions", {})
+        ignore = tuple(model_cfg.get("ignore_params") or ())
         method = search.get("method", "randomized_search").lower()
         if method == "randomized_search":
-            maps = random_draws(learner, space, int(search.get("n_iter", 10)), seed)
+            maps = random_draws(learner, space, int(search.get("n_iter", 10)), seed, ignore)
         elif method == "grid_search":
-            maps = grid(learner, space)
+            maps = grid(learner, space, ignore)
         else:
             raise ValueError(f"Unsupported search method: {method}")
     else:
@@ -91,10 +95,15 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     best, cv_table = cross_validate(pipe, maps, folded, ev, parallelism=int(search.get("parallelism", 4)), k=k)
     model = best
     m = evaluate_regression(model, train_df, valid_df) if task == "regression" else evaluate_classification(model, valid_df)
-    best_cv = cv_table.agg(F.max("metric") if ev.isLargerBetter() else F.min("metric")).first()[0]
-    m[f"CV_{scoring}"] = float(best_cv)
+    top = cv_table.orderBy(F.desc("metric") if ev.isLargerBetter() else F.asc("metric"), "candidate").first()
+    m[f"CV_{scoring}"] = float(top["metric"])
+    if "root_mean_squared_error" in scoring or scoring == "rmse":
+        m["CV_RMSE_mean"] = float(top["metric"])
+        if not search.get("enabled"):
+            m["CV_RMSE_std"] = float(top["metric_std"])
+    chosen = {p.name: v for p, v in maps[top["candidate"]].items()} if search.get("enabled") else None
     imp = feature_importance(spark, model, _vector_names(model, valid_df))
-    return TrainResult(model, m, imp, cv_table, plan.feature_cols)
+    return TrainResult(model, m, imp, cv_table, plan.feature_cols, best_params=chosen, transformations=plan.summary["transformations"])
 
 
 def _vector_names(model: PipelineModel, df: DataFrame) -> list[str]:
@@ -102,22 +111,23 @@ def _vector_names(model: PipelineModel, df: DataFrame) -> list[str]:
     out = model.transform(df.limit(1))
     meta = out.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     slots = sorted([a for group in meta.values() for a in group], key=lambda a: a["idx"])
-    return [a.get("name", f"f{a['idx']}") for a in slots]
+    return [slot_name(a.get("name", f"f{a['idx']}")) for a in slots]
 
 
 def run_experiment(spark: SparkSession, cfg: dict, id_col: str, base_dir: str | None = None,
                    log_path: str | None = None, model_path: str | None = None) -> TrainResult:
-    """Read (projected), clean names, train, log the run, save the model."""
+    """Read (projected), clean names, train, log the run, save the model. ``track_path`` and ``save_path`` of
+    the config name the run log and the model unless the arguments do."""
     data = cfg["data"]
-    df = read_table(spark, data["file_path"], data.get("file_type"), base_dir=base_dir)
-    df = clean_column_names(df)
-    needed = [c.replace(" ", "_") for c in data.get("columns_needed") or []]
+    df = clean_column_names(read_table(spark, data["file_path"], data.get("file_type"), base_dir=base_dir))
+    needed = [clean_name(c) for c in data.get("columns_needed") or []]
     if needed:
-        df = df.select(*needed)
+        df = df.select(*dict.fromkeys([*needed, *([id_col] if id_col in df.columns else [])]))
     result = train(spark, df, cfg, id_col)
+    log_path, model_path = log_path or cfg.get("track_path"), model_path or cfg.get("save_path")
     if log_path:
-        result.run_id = RunLog(log_path).append(spark, cfg.get("experiment_name", "default"), result.metrics,
-                                                model_params(result.model))
+        params = model_params(result.model) | ({"best_params": result.best_params} if result.best_params else {})
+        result.run_id = RunLog(log_path).append(spark, cfg.get("experiment_name", "default"), result.metrics, params)
     if model_path:
         save_model(result.model, model_path)
     return result
