@@ -155,11 +155,18 @@ class ToxicityModel:
 
 def pick_landmarks(docs: list[list[list[str]]], y: np.ndarray, n: int, least: float = 3.0) -> list[str]:
     """Words and word beginnings that mark toxic documents beyond chance, none of them close to an earlier one."""
-    seen, total = (Counter(), Counter()), [1, 1]
-    for label in (0, 1):  # distinct sentences: copies of a document say nothing new
-        for ws in {frozenset(ws) for s, own in zip(docs, y.tolist()) if own == label for ws in s}:
-            seen[label].update({w[:k] for w in marked(list(ws)) for k in {*range(5, 10), len(w)} if 5 <= len(w[:k]) <= 26})
-            total[label] += 1
+    seen, total = [Counter(), Counter()], [1, 1]
+    for label in (1, 0):  # distinct sentences: copies of a document say nothing new
+        met: set[int] = set()
+        for ws in (ws for s, own in zip(docs, y.tolist()) if own == label for ws in s):
+            if (key := hash(frozenset(ws))) in met:
+                continue
+            met.add(key)
+            parts = {w[:k] for w in marked(list(set(ws))) for k in {*range(5, 10), len(w)} if 5 <= len(w[:k]) <= 26}
+            seen[label].update(parts if label else [w for w in parts if w in seen[1]])
+        total[label] += len(met)
+        if label:  # a word of two sentences at most marks nothing
+            seen[1] = Counter({w: k for w, k in seen[1].items() if k > 2})
     n0, n1 = total
     score = {}
     for w, k in seen[1].items():
@@ -196,23 +203,22 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float) -> tuple[np
 def train_toxicity(texts: list[str], labels: list[int], landmarks: int = 64, rounds: int = 4, c: float = 20.0) -> ToxicityModel:
     y = np.array(labels, np.int64)
     prior = float(y.mean()) if len(y) else 0.0
-    docs = [sentences(t) for t in texts]
+    same: dict[str, str] = {}  # one object per distinct word
+    docs = [[[same.setdefault(w, w) for w in ws] for ws in sentences(t)] for t in texts]
     names = pick_landmarks(docs, y, landmarks) if 0 < prior < 1 else []
     if not names:
         return ToxicityModel(None, np.zeros(0), 0.0, 0.0, 1.0, prior)
     kernel = WordKernel(names)
     words = sorted({w for s in docs for ws in s for w in ws}) or [""]
     place = {w: k for k, w in enumerate(words)}
-    parts = [kernel(marked(words[s:s + (1 << 13)])) for s in range(0, len(words), 1 << 13)]
-    of_word = np.vstack(parts)
-    flat = [sorted(set(ws)) for s in docs for ws in s]
+    of_word = np.vstack([kernel(marked(words[s:s + (1 << 12)])).astype(np.float32) for s in range(0, len(words), 1 << 12)])
+    flat = [ws for s in docs for ws in s]
     doc = np.repeat(np.arange(len(docs)), [len(s) for s in docs])
-    sent = np.repeat(np.arange(len(flat)), [len(ws) for ws in flat])
-    at = np.fromiter((place[w] for ws in flat for w in ws), np.int64, len(sent))
     x = np.zeros((len(flat), len(names)))
-    if len(at):
-        first = np.flatnonzero(np.concatenate(([True], sent[1:] != sent[:-1])))
-        x[sent[first]] = np.add.reduceat(of_word[at], first)
+    for k, ws in enumerate(flat):
+        if ws:
+            x[k] = of_word[[place[w] for w in set(ws)]].sum(axis=0)
+    del of_word, place, words
     gram = kernel(names).astype(np.float64)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
@@ -240,7 +246,7 @@ def train_toxicity(texts: list[str], labels: list[int], landmarks: int = 64, rou
     return ToxicityModel(kernel, root @ u, bias, float(middle), float(scale), prior)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1500, label: str = "toxic") -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 1000, label: str = "toxic") -> ToxicityModel:
     """Train on the sentences of at most ``per_class`` labelled documents of either class."""
     rows = label_sample(docs, labels, label, per_class).select("doc_id", "text", "y").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.text)))
