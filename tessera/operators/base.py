@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# A fitted map up to LOCAL_ROWS rows is fetched and rebuilt as a local
-# relation; larger maps stay distributed (checkpointed). Maps up to
-# BROADCAST_ROWS are broadcast in the lookup join, larger ones shuffle-joined.
-LOCAL_ROWS = 100_000
-BROADCAST_ROWS = 1_000_000
+# A fitted map of at most MAP_BYTES (measured) becomes a local relation and is
+# broadcast in the lookup join; a larger one stays distributed and is joined by
+# a shuffle, which the adaptive planner may still turn into a broadcast.
+MAP_BYTES = 8 << 20
+BROADCAST_ROWS = 1_000_000  # rows noted for a map within MAP_BYTES never exceed this
 
 
 class HasInputCols(Params):
@@ -38,22 +38,26 @@ class HasState(Params):
         return json.loads(self.getOrDefault(self.state)) if self.isDefined(self.state) else {}
 
 
-def settle_map(mapping: DataFrame) -> tuple[DataFrame, int]:
-    """Materialise a fitted map: small -> local relation, large -> checkpoint.
+def small_rows(held: DataFrame) -> list | None:
+    """The rows of a materialised frame if they measure at most MAP_BYTES, else None."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in held.schema.fields if f.dataType.simpleString() == "string"]
+    width = sum(text, F.lit(16 * len(held.columns)))
+    size = held.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return held.collect() if size <= MAP_BYTES else None
+
 
-    At most LOCAL_ROWS + 1 rows are fetched to decide, so the driver never
-    receives an unbounded map.
-    """
-    rows = mapping.limit(LOCAL_ROWS + 1).collect()
-    if len(rows) <= LOCAL_ROWS:
+def settle_map(mapping: DataFrame) -> tuple[DataFrame, int]:
+    """Materialise a fitted map and note its rows: local if it measures at most MAP_BYTES, else distributed."""
+    held = cut_lineage(mapping)
+    rows = small_rows(held)
+    if rows is not None:
         return mapping.sparkSession.createDataFrame(rows, mapping.schema), len(rows)
-    big = cut_lineage(mapping)
-    return big, big.count()
+    return held, max(held.count(), BROADCAST_ROWS + 1)
 
 
 def lookup(df: DataFrame, mapping: DataFrame, n_rows: int, on_left, on_right) -> DataFrame:
-    """Left lookup join; broadcast only when the map's row count (known from
-    fit) is under the bound, otherwise a regular shuffle join."""
+    """Left lookup join; broadcast only when the map was measured to be small at
+    fit time, otherwise a regular shuffle join."""
     right = F.broadcast(mapping) if n_rows <= BROADCAST_ROWS else mapping
     return df.join(right, on_left == on_right, "left")
 
@@ -96,4 +100,4 @@ class MapModel(Model, HasInputCols, HasState, MLWritable, MLReadable):
 
 
 __all__ = ["Estimator", "Model", "Transformer", "DefaultParamsReadable", "DefaultParamsWritable",
-           "HasInputCols", "HasState", "MapModel", "settle_map", "lookup", "BROADCAST_ROWS", "LOCAL_ROWS"]
+           "HasInputCols", "HasState", "MapModel", "settle_map", "lookup", "small_rows", "BROADCAST_ROWS", "MAP_BYTES"]

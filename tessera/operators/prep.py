@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.stats import quantiles
-from .base import (LOCAL_ROWS, DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState,
-                   MapModel, Model, Transformer, lookup, settle_map)
+from ..session import cut_lineage
+from .base import (DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState, MapModel, Model,
+                   Transformer, lookup, settle_map, small_rows)
 from .ordered import global_rank
 
 log = logging.getLogger(__name__)
@@ -171,9 +172,10 @@ class LabelEncoder(Estimator, HasInputCols, DefaultParamsReadable, DefaultParams
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
         ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull()).distinct()
-        small = long.limit(LOCAL_ROWS + 1).collect()
-        if len(small) <= LOCAL_ROWS:
-            # Bounded: codes are assigned from the sorted distinct values.
+        long = cut_lineage(long)
+        small = small_rows(long)
+        if small is not None:
+            # Measured to be small: codes are assigned from the sorted distinct values.
             rows, by_col = [], {}
             for r in small:
                 by_col.setdefault(r["column_name"], []).append(r["value"])

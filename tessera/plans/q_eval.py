@@ -6,10 +6,12 @@ target), so every metric has an exact SQL twin.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions.stats import quantiles
 from ..operators import metrics, profile, split
+from .learners import create_learner
 from .tables import LINEITEM_JOBS_SQL as LJ
 from .tables import lineitem_jobs, table
 
@@ -245,10 +247,13 @@ SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
   round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,
   round(regr_r2(l_extendedprice, l_quantity), 9) AS r2 FROM lineitem""")
 def ols_closed_form(spark, sf):
-    li = table(spark, sf, "lineitem")
-    y, x = F.col("l_extendedprice"), F.col("l_quantity")
-    return li.agg(F.round(F.regr_slope(y, x), 6).alias("slope"), F.round(F.regr_intercept(y, x), 6).alias("intercept"),
-                  F.round(F.regr_r2(y, x), 9).alias("r2"))
+    """The linear learner on one feature: coefficient, intercept and R2."""
+    li = table(spark, sf, "lineitem").select(array_to_vector(F.array(F.col("l_quantity").cast("double"))).alias("features"),
+                                             F.col("l_extendedprice").alias("label"))
+    model = create_learner({"type": "linear"}).fit(li)
+    rows = [(float(model.coefficients[0]), float(model.intercept), float(model.summary.r2))]
+    fitted = spark.createDataFrame(rows, "slope double, intercept double, r2 double")
+    return fitted.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), F.round("r2", 9).alias("r2"))
 
 
 @q("overfit_gap", f"""

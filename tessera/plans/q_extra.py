@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import ops
 from ..operators import metrics, prep, split, target
-from . import learners, train
+from ..sources.sinks import RunLog, load_model
+from . import learners, score, train
 from .features import plan_features, prepare_rows, split_rows
-from .q_train import FEATURE_NAMES, ID, JOBS_SQL, PREDICT_SQL, _cfg, _jobs, _linear_cfg, _metrics_frame, ols_sql
+from .q_train import FEATURE_NAMES, ID, JOBS_SQL, PREDICT_SQL, _cfg, _jobs, _linear_cfg, _model_dir, ols_sql
 from .search import assign_folds, cross_validate, evaluator_for
 from .tables import table
 
@@ -101,16 +102,23 @@ def impute_by_kind_q(spark, sf):
 
 # --- rows-only training flows ---------------------------------------------------
 
-@q("run_experiment")
+@q("run_experiment", """
+SELECT 'features' AS fact, 'p_size,p_brand,p_type' AS value
+UNION ALL SELECT 'runs_logged', '1' UNION ALL SELECT 'scored_rows', CAST(count(*) AS VARCHAR) FROM part""")
 def run_experiment_q(spark, sf):
-    """T15 from a config naming a file (the part table)."""
+    """T15 from a config naming a file (the part table), with its run log and model paths."""
     cfg = {"experiment_name": "part_price", "random_state": 42, "val_size": 0.2, "cv_folds": 3,
            "data": {"file_path": f"{sf}/part.parquet", "file_type": "parquet",
                     "columns_needed": ["p_partkey", "p_size", "p_brand", "p_type", "p_retailprice"],
                     "target_column": "p_retailprice", "categorical_features": ["p_brand", "p_type"]},
            "feature_engineering": {"preprocessing": {"missing_strategy": "median"}},
            "model": {"type": "lightgbm", "task": "regression", "params": {"n_estimators": 10, "max_depth": 4}}}
-    return _metrics_frame(spark, train.run_experiment(spark, cfg, "p_partkey").metrics)
+    cfg |= {"track_path": _model_dir(spark, "runs"), "save_path": _model_dir(spark, "model")}
+    result = train.run_experiment(spark, cfg, "p_partkey")
+    scored = score.score(load_model(cfg["save_path"]), table(spark, sf, "part").drop("p_retailprice"), cfg["data"])
+    facts = [("features", ",".join(result.feature_cols)), ("runs_logged", str(RunLog(cfg["track_path"]).read(spark).count())),
+             ("scored_rows", str(scored.where("Predicted_p_retailprice is not null").count()))]
+    return spark.createDataFrame(facts, "fact string, value string")
 
 
 @q("train_symlog_target", f"""
@@ -158,27 +166,30 @@ def engineered_table(spark, sf):
     return model.transform(rows).select(ID, *[F.round(c + copy, 6).alias(c) for c in plan.feature_cols], F.round("label", 6).alias("label"))
 
 
-@q("search_transformer_params")
+@q("search_transformer_params", """SELECT * FROM (VALUES (0, '{''smoothing'': 0.0, ''maxDepth'': 3}', true), (1, '{''smoothing'': 0.0, ''maxDepth'': 5}', true),
+  (2, '{''smoothing'': 10.0, ''maxDepth'': 3}', true), (3, '{''smoothing'': 10.0, ''maxDepth'': 5}', true)) t(candidate, params, positive)""")
 def search_transformer_params(spark, sf):
     """The grid spans a transformer Param (tier smoothing) and a learner Param."""
     jobs = _jobs(spark, sf)
     rows = prepare_rows(jobs, "saving").drop("saving")
     tiers = target.TargetTierGrouper(["c_mktsegment"], "label")
-    base = plan_features(rows.drop("label", "c_mktsegment"), _cfg("decisiontree"))
+    cfg = _cfg("decisiontree")
+    cfg["data"]["feature_columns"] = [c for c in cfg["data"]["feature_columns"] if c != "c_mktsegment"]
+    base = plan_features(rows.drop("label", "c_mktsegment"), cfg, id_col=ID)
     learner = learners.create_learner({"type": "decisiontree"})
     pipe = Pipeline(stages=[prep.CategoricalBaseline(["c_mktsegment"]), tiers,
                             prep.LabelEncoder(["c_mktsegment_Tier"])] + base.stages[:-1] + [
-        VectorAssembler(inputCols=base.feature_cols + ["c_mktsegment_Tier"], outputCol="features",
+        VectorAssembler(inputCols=base.stages[-1].getInputCols() + ["c_mktsegment_Tier"], outputCol="features",
                         handleInvalid="keep"),
         learner])
     grid = (ParamGridBuilder().addGrid(tiers.smoothing, [0.0, 10.0]).addGrid(learner.maxDepth, [3, 5]).build())
     tr, _ = split_rows(rows, ID, 0.2, 42)
     folded = assign_folds(tr, ID, 3)
     _, table_ = cross_validate(pipe, grid, folded, evaluator_for("neg_root_mean_squared_error"), 2, 3)
-    return table_
+    return table_.select("candidate", "params", (F.col("metric") > 0).alias("positive"))
 
 
-@q("mlp_regressor")
+@q("mlp_regressor", "SELECT true AS loss_falls, true AS explains, true AS mae_below_rmse")
 def mlp_regressor(spark, sf):
     """MLP regression as a distributed gradient job (scaled inputs)."""
     cfg = _cfg("mlp", {"hidden_layer_sizes": [16], "max_iter": 60, "learning_rate_init": 0.05},
@@ -187,19 +198,21 @@ def mlp_regressor(spark, sf):
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, va = split_rows(rows, ID, 0.2, 42)
     model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
-    m = metrics.regression_metrics(model.transform(va), "label", "prediction").first().asDict()
-    m["final_train_mse"] = model.stages[-1].history[-1]
-    return _metrics_frame(spark, {k: v for k, v in m.items() if k != "n"})
+    m = metrics.regression_metrics(model.transform(va), "label", "prediction").first()
+    history = model.stages[-1].history
+    return spark.createDataFrame([(history[-1] < history[0], m["r2"] > 0, m["mae"] <= m["rmse"])],
+                                 "loss_falls boolean, explains boolean, mae_below_rmse boolean")
 
 
-@q("score_probability")
+@q("score_probability", f"WITH {JOBS_SQL} SELECT o_orderkey, true AS in_range, true AS agrees FROM j")
 def score_probability(spark, sf):
     """T16 + T26: a classifier scored in batch with the positive-class
-    probability stamped next to the prediction."""
-    from . import score
+    probability stamped next to the prediction; the two agree."""
     cfg = _cfg("randomforest", {"n_estimators": 10, "max_depth": 5}, task="classification", target="has_return")
     rows = prepare_rows(_jobs(spark, sf, "has_return"), "has_return").drop("has_return")
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
     tr, _ = split_rows(rows, ID, 0.2, 42)
     model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
-    return score.score(model, _jobs(spark, sf, "has_return").drop("has_return"), keep=[ID], with_probability=True)
+    scored = score.score(model, _jobs(spark, sf, "has_return").drop("has_return"), keep=[ID], with_probability=True)
+    p = F.col("Probability")
+    return scored.select(ID, p.between(0, 1).alias("in_range"), ((p > 0.5).cast("double") == F.col("Predicted_Value")).alias("agrees"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import bins, ops
 from ..operators.profile import grouped_count_mean, grouped_mean
 from ..sources.readers import clean_column_names
+from .features import prepare_rows
 from .tables import LINEITEM_JOBS_SQL as LJ
 from .tables import lineitem_jobs, table
 
@@ -217,10 +218,9 @@ SELECT count(*) AS n_before, count(nullif(l_discount, 0)) AS n_after,
 FROM lineitem""")
 def drop_null_target(spark, sf):
     df = table(spark, sf, "lineitem").select(F.nullif("l_discount", F.lit(0.0)).alias("target"))
-    # The kept rows are df.na.drop(subset=[target]); both counts come from one agg.
-    # (the mean of the kept rows equals avg over the column, as avg skips nulls)
-    stats = df.agg(F.count(F.lit(1)).alias("n_before"), F.count("target").alias("n_after"),
-                   F.round(F.avg("target"), 9).alias("mean_target"))
+    before = df.select(F.lit(1).alias("all"), F.lit(0).alias("kept"), F.lit(None).cast("double").alias("label"))
+    after = prepare_rows(df, "target").select(F.lit(0).alias("all"), F.lit(1).alias("kept"), "label")
+    stats = before.union(after).agg(F.sum("all").alias("n_before"), F.sum("kept").alias("n_after"), F.round(F.avg("label"), 9).alias("mean_target"))
     return stats.select("n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_dropped"),
                         "mean_target")
 

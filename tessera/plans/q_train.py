@@ -14,7 +14,7 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ..operators import metrics
+from ..operators import metrics, profile
 from ..session import ensure_checkpoint_dir
 from ..sources.sinks import RunLog, load_model, save_model
 from . import learners, score, search, train
@@ -150,54 +150,109 @@ def _prepared(spark, sf, cfg, target="saving", prefix=None):
     return plan, tr, va
 
 
-@q("train_linear_family")
+# One feature: every penalty has a closed form. soft() is the soft threshold.
+ONE_SQL = f"""{JOBS_SQL}, soft AS (SELECT avg(quantity) AS mx, avg(saving) AS my, var_pop(quantity) AS sxx, covar_pop(quantity, saving) AS sxy,
+  count(*) AS n FROM s WHERE NOT valid)"""
+ONE = ["quantity"]
+
+
+def _one_cfg(model_type, params=None, search_cfg=None):
+    cfg = _linear_cfg(model_type, params, search_cfg=search_cfg)
+    cfg["data"]["feature_columns"] = ONE
+    return cfg
+
+
+@q("train_linear_family", f"""
+WITH {ONE_SQL}, b AS (
+  SELECT 'linear' AS model, sxy / sxx AS b FROM soft UNION ALL SELECT 'ridge', sxy / (sxx + 100000.0 / n) FROM soft
+  UNION ALL SELECT 'lasso', sign(sxy) * greatest(abs(sxy) - 50.0, 0) / sxx FROM soft
+  UNION ALL SELECT 'elasticnet', sign(sxy) * greatest(abs(sxy) - 25.0, 0) / (sxx + 25.0) FROM soft)
+SELECT model, round(avg(abs(saving - my - b * (quantity - mx))), 3) AS mae, round(sqrt(avg((saving - my - b * (quantity - mx)) ** 2)), 3) AS rmse
+FROM s, soft, b WHERE valid GROUP BY model""")
 def train_linear_family(spark, sf):
-    cfg = _cfg("linear", prep={"missing_strategy": "mean", "scale_features": True, "scaling_method": "standard"})
-    plan, tr, va = _prepared(spark, sf, cfg)
+    """T17 over the linear family, each by its own alpha."""
+    plan, tr, va = _prepared(spark, sf, _one_cfg("linear"))
     ls = {t: learners.create_learner({"type": t, "params": p}) for t, p in [
-        ("linear", {}), ("ridge", {"alpha": 0.1}), ("lasso", {"alpha": 0.1}),
-        ("elasticnet", {"alpha": 0.1, "l1_ratio": 0.5})]}
-    return train.compare_models(spark, tr, va, plan.stages, ls)
+        ("linear", {}), ("ridge", {"alpha": 100000.0}), ("lasso", {"alpha": 50.0}),
+        ("elasticnet", {"alpha": 50.0, "l1_ratio": 0.5})]}
+    table_ = train.compare_models(spark, tr, va, plan.stages, ls)
+    return table_.select("model", F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"))
 
 
-@q("model_comparison")
+@q("model_comparison", """SELECT * FROM (VALUES ('decisiontree', true, true), ('randomforest', true, true), ('gbt', true, true), ('linear', true, true))
+  t(model, explains, mae_below_rmse)""")
 def model_comparison(spark, sf):
+    """Every learner explains some of the variance and no mean error exceeds the squared one's root."""
     cfg = _cfg("randomforest")
     plan, tr, va = _prepared(spark, sf, cfg)
     ls = {"decisiontree": learners.create_learner({"type": "decisiontree", "params": {"max_depth": 5}}),
           "randomforest": learners.create_learner({"type": "randomforest", "params": {"n_estimators": 10}}),
           "gbt": learners.create_learner({"type": "xgboost", "params": {"n_estimators": 10, "max_depth": 3}}),
           "linear": learners.create_learner({"type": "linear"})}
-    return train.compare_models(spark, tr, va, plan.stages, ls)
+    table_ = train.compare_models(spark, tr, va, plan.stages, ls)
+    return table_.select("model", (F.col("r2") > 0).alias("explains"), (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse"))
+
+
+def cv_sql(alphas: list[float], score: str, digits: int = 3) -> str:
+    """Cross-validated ridge on one feature: folds are ranges of the hash order of the train rows."""
+    values = ", ".join(f"({i}, CAST({a!r} AS DOUBLE), '{{''alpha'': {a!r}}}')" for i, a in enumerate(alphas))
+    return f"""WITH {JOBS_SQL}, t AS (SELECT quantity AS x, saving AS y, count(*) OVER () AS n,
+  row_number() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR))) - 1 AS r FROM s WHERE NOT valid),
+g AS (SELECT x, y, CASE WHEN r < (n % 3) * (n // 3 + 1) THEN r // (n // 3 + 1)
+                   ELSE (n % 3) + (r - (n % 3) * (n // 3 + 1)) // (n // 3) END AS fold FROM t),
+a AS (SELECT * FROM (VALUES {values}) v(candidate, alpha, params)),
+fit AS (SELECT f.fold, candidate, params, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / (var_pop(x) + alpha / count(*)) AS b
+        FROM g JOIN (SELECT DISTINCT fold FROM g) f ON g.fold <> f.fold, a GROUP BY f.fold, candidate, alpha, params),
+e AS (SELECT fold, candidate, params, {score} AS v FROM g JOIN fit USING (fold) GROUP BY fold, candidate, params)
+SELECT CAST(candidate AS INTEGER) AS candidate, round(avg(v), {digits}) AS metric, round(stddev_pop(v), {digits}) AS metric_std, params
+FROM e GROUP BY candidate, params"""
+
+
+RMSE_SQL, MAE_SQL = "sqrt(avg((y - my - b * (x - mx)) ** 2))", "avg(abs(y - my - b * (x - mx)))"
+
+
+def _cv_rows(result):
+    return result.cv.select("candidate", F.round("metric", 3).alias("metric"), F.round("metric_std", 3).alias("metric_std"), "params")
 
 
-@q("grid_search")
+@q("cv_linear", cv_sql([0.0], RMSE_SQL).replace("{'alpha': 0.0}", "{}").replace("{''alpha'': 0.0}", "{}"))
+def cv_linear(spark, sf):
+    """cross_validate of the linear learner, mean and deviation over the folds."""
+    return _cv_rows(train.train(spark, _jobs(spark, sf), _one_cfg("linear"), ID))
+
+
+@q("grid_search", cv_sql([0.0, 100000.0, 10000000.0], RMSE_SQL))
 def grid_search(spark, sf):
-    cfg = _cfg("xgboost", {"n_estimators": 8}, search_cfg={
+    """Every alpha of the grid, cross-validated."""
+    cfg = _one_cfg("ridge", search_cfg={
         "enabled": True, "method": "grid_search", "cv": 3, "scoring": "neg_root_mean_squared_error",
-        "param_distributions": {"max_depth": [3, 5], "learning_rate": [0.1, 0.3]}})
-    return train.train(spark, _jobs(spark, sf), cfg, ID).cv
+        "param_distributions": {"alpha": [0.0, 100000.0, 10000000.0]}})
+    return _cv_rows(train.train(spark, _jobs(spark, sf), cfg, ID))
 
 
-@q("random_search")
+@q("random_search", cv_sql([0.0, 1000.0], MAE_SQL))
 def random_search(spark, sf):
-    cfg = _cfg("randomforest", search_cfg={
-        "enabled": True, "method": "randomized_search", "n_iter": 3, "cv": 3, "scoring": "neg_mean_absolute_error",
-        "param_distributions": {"n_estimators": [5, 10, 20], "max_depth": [3, 5, 7]}})
-    return train.train(spark, _jobs(spark, sf), cfg, ID).cv
+    """The two draws of seed 42 out of four alphas (places 0 and 3 of the list below)."""
+    cfg = _one_cfg("ridge", search_cfg={
+        "enabled": True, "method": "randomized_search", "n_iter": 2, "cv": 3, "scoring": "neg_mean_absolute_error",
+        "param_distributions": {"alpha": [0.0, 100000.0, 10000000.0, 1000.0]}})
+    return _cv_rows(train.train(spark, _jobs(spark, sf), cfg, ID))
 
 
-@q("adaptive_search")
+@q("adaptive_search", "SELECT 12 AS trials, 12 AS distinct_trials, true AS later_no_worse, true AS in_space")
 def adaptive_search(spark, sf):
-    cfg = _cfg("decisiontree")
+    """Distinct trials inside typed dimensions; the best of all is no worse than the best of the random start."""
+    cfg = _one_cfg("decisiontree")
     plan, tr, _ = _prepared(spark, sf, cfg)
     learner = learners.create_learner(cfg["model"])
     folded = search.assign_folds(tr, ID, 3)
     _, trials = search.adaptive_search(plan.pipeline(learner), learner,
-                                       {"max_depth": [2, 3, 4, 5, 6, 8], "min_samples_leaf": [1, 5, 20]},
-                                       folded, search.evaluator_for("neg_root_mean_squared_error"),
-                                       n_trials=5, n_startup=2)
-    return trials
+                                       {"max_depth": {"low": 2, "high": 8}, "min_samples_leaf": [1, 5, 20]},
+                                       folded, search.evaluator_for("neg_root_mean_squared_error"), n_trials=12, n_startup=4)
+    depth = F.regexp_extract("params", r"'max_depth': (\d+)", 1).cast("int")
+    return trials.agg(F.count("*").cast("int").alias("trials"), F.count_distinct("params").cast("int").alias("distinct_trials"),
+                      (F.min("metric") <= F.min(F.when(F.col("trial") < 4, F.col("metric")))).alias("later_no_worse"),
+                      F.every(depth.between(2, 8)).alias("in_space"))
 
 
 @q("feature_importance", f"""
@@ -210,20 +265,32 @@ def feature_importance(spark, sf):
     return imp.select("feature", F.col("importance").between(0, 1).alias("in_range"), F.lit(abs(total - 1) < 1e-6).alias("sums_to_one"))
 
 
-@q("coef_path")
+ALPHAS = [0.01, 10.0, 100.0, 1000.0]
+PATH_SQL = f"""WITH {ONE_SQL}, p AS (SELECT alpha, sign(sxy) * greatest(abs(sxy) - alpha, 0) / sxx AS coef FROM soft,
+  (SELECT unnest({ALPHAS}) AS alpha))"""
+
+
+def _lasso_path(spark, sf):
+    plan, tr, _ = _prepared(spark, sf, _one_cfg("lasso"))
+    return train.coefficient_path(spark, tr, plan.stages, plan.feature_cols, ALPHAS)
+
+
+@q("coef_path", f"{PATH_SQL} SELECT CAST(alpha AS DOUBLE) AS alpha, 'quantity' AS feature, round(coef, 4) AS coef FROM p")
 def coef_path(spark, sf):
-    cfg = _cfg("lasso", prep={"missing_strategy": "mean", "scale_features": True})
-    plan, tr, _ = _prepared(spark, sf, cfg)
-    # Label-encoded categoricals take one slot each, so the assembler inputs name the slots.
-    return train.coefficient_path(spark, tr, plan.stages, plan.feature_cols, [0.01, 0.1, 1.0, 10.0])
+    """The lasso path of one feature."""
+    return _lasso_path(spark, sf).withColumn("coef", F.round("coef", 4))
 
 
-@q("coef_stats")
+@q("coef_stats", f"""{PATH_SQL} SELECT CAST(alpha AS DOUBLE) AS alpha, CAST(abs(coef) > 1e-10 AS BIGINT) AS n_nonzero, round(abs(coef), 4) AS max_abs FROM p""")
 def coef_stats_q(spark, sf):
     """G23 per regularisation strength."""
-    path = coef_path(spark, sf)
-    return path.groupBy("alpha").agg(F.count_if(F.abs("coef") > 1e-10).cast("long").alias("n_nonzero"),
-                                     F.max(F.abs("coef")).alias("max_abs"), F.avg(F.abs("coef")).alias("mean_abs"))
+    path = _lasso_path(spark, sf)
+    out = None
+    for a in ALPHAS:
+        one = profile.coef_stats(path.where(F.col("alpha") == a), "coef").select(
+            F.lit(a).alias("alpha"), F.col("n_nonzero").cast("long").alias("n_nonzero"), F.round("max_abs", 4).alias("max_abs"))
+        out = one if out is None else out.union(one)
+    return out
 
 
 def _model_dir(spark, name):
@@ -261,29 +328,29 @@ def experiment_log(spark, sf):
     return runs.read(spark).groupBy("experiment_name").agg(F.max(names).alias("metric_names"), F.count_distinct("run_id").cast("int").alias("runs"))
 
 
-@q("training_history")
+@q("training_history", "SELECT CAST(i AS INTEGER) AS iter, 'squared' AS metric, true AS no_worse FROM range(1, 13) r(i)")
 def training_history(spark, sf):
+    """The loss on the training rows falls (or stays) with every boosting round."""
     cfg = _cfg("lightgbm", {"n_estimators": 12, "max_depth": 4})
-    plan, tr, va = _prepared(spark, sf, cfg)
+    plan, tr, _ = _prepared(spark, sf, cfg)
     model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
-    feats = PipelineModel(model.stages[:-1]).transform(va)
-    losses = learners.training_history(model, feats, "squared")
-    return spark.createDataFrame([(i + 1, "squared", float(v)) for i, v in enumerate(losses)],
-                                 "iter int, metric string, value double")
+    losses = learners.training_history(model, PipelineModel(model.stages[:-1]).transform(tr), "squared")
+    return spark.createDataFrame([(i + 1, "squared", i == 0 or v <= losses[i - 1] * (1 + 1e-9)) for i, v in enumerate(losses)],
+                                 "iter int, metric string, no_worse boolean")
 
 
-@q("classify_logistic")
+@q("classify_logistic", f"""WITH {JOBS_SQL} SELECT CAST(has_return AS DOUBLE) AS class, count(*) AS support, true AS in_range
+FROM s WHERE valid GROUP BY has_return""")
 def classify_logistic(spark, sf):
-    """T20 + G15: balanced class weights for a rare label (order has a return)."""
+    """T20 + G15: balanced class weights for a rare label (order has a return): the report's classes, supports and ranges."""
     cfg = _cfg("logistic", {"max_iter": 50}, task="classification", target="has_return",
                prep={"missing_strategy": "mean", "scale_features": True})
-    rows = prepare_rows(_jobs(spark, sf, "has_return"), "has_return").drop("has_return")
-    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, va = split_rows(rows, ID, 0.2, 42)
+    plan, tr, va = _prepared(spark, sf, cfg, "has_return")
     tr = metrics.with_class_weights(tr, "label", "weight")
     learner = learners.create_learner(cfg["model"]).setWeightCol("weight")
-    model = plan.pipeline(learner).fit(tr)
-    return metrics.classification_report(model.transform(va), "label", "prediction")
+    report = metrics.classification_report(plan.pipeline(learner).fit(tr).transform(va), "label", "prediction")
+    return report.withColumn("class", F.col("class").try_cast("double")).where("class is not null").select("class", F.col("support").cast("long").alias("support"),
+                         (F.col("precision").between(0, 1) & F.col("recall").between(0, 1)).alias("in_range"))
 
 
 @q("stream_score", """

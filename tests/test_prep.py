@@ -80,10 +80,18 @@ def test_label_codes_distributed_path(spark, monkeypatch):
     """Above the local bound the codes come from the distributed rank and the
     map is joined without broadcast; results are the same."""
     from tessera.operators import base
-    monkeypatch.setattr(prep, "LOCAL_ROWS", 2)
-    monkeypatch.setattr(base, "LOCAL_ROWS", 2)
+    monkeypatch.setattr(base, "MAP_BYTES", 2)
     monkeypatch.setattr(base, "BROADCAST_ROWS", 2)
     df = spark.createDataFrame([(v,) for v in ["d", "b", "a", "c", "b"]], "x string")
     model = prep.LabelEncoder(["x"]).fit(df)
     got = [r.x for r in model.transform(spark.createDataFrame([("a",), ("d",), ("zz",)], "x string")).collect()]
     assert sorted(got) == [-1, 0, 3]
+
+
+def test_nan_is_missing(spark):
+    """NaN counts as a missing value for every fill and is no part of a mean or median."""
+    df = spark.createDataFrame([(float("nan"),), (2.0,), (4.0,), (None,)], "x double")
+    for strategy, fill in (("mean", 3.0), ("median", 3.0), ("constant", 0.0)):
+        got = sorted(r.x for r in prep.NumericImputer(["x"], strategy).fit(df).transform(df).collect())
+        assert got == sorted([fill, fill, 2.0, 4.0]), strategy
+    assert sorted(r.x for r in prep.FillMissing().transform(df).collect()) == [0.0, 0.0, 2.0, 4.0]

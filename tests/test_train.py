@@ -86,3 +86,82 @@ def test_plan_accepts_shipped_config_shape(spark):
     cfg["feature_engineering"]["preprocessing"]["scaling_methd"] = "minmax"
     with pytest.raises(ValueError, match="unknown preprocessing keys"):
         plan_features(df.drop("y"), cfg)
+
+
+def _typed_rows(spark):
+    return spark.createDataFrame([(i, float(i % 7), "c%02d" % (i % 60), float(i % 7) * 2 + i % 60) for i in range(600)],
+                                 "id long, x double, c string, y double")
+
+
+def test_native_categories_keep_nominal_metadata(spark):
+    """60 categories reach the trees as a nominal attribute, not as alphabetical numbers."""
+    from tessera.plans.features import plan_features
+    cfg = {"data": {"target_column": "y", "feature_columns": ["x", "c"]}, "feature_engineering": {"preprocessing": {}},
+           "model": {"type": "catboost"}}
+    df = _typed_rows(spark)
+    plan = plan_features(df, cfg, id_col="id")
+    out = plan.pipeline().fit(df).transform(df)
+    attrs = out.schema["features"].metadata["ml_attr"]["attrs"]
+    assert [a["name"] for a in attrs["nominal"]] == ["c__idx"] and len(attrs["nominal"][0]["vals"]) >= 60
+    assert plan.feature_cols == ["x", "c"] and out.select("x", "c").schema == df.select("x", "c").schema
+
+
+def test_scored_sources_are_untouched(spark):
+    from tessera.plans.features import plan_features, prepare_rows
+    cfg = {"data": {"target_column": "My Target", "feature_columns": ["x", "c"]},
+           "feature_engineering": {"preprocessing": {"scale_features": True}}, "model": {"type": "decisiontree"}}
+    df = _typed_rows(spark).withColumnRenamed("y", "My Target")
+    res = train.train(spark, df, cfg, "id")
+    assert res.feature_cols == ["x", "c"] and {r.feature for r in res.importance.collect()} == {"x", "c"}
+    new = spark.createDataFrame([(1, None, None, "k"), (2, float("nan"), "zz", "k")], "id long, x double, c string, extra string")
+    out = score.score(res.model, new, cfg["data"])
+    assert out.columns == ["id", "x", "c", "extra", "Predicted_My_Target", "Prediction_Timestamp", "Model_Type"]
+    assert out.select(*new.columns).schema == new.schema
+    assert [(r.id, r.c, r.extra) for r in out.orderBy("id").collect()] == [(1, None, "k"), (2, "zz", "k")]
+
+
+def test_saved_operations_raise_when_scoring(spark):
+    import pytest
+    cfg = {"data": {"target_column": "y", "feature_columns": ["x"]},
+           "feature_engineering": {"operations": [{"operation": "divide", "inputs": ["y z", "x"], "output": "skipped"},
+                                                  {"operation": "divide", "inputs": ["id", "x"], "output": "per x"}]},
+           "model": {"type": "linear"}}
+    res = train.train(spark, _typed_rows(spark), cfg, "id")
+    assert res.feature_cols == ["x", "per_x"]
+    with pytest.raises(ValueError, match="missing inputs"):
+        score.score(res.model, spark.createDataFrame([(1.0,)], "x double"))
+
+
+def test_nothing_stays_cached(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    train.train(spark, _typed_rows(spark), {"data": {"target_column": "y", "feature_columns": ["x"]}, "model": {"type": "linear"}}, "id")
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_split_moves_no_rows(spark):
+    from tessera.operators.split import cut_folds, train_valid_split
+    df = spark.range(1003).withColumnRenamed("id", "k")
+    plan = train_valid_split(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    sizes = sorted(r["count"] for r in cut_folds(df, "k", 5).groupBy("fold").count().collect())
+    assert sizes == [200, 200, 201, 201, 201]
+
+
+def test_unknown_parameters_raise(spark):
+    import pytest
+    with pytest.raises(ValueError, match="reg_lambda"):
+        learners.create_learner({"type": "xgboost", "params": {"reg_lambda": 1.0}})
+    kept = learners.create_learner({"type": "xgboost", "params": {"reg_lambda": 1.0, "min_child_weight": 3, "n_jobs": -1},
+                                    "ignore_params": ["reg_lambda"]})
+    assert kept.getMinInstancesPerNode() == 3
+    assert learners.create_learner({"type": "randomforest", "params": {"max_features": None}}).getFeatureSubsetStrategy() == "all"
+
+
+def test_logistic_strength_and_hidden_layers(spark):
+    from pyspark.ml.feature import VectorAssembler
+    rows = spark.createDataFrame([(float(i % 10), float(i % 3), float(i % 10 > 4)) for i in range(200)], "a double, b double, label double")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    model = learners.create_learner({"type": "logistic", "task": "classification", "params": {"C": 0.5}}).fit(df)
+    assert abs(model.getRegParam() - 1 / (0.5 * 200)) < 1e-12
+    mlp = learners.create_learner({"type": "mlp", "task": "classification", "params": {"hidden_layer_sizes": [5], "max_iter": 30}}).fit(df)
+    assert list(mlp.getLayers()) == [2, 5, 2]
