@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from ..functions import ops
 from ..operators import metrics, prep, split, target
 from ..sources.sinks import RunLog, load_model
 from . import learners, score, train
-from .features import plan_features, prepare_rows, split_rows
+from .features import plan_features, prepare_rows, route_columns, split_rows
 from .q_train import FEATURE_NAMES, ID, JOBS_SQL, PREDICT_SQL, _cfg, _jobs, _linear_cfg, _model_dir, ols_sql
 from .search import assign_folds, cross_validate, evaluator_for
 from .tables import table
@@ -216,3 +217,52 @@ def score_probability(spark, sf):
     scored = score.score(model, _jobs(spark, sf, "has_return").drop("has_return"), keep=[ID], with_probability=True)
     p = F.col("Probability")
     return scored.select(ID, p.between(0, 1).alias("in_range"), ((p > 0.5).cast("double") == F.col("Predicted_Value")).alias("agrees"))
+
+
+@q("encode_on_batch", """
+SELECT o_orderkey, dense_rank() OVER (ORDER BY coalesce(o_orderpriority, 'Unknown')) - 1 AS o_orderpriority FROM orders""")
+def encode_on_batch_q(spark, sf):
+    """E5: codes fitted on the scored batch itself."""
+    return score.encode_on_batch(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), ["o_orderpriority"])
+
+
+@q("prediction_summary", f"""
+WITH {JOBS_SQL}, {ols_sql("saving")}, p AS (SELECT {PREDICT_SQL} AS p FROM s, f)
+SELECT round(min(p), 3) AS min, round(max(p), 3) AS max, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std FROM p""")
+def prediction_summary(spark, sf):
+    """G1 of the predictions."""
+    cfg = _linear_cfg()
+    rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
+    tr, _ = split_rows(rows, ID, 0.2, 42)
+    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+    scored = score.score(model, _jobs(spark, sf).drop("saving"), cfg["data"])
+    row = score.prediction_summary_row(scored, "Predicted_saving")
+    return spark.createDataFrame([tuple(round(row[k], 3) for k in ("min", "max", "mean", "std"))], "min double, max double, mean double, std double")
+
+
+@q("route_columns", """
+SELECT o_orderkey, round((o_totalprice - avg(o_totalprice) OVER ()) / stddev_pop(o_totalprice) OVER (), 9) AS price,
+  CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS priority, CAST(o_custkey AS DOUBLE) AS rest FROM orders""")
+def route_columns_q(spark, sf):
+    """SC5: scaled numbers, coded text and untouched columns in one vector."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", F.col("o_custkey").cast("double").alias("o_custkey"))
+    routed = route_columns({"numbers": ([prep.Scaler(["o_totalprice"])], ["o_totalprice"]),
+                            "text": ([prep.LabelEncoder(["o_orderpriority"])], ["o_orderpriority"])}, remainder=["o_custkey"])
+    v = vector_to_array("features")
+    return routed.fit(orders).transform(orders).select("o_orderkey", F.round(v[0], 9).alias("price"), v[1].alias("priority"), v[2].alias("rest"))
+
+
+@q("top_predictions", f"""
+WITH {JOBS_SQL}, {ols_sql("saving")}
+SELECT o_orderkey, round({PREDICT_SQL}, 3) AS "Predicted_saving" FROM s, f ORDER BY {PREDICT_SQL} DESC, o_orderkey LIMIT 10""")
+def top_predictions(spark, sf):
+    """O3: the ten largest predictions (a top-k report)."""
+    cfg = _linear_cfg()
+    rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
+    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
+    tr, _ = split_rows(rows, ID, 0.2, 42)
+    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+    scored = score.score(model, _jobs(spark, sf).drop("saving"), cfg["data"], keep=[ID])
+    top = scored.orderBy(F.desc("Predicted_saving"), ID).limit(10)
+    return top.select(ID, F.round("Predicted_saving", 3).alias("Predicted_saving"))

@@ -226,13 +226,3 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
     spark = folded.sparkSession
     return best_model, spark.createDataFrame([(i, str(c), float(s)) for i, (c, s) in enumerate(tried)],
                                              "trial int, params string, metric double")
-
-
-def fold_scores(pipeline: Pipeline, folded: DataFrame, evaluator: Evaluator, k: int) -> DataFrame:
-    """T3 with per-fold scores: fit on k-1 folds, score the held-out one."""
-    spark = folded.sparkSession
-    rows = []
-    for f in range(k):
-        model = pipeline.fit(folded.where(F.col("fold") != f))
-        rows.append((f, float(evaluator.evaluate(model.transform(folded.where(F.col("fold") == f))))))
-    return spark.createDataFrame(rows, "fold int, score double")
