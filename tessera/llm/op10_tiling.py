@@ -120,11 +120,13 @@ class BenchmarkBlock:
                     out.setdefault((int(doc[p]), k), []).append((p, n))
         return out
 
-    def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """``(text index, item id, item words, covered words, tiles)`` of every joined pair."""
+    def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int, list[tuple[int, int, int]]]]:
+        """``(text index, item id, item words, covered words, number of tiles, tiles)`` of every joined pair, a tile
+        being (first word in the text, first word in the item, words)."""
         out = []
         for b, e in groups([len(t) for t in texts], CHUNK):
             words, count = word_tokens(texts[b:e])
+            begin = np.cumsum(count) - count
             doc = np.repeat(np.arange(b, e), count)
             for (d, k), hits in self._joined(words, doc).items():
                 runs, stop = [], -1
@@ -136,10 +138,11 @@ class BenchmarkBlock:
                         stop = p + n
                 item = self.tokens[k]
                 tiles = greedy_tiles(item, [words[x:y].tolist() for x, y in runs], min(self.seed, len(item)))
-                out.append((d, self.ids[k], len(item), sum(t[3] for t in tiles), len(tiles)))
+                spans_ = [(int(runs[r][0] + j - begin[d - b]), i, n) for i, r, j, n in tiles]
+                out.append((d, self.ids[k], len(item), sum(t[3] for t in tiles), len(tiles), spans_))
         return out
 
-    def contaminated(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+    def contaminated(self, texts: list[str]) -> list[tuple]:
         return [m for m in self.matches(texts) if m[3] >= self.threshold * m[2]]
 
 
@@ -157,8 +160,10 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col:
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
-    """``(doc_id, item_id, item_words, covered_words, n_tiles, coverage)`` of every contaminated pair."""
-    schema = "doc_id long, item_id long, item_words int, covered_words int, n_tiles int"
+    """``(doc_id, item_id, item_words, covered_words, n_tiles, tiles, coverage)`` of every contaminated pair."""
+    schema = ("doc_id long, item_id long, item_words int, covered_words int, n_tiles int, "
+              "tiles array<struct<doc_word: int, item_word: int, words: int>>")
+    tile = pa.list_(pa.struct([("doc_word", pa.int32()), ("item_word", pa.int32()), ("words", pa.int32())]))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def search(block):
@@ -167,8 +172,9 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                 found = block.value.contaminated(batch.column("text").to_pylist())
                 ids = batch.column("doc_id").take(pa.array([f[0] for f in found], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array([f[c] for f in found], pa.int64() if c == 1 else pa.int32()) for c in range(1, 5))],
-                    names=["doc_id", "item_id", "item_words", "covered_words", "n_tiles"])
+                    [ids, *(pa.array([f[c] for f in found], pa.int64() if c == 1 else pa.int32()) for c in range(1, 5)),
+                     pa.array([[dict(zip(("doc_word", "item_word", "words"), t)) for t in f[5]] for f in found], tile)],
+                    names=["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "tiles"])
         return run
 
     out = docs.sparkSession.createDataFrame([], schema)
@@ -194,4 +200,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tiles")

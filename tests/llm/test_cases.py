@@ -212,6 +212,8 @@ def test_decontamination(spark, docs):
     df = spark.createDataFrame(found, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     pairs = op10_tiling.contaminated_pairs(df, bench).select("doc_id", "item_id", "covered_words", "n_tiles")
     assert rows_of(pairs) == sorted([(1, 1, 10, 1), (4, 1, 10, 2), (6, 4, 2, 1), (7, 5, 12, 2), (7, 5, 12, 2), (None, 1, 10, 1)], key=repr)
+    tiles = {r.doc_id: [tuple(t) for t in r.tiles] for r in op10_tiling.contaminated_pairs(df, bench).collect()}
+    assert sorted(tiles[4]) == [(0, 5, 5), (7, 0, 5)] and tiles[1] == [(1, 0, 10)]
     kept = op10_tiling.decontaminate(df, bench)
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
     assert op10_tiling.contaminated_pairs(docs.limit(0), bench).count() == 0
