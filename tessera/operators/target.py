@@ -184,12 +184,19 @@ def ordered_target_encode(df: DataFrame, cat: str, label: str, order_col: str, o
     w*prior) / (count of earlier rows + w), earlier by ``order_col``.
 
     The prefix statistics are distributed (range-partitioned prefix sums), so
-    a hot category is split across tasks.
+    a hot category is split across tasks. Only (category, order, label) are
+    sorted; other columns join back on ``order_col``, a unique key.
     """
     if prior is None:
         prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    pre = ordered_prefix(df, [order_col], {"__sum": F.col(label), "__cnt": F.lit(1)},
-                         partition_by=[cat], inclusive=False)
     w = float(prior_weight)
-    return pre.withColumn(out, (F.col("__sum") + F.lit(w * prior)) / (F.col("__cnt") + F.lit(w))).drop(
-        "__sum", "__cnt")
+    needed = list(dict.fromkeys([order_col, cat, label]))
+    slim = df.select(*needed)
+    pre = ordered_prefix(slim, [order_col], {"__sum": F.col(label), "__cnt": F.lit(1)},
+                         partition_by=[cat], inclusive=False)
+    coded = pre.withColumn(out, (F.col("__sum") + F.lit(w * prior)) / (F.col("__cnt") + F.lit(w))).drop("__sum", "__cnt")
+    rest = [c for c in df.columns if c not in needed and c != out]
+    if not rest:
+        return coded
+    keyed = coded.select(F.col(order_col).alias("__order"), F.col(out))
+    return df.drop(out).join(keyed, F.col(order_col) == F.col("__order")).drop("__order")
