@@ -41,6 +41,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
                 yield pa.RecordBatch.from_arrays(
                     [cols[n] if isinstance(cols[n], pa.Array) else pa.array(cols[n], type=t)
                      for n, t in zip(names, types)], names=names)
+        pa.default_memory_pool().release_unused()  # the worker lives on into other stages
 
     return df.mapInArrow(run, schema)
 

@@ -37,7 +37,7 @@ BEGIN, END, OTHER = 26, 27, 28
 REACH = 6  # a subsequence spans at most this many places after its first letter
 DECAY = 0.85
 POWER = 4
-CACHE_WORDS = 1_000_000  # words remembered by a worker before it starts anew; affects speed only
+CACHE_WORDS = 500_000  # words remembered by a worker before it starts anew; affects speed only
 GAP = -(1 << 18)  # code of what is no letter; any id with it stays negative
 
 SENTENCE = re.compile(r"[.!?]+(?:\s+|$)|\n+")
