@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -15,6 +16,18 @@ from ..session import discard, settle  # noqa: F401  (re-exported for the operat
 SLICE_BYTES = 4 << 20  # a function sees about so much of a batch at a time, which bounds its memory
 
 
+WORKER_CACHES: list[dict] = []  # what a worker keeps from task to task of one stage
+_STAGE = [""]
+
+
+def enter_stage(stage: str) -> None:
+    """Called by tasks first: a worker that comes from another stage drops what it kept there."""
+    if _STAGE[0] != stage:
+        _STAGE[0] = stage
+        for cache in WORKER_CACHES:
+            cache.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,8 +45,10 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
 
     names = [f.name for f in _parse_datatype_string(schema).fields]
     types = [f.type for f in to_arrow_schema(_parse_datatype_string(schema))]
+    stage = uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter_stage(stage)
         for whole in batches:
             step = max(1, whole.num_rows // (whole.nbytes // SLICE_BYTES + 1))
             for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):

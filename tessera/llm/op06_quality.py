@@ -14,6 +14,7 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytesops import groups, span_hash, spans
-from .common import arrow_map, id_text, table
+from .common import arrow_map, enter_stage, id_text, table
 from .labelled import held_out, label_sample
 
 LONGEST_LINE = 1 << 16
@@ -182,7 +183,10 @@ def quality_scores(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_c
 
 def quality_filter(docs: DataFrame, chain: Chain, least: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more; all columns pass, nothing is shuffled."""
+    stage = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter_stage(stage)
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(chain.quality(texts) >= least))

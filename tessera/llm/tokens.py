@@ -12,7 +12,7 @@ import os
 
 import numpy as np
 
-CACHE_PARTS = 300_000  # parts (some 200 bytes each) remembered by a worker before it starts anew; affects speed only
+CACHE_PARTS = 300_000  # parts (some 200 bytes each) of a generation that a worker remembers; affects speed only
 _STATE: dict[str, tuple] = {}
 
 
@@ -31,17 +31,26 @@ def load(path: str):
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        _STATE[path] = (tok, {})
+        _STATE[path] = (tok, {}, {})
     return _STATE[path]
 
 
 def encode_parts(path: str, texts: list[bytes]) -> list[list[bytes]]:
-    """For every text the ids of its parts, each as little-endian 32-bit bytes."""
-    tok, known = load(path)
+    """For every text the ids of its parts, each as little-endian 32-bit bytes.
+
+    Two generations are remembered: a full one becomes the older, and what is
+    met again moves up, so frequent parts stay.
+    """
+    tok, known, older = load(path)
     split = [t.split() for t in texts]  # bytes: ASCII white space, which every tokenizer here cuts at
     if len(known) > CACHE_PARTS:
-        known.clear()
-    new = list({p for parts in split for p in parts}.difference(known))
+        older = known
+        known = {}
+        _STATE[path] = (tok, known, older)
+    new = {p for parts in split for p in parts}.difference(known)
+    again = new & older.keys()
+    known.update((p, older[p]) for p in again)
+    new = list(new - again)
     for at in range(0, len(new), 1 << 14):
         some = new[at:at + (1 << 14)]
         for part, enc in zip(some, tok.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
