@@ -9,11 +9,13 @@ once per worker.
 from __future__ import annotations
 
 import os
+from struct import pack
 
-import numpy as np
+from .common import WORKER_CACHES
 
 CACHE_PARTS = 300_000  # parts (some 200 bytes each) of a generation that a worker remembers; affects speed only
 _STATE: dict[str, tuple] = {}
+WORKER_CACHES.append(_STATE)
 
 
 def tokenizer_path(name: str) -> str:
@@ -47,12 +49,12 @@ def encode_parts(path: str, texts: list[bytes]) -> list[list[bytes]]:
         older = known
         known = {}
         _STATE[path] = (tok, known, older)
-    new = {p for parts in split for p in parts}.difference(known)
+    new = set().union(*split).difference(known)
     again = new & older.keys()
     known.update((p, older[p]) for p in again)
     new = list(new - again)
     for at in range(0, len(new), 1 << 14):
         some = new[at:at + (1 << 14)]
         for part, enc in zip(some, tok.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
-            known[part] = np.array(enc.ids, "<u4").tobytes()
-    return [[known[p] for p in parts] for parts in split]
+            known[part] = pack(f"<{len(ids := enc.ids)}I", *ids)
+    return [list(map(known.__getitem__, parts)) for parts in split]
