@@ -8,7 +8,8 @@ before it are context and only its reply is trainable.
 The context of an example is a prefix of its conversation's formatted text, so
 the text is kept once, a row per turn with its offsets, and examples are
 offsets into it. A conversation of n turns then takes n rows, not n squared;
-``example_text`` writes examples out in full.
+``example_text`` writes examples out in full. The query makes the examples of
+all conversations, and reads the replies back from the example rows.
 
 Turns are sorted by (conversation, turn) within hash partitions and streamed, so
 a long conversation needs no memory; the digests of one conversation are
@@ -122,37 +123,61 @@ DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 def _read_back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     state: list | None = None
+    last: tuple | None = None  # the turn read last: number, start, end, segment, role, text
+    owed = False  # that turn is a target whose example has not come yet
 
     def close(s):
         return (s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5], s[6])
 
     for batch in batches:
         rows = []
-        for conv, segment, start, end, b, e in zip(*(batch.column(c).to_pylist()
-                                                     for c in ("conv_id", "segment", "start", "end", "loss_start", "loss_end"))):
+        for conv, number, segment, start, end, b, e in zip(*(batch.column(c).to_pylist() for c in
+                                                             ("conv_id", "turn_no", "segment", "start", "end", "loss_start", "loss_end"))):
+            if state is None or state[0] != conv or segment is not None:
+                if owed:
+                    raise ValueError(f"turn {last[0]} of conversation {state[0]} has no example")
             if state is None or state[0] != conv:
                 if state:
                     rows.append(close(state))
-                state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-            if start != state[5] or end != start + len(segment):
-                raise ValueError(f"turns of conversation {conv} do not join at {start}")
-            role, text = parse_turn(segment)
-            state[1] += 1
-            state[2].update(f"{role}\n{text}\n".encode())
-            if b is not None:
-                reply = unescape(segment[b - start:e - start])
-                state[3] += len(reply)
-                state[4].update(reply.encode())
-                state[6] += 1
-            state[5] = end
+                state, last = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0], None
+            if segment is not None:
+                if start != state[5] or end != start + len(segment):
+                    raise ValueError(f"turns of conversation {conv} do not join at {start}")
+                role, text = parse_turn(segment)
+                state[1] += 1
+                state[2].update(f"{role}\n{text}\n".encode())
+                state[5], last, owed = end, (number, start, end, segment, role, text), role == TARGET
+                continue
+            if not owed or last[:3] != (number, start, end):
+                raise ValueError(f"example {number} of conversation {conv}: its context [0, {start}) does not end at an open target")
+            at, _, whole, role, text = last[1:]
+            head, reply, tail = whole[:b - at], whole[b - at:e - at], whole[e - at:]
+            if not at <= b <= e or head != OPEN + escape(role, _ROLE_CONTROL) + SEP or tail != CLOSE or unescape(reply) != text:
+                raise ValueError(f"example {number} of conversation {conv}: [{b}, {e}) is not the reply")
+            state[3] += len(text)
+            state[4].update(unescape(reply).encode())
+            state[6], owed = state[6] + 1, False
         yield _batch(rows, DIGESTS)
+    if owed:
+        raise ValueError(f"turn {last[0]} of conversation {state[0]} has no example")
     if state:
         yield _batch([close(state)], DIGESTS)
 
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """Per conversation: turns and replies parsed from the formatted text, and its length in code points."""
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn_no").mapInArrow(_read_back, DIGESTS)
+def read_back(turns: DataFrame, examples: DataFrame | None = None) -> DataFrame:
+    """Per conversation: turns parsed from the formatted text, its length in code points, and the replies, read
+    from the example rows (default: all of ``prefix_examples``). Every example is checked against the text: its
+    context ends where its target turn begins, it ends with that turn, and its loss span is the reply alone. A
+    target turn without an example, or an example without a target, raises."""
+    examples = prefix_examples(turns) if examples is None else examples
+    long = F.lit(None).cast("long")
+    text = turns.select("conv_id", "turn_no", F.lit(0).alias("kind"), "segment", "start", "end",
+                        long.alias("loss_start"), long.alias("loss_end"))
+    made = examples.select("conv_id", F.col("target_turn").alias("turn_no"), F.lit(1).alias("kind"),
+                           F.lit(None).cast("string").alias("segment"), F.col("context_chars").alias("start"), "end",
+                           "loss_start", "loss_end")
+    return (text.union(made).repartition("conv_id").sortWithinPartitions("conv_id", "turn_no", "kind")
+            .mapInArrow(_read_back, DIGESTS))
 
 
 CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
@@ -162,7 +187,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "conv_id long, turn long, role string, text string"
     given = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     turns = settle(format_conversations(given.union(spark.createDataFrame(CONTROL_CONVERSATION, schema))))
-    return read_back(turns)
+    return read_back(turns, settle(prefix_examples(turns)))
 
 
 ORACLE = r"""

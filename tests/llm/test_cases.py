@@ -279,6 +279,24 @@ def test_chat(spark):
     assert op03_chat.read_back(op03_chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_chat_reads_the_examples(spark, monkeypatch):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b: c"), (1, 2, "assistant", ""), (None, 0, "assistant", "###")]
+    turns = op03_chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    made = op03_chat.prefix_examples(turns)
+    got = {r.conv_id: (r.n_examples, r.loss_chars) for r in op03_chat.read_back(turns, made).collect()}
+    assert got == {1: (2, 4), None: (1, 3)}
+    first = F.col("conv_id").eqNullSafe(1) & (F.col("target_turn") == 1)
+    shifted = [made.withColumn(c, F.when(first, F.col(c) + d).otherwise(F.col(c)))
+               for c in ("context_chars", "loss_start", "loss_end", "end") for d in (-1, 1)]
+    for wrong in [made.where(~first), made.where("conv_id is not null"), made.union(made.where(first)),
+                  made.withColumn("target_turn", F.when(first, 0).otherwise(F.col("target_turn"))), *shifted]:
+        with pytest.raises(Exception, match="example|reply"):
+            op03_chat.read_back(turns, wrong).collect()
+    monkeypatch.setattr(op03_chat, "prefix_examples", lambda t: made.limit(0))
+    with pytest.raises(Exception, match="no example"):  # the query stands on its examples
+        op03_chat.op3_chat(spark, "/root/testdata/sf0.001").collect()
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.standard_normal((600, 24)).astype(np.float32)
