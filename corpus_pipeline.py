@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import discard, settle, table
 from tessera.llm.op05_packing import pack_documents
 from tessera.llm.op06_quality import fit_quality, quality_filter
-from tessera.llm.op07_simhash import simhash_components
+from tessera.llm.op07_simhash import simhash_rows, text_hash
 from tessera.llm.op09_suffix import suffix_dedup
 from tessera.llm.op10_tiling import decontaminate
 from tessera.llm.tokens import tokenizer_path
@@ -27,11 +27,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest id of every SimHash component, once; rows without an id are in no group and stay."""
-    copies = simhash_components(docs).where("doc_id <> component_id").select("doc_id")
-    kept = docs.join(copies, "doc_id", "left_anti")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id is null")).select(*COLUMNS)
+    """Keep the document of smallest id (then text hash) of every SimHash component, once; different texts under one
+    id are documents of their own; rows without an id are in no group and stay."""
+    rows = docs.withColumn("text_hash", text_hash())
+    copies = simhash_rows(docs).where("doc_id <> component_id or text_hash <> component_text").select("doc_id", "text_hash")
+    kept = rows.join(copies, ["doc_id", "text_hash"], "left_anti")
+    named = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text_hash"])
+    return named.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

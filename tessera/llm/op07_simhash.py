@@ -7,7 +7,8 @@ two segments that differ in one bit or none share a form. Forms are equality
 keys; every pair met under a key is verified on all 64 bits.
 
 Defined results: null and word-less texts have fingerprint zero and link like
-any other; repeated rows share a fingerprint; rows with a null id get a
+any other; repeated rows share a fingerprint; texts are linked by fingerprint
+only, so different texts under one id stay apart; rows with a null id get a
 fingerprint but link to nothing (null component); an empty table gives no rows;
 columns other than the id and the text are not read.
 """
@@ -47,12 +48,19 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
+def text_hash(text_col: str = "text") -> F.Column:
+    """With the id it tells rows apart; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """``(doc_id, fp)``, ``fp`` the signed fingerprint of the whole text."""
+    """``(doc_id, text_hash, fp)``, ``fp`` the signed fingerprint of the whole text."""
     def run(batch: pa.RecordBatch) -> dict:
-        return {"doc_id": batch.column(0), "fp": [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]}
+        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+                "fp": [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]}
 
-    return arrow_map(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    rows = id_text(docs, id_col, text_col).withColumn("text_hash", text_hash())
+    return arrow_map(rows, run, "doc_id long, text_hash long, fp long")
 
 
 def _forms(fp: F.Column, distance: int) -> list:
@@ -86,9 +94,11 @@ def _spanning(fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
 
 
 def _verify(distance: int):
+    """Edges between fingerprints (or between the ``rep`` given for each) that share a key and are near."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sorted_runs(batches, "key"):
-            key, fp, rep = (part.column(c).to_numpy() for c in ("key", "fp", "rep"))
+            key, fp = part.column("key").to_numpy(), part.column("fp").to_numpy()
+            rep = part.column("rep").to_numpy() if "rep" in part.column_names else fp
             fp = fp.view(np.uint64)
             first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             size = np.diff(np.concatenate((first, [len(key)])))
@@ -108,21 +118,35 @@ def _verify(distance: int):
     return run
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                       distance: int = 4) -> DataFrame:
-    """``(doc_id, fp, component_id)``: the smallest id reachable over pairs within ``distance`` bits."""
+def simhash_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                 distance: int = 4) -> DataFrame:
+    """``(doc_id, text_hash, fp, component_id, component_text)`` for every row: the last two are the smallest
+    ``(doc_id, text_hash)`` of its component, null for a row without an id."""
     spark = docs.sparkSession
     fps = settle(fingerprints(docs, id_col, text_col, shingle))
-    classes = settle(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    keyed = classes.select(F.explode(F.array(*_forms(F.col("fp"), distance))).alias("key"), "fp", "rep")
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    classes = settle(fps.where("doc_id is not null").groupBy("fp").agg(first))
+    keyed = classes.select(F.explode(F.array(*_forms(F.col("fp"), distance))).alias("key"), "fp")
     edges = (keyed.repartition("key").sortWithinPartitions("key", "fp")
              .mapInArrow(_verify(distance), "u long, v long").distinct())
-    labels = settle(connected_components(edges).withColumnRenamed("node", "rep"))
-    named = settle(classes.join(labels, "rep", "left")
-                   .select("fp", F.coalesce("component", "rep").alias("component_id")))
-    discard(spark, classes, labels)
-    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
-    return fps.join(named, "fp", "left").select("doc_id", "fp", component)
+    labels = settle(connected_components(edges).withColumnRenamed("node", "fp"))
+    linked = settle(classes.join(labels, "fp").select("fp", "component", "first"))
+    least = linked.groupBy("component").agg(F.min("first").alias("first"))
+    named = settle(linked.select("fp", "component").join(least, "component").select("fp", "first")
+                   .union(classes.join(labels, "fp", "left_anti").select("fp", "first")))
+    discard(spark, classes, labels, linked)
+
+    def of_component(field: str, name: str) -> F.Column:
+        return F.when(F.col("doc_id").isNotNull(), F.col("first")[field]).alias(name)
+
+    return fps.join(named, "fp", "left").select("doc_id", "text_hash", "fp", of_component("doc_id", "component_id"),
+                                                of_component("text_hash", "component_text"))
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                       distance: int = 4) -> DataFrame:
+    """``(doc_id, fp, component_id)``: the smallest id reachable over pairs within ``distance`` bits."""
+    return simhash_rows(docs, id_col, text_col, shingle, distance).select("doc_id", "fp", "component_id")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Pipeline stages against plain Python on the smallest tables; queries of the subpackage against their oracles."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -47,3 +49,15 @@ def test_stages(spark):
         else:
             assert {r.doc_id for r in docs.select("doc_id").collect()} == set(before)
     assert sizes[0] > sizes[1] > sizes[2] >= sizes[3] >= sizes[4] > 0
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Different texts under one id link nothing and do not take each other away."""
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10_000)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (7, a), (7, b), (7, b), (7, c), (9, c), (2, d), (2, d), (2, None), (3, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    want = [(1, a), (7, b), (7, c), (2, d), (2, None), (None, a)]
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=repr) == sorted(want, key=repr)
