@@ -13,8 +13,10 @@ broadcast and meets all documents in one pass, so any benchmark size works.
 
 Defined results: null and word-less texts match nothing; an item with fewer
 than ``seed`` words is seeded by its whole length; repeated rows and ties are
-reported for each row (leftmost run first); empty tables give no rows; columns
-other than ids and texts are not read by the search and pass the filter.
+reported for each row (leftmost run first); rows with a null document or item
+id are searched like any other and reported under that null; empty tables give
+no rows; columns other than ids and texts are not read by the search and pass
+the filter.
 """
 
 from __future__ import annotations
@@ -155,7 +157,8 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col:
     n = -(-total // BLOCK_BYTES)
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        yield spark.sparkContext.broadcast(BenchmarkBlock(sorted((r.item_id, r.text) for r in rows), seed, threshold))
+        rows = sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield spark.sparkContext.broadcast(BenchmarkBlock(rows, seed, threshold))
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -220,6 +220,16 @@ def test_decontamination(spark, docs):
     assert op10_tiling.contaminated_pairs(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_with_null_item_ids(spark):
+    bench = spark.createDataFrame([(None, "a b c d e f"), (3, "g h i j k l"), (None, "m n o p q r"), (None, None), (-1, "tiny")],
+                                  "item_id long, text string").coalesce(1)
+    df = spark.createDataFrame([(1, "x a b c d e f"), (2, "g h i j k l"), (3, "m n o p q r"), (4, "clean"), (None, "tiny")],
+                               "doc_id long, text string")
+    pairs = op10_tiling.contaminated_pairs(df, bench).select("doc_id", "item_id")
+    assert rows_of(pairs) == sorted([(1, None), (2, 3), (3, None), (None, -1)], key=repr)
+    assert [r.doc_id for r in op10_tiling.decontaminate(df, bench).collect()] == [4]
+
+
 def test_greedy_tiles_longest_first():
     item = [1, 2, 3, 4, 5, 6, 7, 8]
     assert op10_tiling.greedy_tiles(item, [[4, 5, 6, 7, 8, 9, 1, 2, 3], [1, 2]], 2) == [(3, 0, 0, 5), (0, 0, 6, 3)]
