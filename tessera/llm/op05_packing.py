@@ -90,7 +90,10 @@ def reduce_dominance(counts: list[int], capacity: int) -> list[tuple[int, list[i
     For the largest open piece: alone if nothing fits beside it; with the
     largest piece that fits if that fills the sequence or no two pieces fit;
     if two but no three fit, with that piece or the best pair when one
-    dominates the other.
+    dominates the other. A set is taken as often as its pieces last, as taking
+    it leaves the same choice: no more pieces fit than before, and its own
+    pieces stay the largest and the best pair that do. Every step so uses up
+    a length (or all but two of it), and there are at most three a length.
     """
     fixed: list[tuple[int, list[int]]] = []
     changed = True
@@ -115,9 +118,7 @@ def reduce_dominance(counts: list[int], capacity: int) -> list[tuple[int, list[i
                             take = [big, x, y]
                 if take is None:
                     break
-                times = min(counts[w] // take.count(w) for w in take)
-                if len(take) == 3 or k == 1:
-                    times = 1  # what else fits may change with every set
+                times = min(counts[w] // take.count(w) for w in take)  # fewer pieces never undo the dominance
                 for w in take:
                     counts[w] -= times
                 fixed.append((times, take))

@@ -83,6 +83,18 @@ def test_pack_histogram_uses_every_piece_once(seed):
     assert used == hist
 
 
+@pytest.mark.parametrize("low, high", [(700, 1400), (200, 1100), (300, 900)])
+def test_plan_is_bounded_by_the_lengths(low, high):
+    for pieces in (20_000, 80_000):
+        rng = random.Random(1)
+        hist = {}
+        for _ in range(pieces):
+            w = rng.randint(low, high)
+            hist[w] = hist.get(w, 0) + 1
+        plan = op05_packing.pack_histogram(hist)
+        assert len(plan) <= 3 * len(hist) and sum(n * len(lengths) for n, lengths in plan) == pieces
+
+
 def _fewest(items, cap):
     best = [len(items)]
 
