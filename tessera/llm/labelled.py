@@ -18,7 +18,8 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text bytes, y)`` of at most ``per_class`` labelled documents of either class outside
     the held-out fold, chosen by a hash of the id (the same at every run), without texts over ``LONGEST``
-    bytes. Null labels take no part; of contradicting rows the larger label counts."""
+    bytes. Null labels take no part; of contradicting rows the larger label counts. Of several texts under
+    one id the one of smallest hash stands for it, so the bound holds for rows."""
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
              .where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out())
              .groupBy("doc_id").agg(F.max("y").alias("y")))
@@ -28,4 +29,6 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     text = text.where(F.octet_length("text") <= LONGEST)
-    return text.join(F.broadcast(ids), "doc_id")  # at most 2 x per_class ids
+    found = text.join(F.broadcast(ids), "doc_id")  # at most 2 x per_class ids
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")  # combined map-side: a hot id is a row a task
+    return found.groupBy("doc_id", "y").agg(first).select("doc_id", "first.text", "y")

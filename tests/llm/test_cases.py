@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import op01_warc, op02_token_counts, op03_chat, op04_ann, op05_packing, op06_quality, op07_simhash
 from tessera.llm import op08_toxicity, op09_suffix, op10_tiling
+from tessera.llm.labelled import label_sample
 from tessera.llm.tokens import tokenizer_path
 
 CLASHING = ["row", "place", "h", "n", "fp", "key", "rep", "kept", "n_bytes", "chunk", "salt", "score", "carry", "s", "e", "u", "v"]
@@ -352,6 +353,18 @@ def test_one_bit_estimates_hold_their_bounds():
     assert codes.shape == (400, 8) and (error <= bound[:, None] + 1e-5).mean() > 0.999
 
 
+def test_label_sample_is_bounded_by_rows(spark):
+    ids = [i for i in range(100, 140) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"text {i} {k}") for i in ids for k in range(50 if i == ids[0] else 1)] + [(ids[1], None), (ids[2], f"text {ids[2]} 0")]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = label_sample(df, labels, "quality", 12).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 24 and sum(r.y for r in got) == 12
+    assert all((r.doc_id, bytes(r.text).decode() or None) in rows and r.y == r.doc_id % 2 for r in got)
+    every = label_sample(df, labels, "quality", 100)
+    assert every.count() == len(ids) and rows_of(every) == rows_of(label_sample(df.repartition(7), labels, "quality", 100))
+
+
 def test_quality(spark, docs, texts):
     good = [(100 + i, " ".join(["Plain words make up a line."] * 3) + f"\nThey end well, number {i}.") for i in range(40)]
     bad = [(200 + i, "BUY!! NOW!! CHEAP!! BUY!! NOW!!\n" + "spam spam spam spam spam spam " * (i % 3 + 1)) for i in range(40)]
