@@ -4,7 +4,10 @@ A fingerprint is cut into ``distance // 2 + 1`` segments, fewer than an exact
 match needs: of ``distance`` differing bits at least one segment then holds at
 most one. Each segment is indexed under every form with one bit taken out, so
 two segments that differ in one bit or none share a form. Forms are equality
-keys; every pair met under a key is verified on all 64 bits.
+keys; every pair met under a key is verified on all 64 bits. A form that more
+than ``PER_KEY`` distinct fingerprints may share (a long common passage) is
+joined with the forms of the remaining bits, so its group falls apart into
+groups that agree in two segments, and every near pair still meets.
 
 Defined results: null and word-less texts have fingerprint zero and link like
 any other; repeated rows share a fingerprint; texts are linked by fingerprint
@@ -27,6 +30,7 @@ from .common import arrow_map, discard, id_text, settle, sorted_runs, table
 from .components import connected_components
 
 BITS = 64
+PER_KEY = 4096  # distinct fingerprints under one key before its rows are keyed by their other bits too
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -63,20 +67,65 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return arrow_map(rows, run, "doc_id long, text_hash long, fp long")
 
 
-def _forms(fp: F.Column, distance: int) -> list:
-    """One long per (segment, deleted bit): the number of that form above the segment's other bits."""
+def _segments(bits: int, distance: int) -> list[tuple[int, int]]:
+    """``(first bit, width)`` of the ``distance // 2 + 1`` segments of so many bits."""
     n, out, at = distance // 2 + 1, [], 0
     for s in range(n):
-        width = (BITS - at) // (n - s)
-        seg = F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)) if width < BITS else fp
+        out.append((at, (bits - at) // (n - s)))
+        at += out[-1][1]
+    return out
+
+
+def _segment(fp: F.Column, at: int, width: int) -> F.Column:
+    return F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)) if width < BITS else fp
+
+
+def _forms(fp: F.Column, distance: int, bits: int = BITS) -> list:
+    """One long per (segment, deleted bit): the number of that form above the segment's other bits."""
+    out = []
+    for at, width in _segments(bits, distance):
+        seg = _segment(fp, at, width)
         for j in range(width):
             rest = F.shiftleft(F.shiftrightunsigned(seg, j + 1), j).bitwiseOR(seg.bitwiseAND(F.lit((1 << j) - 1)))
             out.append(rest.bitwiseOR(F.lit((at + j) << (BITS - 8))) if width <= BITS - 8
                        else F.xxhash64(rest, F.lit(at + j)))
-        at += width
     return out
 
 
+def _split(distance: int) -> F.Column:
+    """Keys of a row ``(key, fp)`` of a hot key: the key with every form of the bits outside the key's segment. Rows
+    within ``distance`` bits differ in no more of those, so they share one of these keys again."""
+    number, keys = F.shiftrightunsigned("key", BITS - 8), None
+    for at, width in _segments(BITS, distance):
+        others = F.shiftleft(F.shiftrightunsigned("fp", at + width), at) if at + width < BITS else F.lit(0).cast("long")
+        others = others.bitwiseOR(F.col("fp").bitwiseAND(F.lit((1 << at) - 1)))
+        forms = F.array(*(F.xxhash64("key", f) for f in _forms(others, distance, BITS - width)))
+        keys = F.when(number < at + width, forms) if keys is None else keys.when(number < at + width, forms)
+    return keys
+
+
+def keyed_fingerprints(classes: DataFrame, distance: int, most: int = PER_KEY) -> DataFrame:
+    """``(key, fp)``: every distinct fingerprint under its forms. A form joins two values of its segment, so those
+    of a value that over ``most / 2`` fingerprints have may be hot; their rows are keyed by the other bits as well."""
+    keyed = classes.select(F.explode(F.array(*_forms(F.col("fp"), distance))).alias("key"), "fp")
+    if distance < 2:  # one segment: a form holds two fingerprints
+        return keyed
+    values = F.array(*(F.struct(F.lit(at).alias("at"), _segment(F.col("fp"), at, width).alias("value"))
+                       for at, width in _segments(BITS, distance)))
+    common = settle(classes.select(F.explode(values).alias("v")).groupBy("v.at", "v.value").count().where(F.col("count") > most // 2))
+    hot = None
+    for at, width in _segments(BITS, distance):
+        fp = F.shiftleft("value", at)
+        forms = F.array(*(f for k, f in enumerate(_forms(fp, distance)) if at <= k < at + width))
+        part = common.where(F.col("at") == at).select(F.explode(forms).alias("key"))
+        hot = part if hot is None else hot.union(part)
+    if common.isEmpty():
+        return keyed
+    hot = F.broadcast(hot.distinct())  # few: each stands for over most / 2 fingerprints
+    return (keyed.join(hot, "key", "left_anti")
+            .union(keyed.join(hot, "key", "left_semi").select(F.explode(_split(distance)).alias("key"), "fp")))
+
+
 def _spanning(fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Positions of a spanning forest of the pairs within ``distance`` bits: n - 1 edges at most."""
     left, edges = np.arange(len(fp)), []
@@ -126,8 +175,7 @@ def simhash_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     fps = settle(fingerprints(docs, id_col, text_col, shingle))
     first = F.min(F.struct("doc_id", "text_hash")).alias("first")
     classes = settle(fps.where("doc_id is not null").groupBy("fp").agg(first))
-    keyed = classes.select(F.explode(F.array(*_forms(F.col("fp"), distance))).alias("key"), "fp")
-    edges = (keyed.repartition("key").sortWithinPartitions("key", "fp")
+    edges = (keyed_fingerprints(classes.select("fp"), distance).repartition("key").sortWithinPartitions("key", "fp")
              .mapInArrow(_verify(distance), "u long, v long").distinct())
     labels = settle(connected_components(edges).withColumnRenamed("node", "fp"))
     linked = settle(classes.join(labels, "fp").select("fp", "component", "first"))

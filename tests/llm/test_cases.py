@@ -174,6 +174,43 @@ def test_simhash_loses_no_link(spark, distance):
     assert {(r.u, r.v) for r in edges} == {(2 * k, 2 * k + 1) for k in range(60) if k % 2 == 0}
 
 
+def test_simhash_splits_hot_keys(spark):
+    """Many fingerprints with an equal segment: small groups, and every pair within the distance still meets."""
+    rng = np.random.default_rng(2)
+    fps = set()
+    for at, width in op07_simhash._segments(64, 4):
+        own = rng.integers(0, 1 << 63, 250, np.int64).astype(np.uint64)
+        mask = np.uint64(((1 << width) - 1) << at)
+        for f in ((own & ~mask) | (np.uint64(0x0F0F3355AA55CC33) & mask)).tolist():
+            g = f
+            for b in rng.choice(64, rng.integers(1, 6), replace=False).tolist():
+                g ^= 1 << b
+            fps |= {f, g}
+    signed = np.array(sorted(fps), np.uint64).view(np.int64).tolist()
+    keyed = op07_simhash.keyed_fingerprints(spark.createDataFrame([(f,) for f in signed], "fp long"), 4, most=60).cache()
+    assert keyed.groupBy("key").count().agg(F.max("count")).first()[0] <= 60
+    edges = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(op07_simhash._verify(4), "u long, v long")
+    near = {(a, b) for k, a in enumerate(signed) for b in signed[k + 1:] if ((a ^ b) % (1 << 64)).bit_count() <= 4}
+    want, got = _roots(signed, near), _roots(signed, {(r.u, r.v) for r in edges.collect()})
+    assert len(near) > 400 and want == got
+    whole = op07_simhash.keyed_fingerprints(spark.createDataFrame([(f,) for f in signed], "fp long"), 4)
+    assert whole.groupBy("key").count().agg(F.max("count")).first()[0] > 200
+
+
+def _roots(nodes, edges):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
 def _covered(texts, span):
     seen, out = {}, []
     data = [(t or "").encode() for _, t in texts]
