@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import itertools
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
@@ -190,11 +191,25 @@ def cross_validate(pipeline: Pipeline, param_maps: list[dict], folded: DataFrame
     return best, table
 
 
+def _untried(axes: dict[str, Dimension], tried: list[dict], rng: random.Random) -> dict | None:
+    """A candidate not tried yet, drawn over the whole space; None if a space of choices holds no more."""
+    for _ in range(100):
+        cand = {name: d.draw(rng) for name, d in axes.items()}
+        if cand not in tried:
+            return cand
+    if any(d.choices is None for d in axes.values()):
+        return None
+    every = (dict(zip(axes, values)) for values in itertools.product(*(d.choices for d in axes.values())))
+    left = [c for c in every if c not in tried]
+    return rng.choice(left) if left else None
+
+
 def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame, evaluator: Evaluator,
                     n_trials: int = 12, n_startup: int = 4, seed: int = 42, parallelism: int = 2):
     """T9 (re-aimed): a driver loop of Spark CV jobs. The first trials are
     random draws; later ones perturb the best quarter so far by one step on
-    one parameter. Returns (best model, trial log DataFrame)."""
+    one parameter, or any untried candidate once those steps are used up, so
+    it ends early only when the space does. Returns (best model, trial log DataFrame)."""
     rng = random.Random(seed)
     k = folded.agg(F.max("fold")).first()[0] + 1
     axes = {name: Dimension(spec) for name, spec in space.items()}
@@ -216,7 +231,9 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
             if all(cand != c for c, _ in tried):
                 break
         else:
-            break
+            cand = _untried(axes, [c for c, _ in tried], rng)
+            if cand is None:
+                break
         pm = {_param(learner, name): convert_param(_param(learner, name).name, v) for name, v in cand.items()}
         model, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k)
         score = table.first()["metric"]
