@@ -111,7 +111,7 @@ def _chunks(parts: int):
 
 def _count_pieces(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load(path)[0]
+        tok = load(path).full
         for rows in sorted_runs(batches, "part"):
             part = rows.column("part").to_numpy()
             blobs = rows.column("words").to_pylist()

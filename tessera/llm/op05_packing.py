@@ -10,8 +10,10 @@ per salted bucket, then ranks inside the bucket) selects the pattern, the
 sequence and the offset.
 
 Defined results: a null or empty text is its closing id alone (length 1);
-repeated rows are packed as often as they come; an empty table gives no rows;
-columns other than the id and the text are not read.
+invalid UTF-8 is read with replacement characters; very long texts are encoded
+in slices that end at white space; repeated rows are packed as often as they
+come; an empty table gives no rows; columns other than the id and the text are
+not read.
 """
 
 from __future__ import annotations
@@ -25,11 +27,11 @@ from pyspark.sql import functions as F
 
 from .bytesops import groups
 from .common import arrow_map, id_text, settle, table
-from .tokens import encode_parts, tokenizer_path
+from .tokens import encode_texts, tokenizer_path
 
 CAPACITY = 2048
 END_ID = 0
-BUCKETS = 256  # salt of the ranks: one length may hold a third of all pieces
+BUCKET_ROWS = 1 << 16  # pieces of one salt bucket, about: one length may hold a third of all pieces
 
 
 def _cut(path: str, capacity: int, with_ids: bool):
@@ -39,9 +41,8 @@ def _cut(path: str, capacity: int, with_ids: bool):
         docs, piece, start, length, crc, ids = [], [], [], [], [], []
         names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
         for b, e in groups(list(map(len, texts)), 1 << 20):
-            for doc, parts in zip(names[b:e], encode_parts(path, texts[b:e])):
-                parts.append(end)
-                raw = memoryview(b"".join(parts))
+            for doc, ids_of in zip(names[b:e], encode_texts(path, texts[b:e])):
+                raw = memoryview(ids_of + end)
                 for k, s in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[s:s + 4 * capacity]
                     docs.append(doc)
@@ -188,8 +189,9 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                    capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` and, if asked for, the piece's ``ids`` bytes."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    pieces = settle(arrow_map(id_text(docs, id_col, text_col), _cut(path, capacity, with_ids), schema)
-                    .withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int")))
+    pieces = settle(arrow_map(id_text(docs, id_col, text_col), _cut(path, capacity, with_ids), schema))
+    buckets = max(64, pieces.count() // BUCKET_ROWS)
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     sizes = settle(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = _slots(pack_histogram(histogram, capacity))
