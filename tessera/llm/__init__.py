@@ -12,6 +12,9 @@ from .op07_simhash import op7_simhash
 from .op08_toxicity import op8_toxicity
 from .op09_suffix import op9_suffix
 from .op10_tiling import op10_decontaminate
+from .op11_importance import op11_resampling
+from .op12_path_ratios import op12_extraction
+from .op13_audit import ORACLE as OP13_SQL, op13_filter_audit
 
 QUERIES = {
     "op1_warc": op1_warc,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_suffix": op9_suffix,
     "op10_decontaminate": op10_decontaminate,
+    "op11_resampling": op11_resampling,
+    "op12_extraction": op12_extraction,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op3_chat": OP3_SQL, "op4_ann": OP4_SQL}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op3_chat": OP3_SQL, "op4_ann": OP4_SQL, "op13_filter_audit": OP13_SQL}
