@@ -211,10 +211,13 @@ def page_blocks(page: str) -> tuple[PathTree, list[tuple[int, str]]]:
         nonlocal links
         text = " ".join("".join(parts).split()) if parts else ""
         if text:
-            path = stack[-1][1]
+            _, path, prior, marked = stack[-1]
+            chars = len(text) - text.count(" ")
+            if links >= chars:  # the leaf of this path is a link
+                path = tree.child(path, "a", prior, marked)
             s = tree.sums[path]
             s[0] += 1
-            s[1] += len(text) - text.count(" ")
+            s[1] += chars
             s[2] += links
             s[3] += len(PUNCTUATION.findall(text))
             blocks.append((path, text))
