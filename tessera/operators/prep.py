@@ -11,6 +11,7 @@ import json
 import logging
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions.stats import quantiles
 from ..session import cut_lineage
 from .base import (DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, HasState, MapModel, Model,
-                   Transformer, lookup, settle_map, small_rows)
+                   Transformer, lookup_all, settle_map, small_rows)
 from .ordered import global_rank
 
 log = logging.getLogger(__name__)
@@ -200,30 +201,33 @@ class LabelEncoderModel(MapModel):
             self._set(inputCols=list(inputCols), state=json.dumps({"n_rows": n_rows}))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        n = self._state().get("n_rows", 0)
-        out = df
-        for c in self.getInputCols():
-            if c not in df.columns:
-                continue
-            m = (self.mapping.where(F.col("column_name") == c)
-                 .select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}")))
-            out = lookup(out, m, n, F.col(c).cast("string"), F.col(f"__v_{c}"))
-            out = out.withColumn(c, F.coalesce(F.col(f"__code_{c}"), F.lit(-1).cast("long"))).drop(
-                f"__v_{c}", f"__code_{c}")
-        return out
+        cols = [c for c in self.getInputCols() if c in df.columns]
+        out = lookup_all(df, self.mapping, self._state().get("n_rows", 0), {c: F.col(c).cast("string") for c in cols}, "code")
+        return (out.withColumns({c: F.coalesce(F.col(f"__got_{c}"), F.lit(-1).cast("long")) for c in cols})
+                .drop(*[f"__got_{c}" for c in cols]))
 
 
 # --- E2: one-hot, wide columns --------------------------------------------------
 
+class DropColumns(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    def __init__(self, inputCols: Sequence[str] | None = None):
+        super().__init__()
+        self._setDefault(inputCols=[])
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.drop(*self.getInputCols())
+
+
 class OneHotWide(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """``{col}_{value}`` 0/1 columns for sorted categories; unseen -> all 0.
 
-    The output schema depends on the data, so the category list is collected;
-    ``maxCategories`` bounds it (beyond that use StringIndexer + OneHotEncoder,
-    which keeps one sparse vector column).
+    A column of more than ``maxCategories`` values becomes one sparse vector column ``{col}_onehot`` instead, from a
+    dictionary made on the cluster: its slots are the values in order, as ``names_table`` of the fitted codes lists.
     """
 
-    maxCategories = Param(Params._dummy(), "maxCategories", "bound on categories", TypeConverters.toInt)
+    maxCategories = Param(Params._dummy(), "maxCategories", "values up to which each becomes a column", TypeConverters.toInt)
     dropInput = Param(Params._dummy(), "dropInput", "drop the source column", TypeConverters.toBoolean)
 
     def __init__(self, inputCols: Sequence[str] | None = None, maxCategories: int = 1000, dropInput: bool = True):
@@ -233,21 +237,25 @@ class OneHotWide(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWr
         if inputCols is not None:
             self._set(inputCols=list(inputCols))
 
-    def _fit(self, df: DataFrame) -> OneHotWideModel:
-        cols = self.getInputCols()
-        bound = self.getOrDefault(self.maxCategories)
+    def _fit(self, df: DataFrame):
+        from .categories import OneHotVector  # which builds on this module's neighbours
+        cols, bound, drop = self.getInputCols(), self.getOrDefault(self.maxCategories), self.getOrDefault(self.dropInput)
         long = df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("k"), F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias("v"))
             for c in cols])).alias("kv")).select("kv.*").distinct()
-        # One bounded fetch: more than bound * len(cols) rows means some column is over the bound.
-        fetched = long.limit(bound * len(cols) + 1).collect()
-        cats: dict[str, list[str]] = {c: [] for c in cols}
-        for r in fetched:
+        long = cut_lineage(long)
+        sizes = {r["k"]: r["n"] for r in long.groupBy("k").agg(F.count("*").alias("n")).collect()}
+        wide = [c for c in cols if sizes.get(c, 0) > bound]
+        cats: dict[str, list[str]] = {c: [] for c in cols if c not in wide}
+        for r in long.where(~F.col("k").isin(wide)).collect():  # at most ``bound`` values a column
             cats[r["k"]].append(r["v"])
-        too_big = [c for c, v in cats.items() if len(v) > bound]
-        if too_big or len(fetched) > bound * len(cols):
-            raise ValueError(f"one-hot of {too_big or cols} exceeds {bound} categories; use the vector encoder")
-        return OneHotWideModel(cols, {c: sorted(v) for c, v in cats.items()}, self.getOrDefault(self.dropInput))
+        narrow = OneHotWideModel(list(cats), {c: sorted(v) for c, v in cats.items()}, drop)
+        if not wide:
+            return narrow
+        base = CategoricalBaseline(wide, listedOnly=True)
+        vectors = OneHotVector(wide, [f"{c}_onehot" for c in wide]).fit(base.transform(df))
+        codes = [f"{c}_onehot__idx" for c in wide]
+        return PipelineModel([narrow, base, *vectors.stages, DropColumns(codes + (wide if drop else []))])
 
 
 class OneHotWideModel(Model, HasInputCols, HasState, DefaultParamsReadable, DefaultParamsWritable):
@@ -273,7 +281,7 @@ class OneHotWideModel(Model, HasInputCols, HasState, DefaultParamsReadable, Defa
             s = F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
             for v in values:
                 exprs[f"{c}_{v}"] = (s == F.lit(v)).cast("double")
-        out = df.withColumns(exprs)
+        out = df.withColumns(exprs) if exprs else df
         if self.getOrDefault(self.dropInput):
             out = out.drop(*self.categories.keys())
         return out

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import cut
 from ..functions.stats import quantiles
-from .base import DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, MapModel, lookup, settle_map
+from .base import DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, MapModel, lookup_all, settle_map
 from .ordered import ordered_prefix
 
 # Tier labels, low to high, and the default for unseen values.
@@ -80,21 +80,17 @@ class RareCategoryModel(MapModel):
                       otherLabel=otherLabel)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        n = self._state().get("n_rows", 0)
         other = F.lit(self.getOrDefault(self.otherLabel))
-        v2 = self.getOrDefault(self.version) == 2
-        out = df
-        for c in self.getInputCols():
-            m = (self.mapping.where(F.col("column_name") == c)
-                 .select(F.col("value").alias(f"__v_{c}"), F.col("rare").alias(f"__r_{c}")))
-            out = lookup(out, m, n, F.col(c).cast("string"), F.col(f"__v_{c}"))
-            rare = F.col(f"__r_{c}")
-            if v2:
-                new = F.when(rare == F.lit(False), F.col(c).cast("string")).otherwise(other)
+        cols = self.getInputCols()
+        out = lookup_all(df, self.mapping, self._state().get("n_rows", 0), {c: F.col(c).cast("string") for c in cols}, "rare")
+        exprs = {}
+        for c in cols:
+            rare, own = F.col(f"__got_{c}"), F.col(c).cast("string")
+            if self.getOrDefault(self.version) == 2:
+                exprs[c] = F.when(rare == F.lit(False), own).otherwise(other)
             else:
-                new = F.when(F.coalesce(rare, F.lit(False)), other).otherwise(F.col(c).cast("string"))
-            out = out.withColumn(c, new).drop(f"__v_{c}", f"__r_{c}")
-        return out
+                exprs[c] = F.when(F.coalesce(rare, F.lit(False)), other).otherwise(own)
+        return out.withColumns(exprs).drop(*[f"__got_{c}" for c in cols])
 
 
 # --- E8: target tiers -----------------------------------------------------------
@@ -165,15 +161,10 @@ class TargetTierModel(MapModel):
             self._set(inputCols=list(inputCols), state=json.dumps({"n_rows": n_rows, "edges": edges or {}}))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        n = self._state().get("n_rows", 0)
-        out = df
-        for c in self.getInputCols():
-            m = (self.mapping.where(F.col("column_name") == c)
-                 .select(F.col("value").alias(f"__v_{c}"), F.col("tier").alias(f"__t_{c}")))
-            out = lookup(out, m, n, F.col(c).cast("string"), F.col(f"__v_{c}"))
-            out = (out.withColumn(f"{c}_Tier", F.coalesce(F.col(f"__t_{c}"), F.lit(TIER_DEFAULT)))
-                   .drop(f"__v_{c}", f"__t_{c}", c))
-        return out
+        cols = self.getInputCols()
+        out = lookup_all(df, self.mapping, self._state().get("n_rows", 0), {c: F.col(c).cast("string") for c in cols}, "tier")
+        tiers = {f"{c}_Tier": F.coalesce(F.col(f"__got_{c}"), F.lit(TIER_DEFAULT)) for c in cols}
+        return out.withColumns(tiers).drop(*cols, *[f"__got_{c}" for c in cols])
 
 
 # --- E9/W1: ordered target encoding ---------------------------------------------

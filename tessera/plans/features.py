@@ -12,13 +12,14 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, RobustScaler, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, RobustScaler, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ops import apply_operations
 from ..operators import prep
+from ..operators.base import CrossFitPipeline
+from ..operators.categories import CategoryCodes
 from ..operators.split import hash_split, train_valid_split
 from ..sources.readers import clean_name, required_feature_columns
 from .learners import encoding_for
@@ -38,7 +39,7 @@ class FeaturePlan:
     summary: dict = field(default_factory=dict)
 
     def pipeline(self, learner=None) -> Pipeline:
-        return Pipeline(stages=self.stages + ([learner] if learner is not None else []))
+        return CrossFitPipeline(stages=self.stages + ([learner] if learner is not None else []))
 
 
 def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None, id_col: str | None = None) -> FeaturePlan:
@@ -101,8 +102,9 @@ def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None, id_co
     cat_features: list[str] = []
     if cats and method in ("onehot", "native"):
         idx = [f"{c}__idx" for c in cats]
-        stages.append(StringIndexer(inputCols=cat_f, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"))
-        cat_features = idx  # nominal metadata on the column: trees split on sets of categories
+        # Native: nominal metadata, so trees split on sets of categories; columns too wide for tree bins get statistics.
+        stages.append(CategoryCodes(cat_f, idx, "label" if method == "native" else "", id_col or ""))
+        cat_features = idx
         if method == "onehot":
             # Vector one-hot: the dropped last slot is the unseen one -> all zeros.
             cat_features = [f"{c}__oh" for c in cats]

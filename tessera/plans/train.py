@@ -6,11 +6,12 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics
+from ..operators.base import CrossFitPipeline
 from ..sources.readers import clean_column_names, clean_name, read_table
 from ..sources.sinks import RunLog, save_model
 from .features import plan_features, prepare_rows, slot_name, split_rows
@@ -68,8 +69,8 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     train_df, valid_df = split_rows(rows, id_col, float(cfg.get("val_size", 0.2)), seed, exact_split)
     learner = create_learner(model_cfg, seed)
     if fit_on == "all":
-        fitted_stages = Pipeline(stages=plan.stages).fit(rows)
-        pipe = Pipeline(stages=[fitted_stages, learner])
+        fitted_stages = CrossFitPipeline(stages=plan.stages).fit(rows)
+        pipe = CrossFitPipeline(stages=[fitted_stages, learner])
     elif fit_on == "train":
         pipe = plan.pipeline(learner)
     else:
@@ -141,7 +142,7 @@ def compare_models(spark: SparkSession, train_df: DataFrame, valid_df: DataFrame
 
     def fit_one(item):
         name, learner = item
-        model = Pipeline(stages=stages + [learner]).fit(train_df)
+        model = CrossFitPipeline(stages=stages + [learner]).fit(train_df)
         r = metrics.regression_metrics(model.transform(valid_df), "label", "prediction").first()
         return name, float(r["mae"]), float(r["rmse"]), float(r["r2"])
 
@@ -155,7 +156,7 @@ def coefficient_path(spark: SparkSession, train_df: DataFrame, stages: list, nam
                      alphas: list[float], l1_ratio: float = 1.0) -> DataFrame:
     """One linear fit per regularisation strength -> (alpha, feature, coef)."""
     from pyspark.ml.regression import LinearRegression
-    prepared = Pipeline(stages=stages).fit(train_df).transform(train_df).select("features", "label").persist()
+    prepared = CrossFitPipeline(stages=stages).fit(train_df).transform(train_df).select("features", "label").persist()
     rows = []
     for a in alphas:
         m = LinearRegression(regParam=a, elasticNetParam=l1_ratio, standardization=False).fit(prepared)
