@@ -207,6 +207,16 @@ def create_learner(model_cfg: dict, seed: int = 42, features_col: str = "feature
     return learner
 
 
+def linear_kind(learner) -> tuple | None:
+    """``(kind, alpha, l1 share)`` of a linear learner that sums of products determine, else None."""
+    if isinstance(learner, LinearByAlpha):
+        return learner.kind, learner.getOrDefault(learner.alpha), learner.getOrDefault(learner.l1_ratio)
+    if (isinstance(learner, LinearRegression) and learner.getRegParam() == 0 and learner.getFitIntercept()
+            and learner.getLoss() == "squaredError" and not learner.isSet(learner.weightCol)):
+        return "linear", 0.0, 0.0
+    return None
+
+
 def last_stage(model):
     return model.stages[-1] if isinstance(model, PipelineModel) else model
 

@@ -6,17 +6,20 @@ import logging
 import itertools
 import math
 import random
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import gram
+from ..operators.base import fit_learner, fit_stage
 from ..operators.metrics import classification_scores
 from ..operators.split import contiguous_folds, cut_folds, hash_folds, kfold, stratified_folds
-from .learners import PARAM_MAP, convert_param
+from .learners import PARAM_MAP, convert_param, linear_kind
 
 log = logging.getLogger(__name__)
 
@@ -155,39 +158,155 @@ def assign_folds(df: DataFrame, id_col: str, k: int, mode: str = "shuffle", labe
     return cut_folds(df, id_col, k, seed)
 
 
+class FoldMemo:
+    """Fitted stages before the learner, per fold, shared by all candidates of a search.
+
+    A stage is fitted again only when a Param of it or of an earlier stage differs from what was fitted. ``fits`` counts
+    the fits of stages with state. Fold -1 stands for all rows.
+    """
+
+    def __init__(self, pipeline: Pipeline, folded: DataFrame):
+        stages = pipeline.getStages()
+        self.prefix, self.learner, self.folded = stages[:-1], stages[-1], folded
+        self.fits = 0
+        self._known: dict[tuple, tuple] = {}
+        self._locks: dict[int, threading.Lock] = {}
+        self._guard = threading.Lock()
+
+    def own(self, stage, params: dict) -> dict:
+        return {p: v for p, v in params.items() if p.parent == stage.uid}
+
+    def key(self, params: dict) -> tuple:
+        """What of ``params`` concerns the stages before the learner."""
+        return tuple((i, p.name, repr(v)) for i, s in enumerate(self.prefix) for p, v in sorted(self.own(s, params).items(), key=lambda x: x[0].name))
+
+    def stateless(self) -> bool:
+        return all(isinstance(s, Transformer) for s in self.prefix)
+
+    def training(self, fold: int, params: dict) -> tuple[list, DataFrame]:
+        """The fitted stages for a fold's training rows, and those rows as the learner sees them."""
+        with self._guard:
+            lock = self._locks.setdefault(fold, threading.Lock())
+        with lock:
+            rows = self.folded if fold < 0 else self.folded.where(F.col("fold") != fold)
+            fitted, path = [], (fold,)
+            for i, stage in enumerate(self.prefix):
+                own = self.own(stage, params)
+                path += (i, *sorted((p.name, repr(v)) for p, v in own.items()))
+                if path not in self._known:
+                    self._known[path] = fit_stage(stage.copy(own) if own else stage, rows)
+                    self.fits += not isinstance(stage, Transformer)
+                model, rows = self._known[path]
+                fitted.append(model)
+            return fitted, rows
+
+    def held_out(self, fold: int, fitted: list) -> DataFrame:
+        return PipelineModel(fitted).transform(self.folded.where(F.col("fold") == fold))
+
+    def fit(self, fold: int, params: dict) -> PipelineModel:
+        fitted, rows = self.training(fold, params)
+        learner = self.learner.copy(self.own(self.learner, params))
+        return PipelineModel([*fitted, fit_learner(learner, rows)])
+
+
+def _gram_scores(memo: FoldMemo, maps: list[dict], evaluator: Evaluator, k: int, parallelism: int) -> list[list[float]] | None:
+    """Scores (candidate, fold) of linear learners from sums of products, or None where they do not apply.
+
+    Stages without state give every fold the same features: one pass for all folds and candidates. Fitted stages differ
+    by fold: one pass a fold. The mean absolute error is no function of the products and takes one pass more.
+    """
+    metric = evaluator.getMetricName() if isinstance(evaluator, RegressionEvaluator) else None
+    kinds = [linear_kind(memo.learner.copy(memo.own(memo.learner, m))) for m in maps]
+    if metric not in ("rmse", "mse", "r2", "mae") or None in kinds:
+        return None
+    label = evaluator.getLabelCol()
+    features = memo.learner.getFeaturesCol()
+    scores = [[0.0] * k for _ in maps]
+    for key in dict.fromkeys(map(memo.key, maps)):
+        chosen = [i for i, m in enumerate(maps) if memo.key(m) == key]
+        sides = {}
+        if memo.stateless():
+            fitted, rows = memo.training(-1, maps[chosen[0]])
+            if _width(rows, features) > gram.WIDEST:
+                return None
+            found = gram.fold_moments(rows, "fold", features, label)
+            none = gram.Moments.none(len(next(iter(found.values())).mean))
+            sides = {f: (sum((m for g, m in found.items() if g != f), none), found.get(f, none)) for f in range(k)}
+            frames = {-1: rows}
+        else:
+            def one(f: int):
+                fitted, rows = memo.training(f, maps[chosen[0]])
+                both = rows.select("fold", features, label).union(memo.held_out(f, fitted).select("fold", features, label))
+                found = gram.fold_moments(both.withColumn("held", (F.col("fold") == f).cast("int")), "held", features, label)
+                none = gram.Moments.none(len(next(iter(found.values())).mean))
+                return f, (found.get(0, none), found.get(1, none)), memo.held_out(f, fitted)
+
+            if _width(memo.training(0, maps[chosen[0]])[1], features) > gram.WIDEST:
+                return None
+            with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+                done = list(pool.map(one, range(k)))
+            sides, frames = {f: s for f, s, _ in done}, {f: held for f, _, held in done}
+        fits = {(i, f): gram.solve(sides[f][0], *kinds[i]) for i in chosen for f in range(k)}
+        if metric != "mae":
+            for (i, f), fit in fits.items():
+                scores[i][f] = gram.score(sides[f][1], fit, metric)
+            continue
+        from pyspark.ml.functions import vector_to_array
+        for at, frame in frames.items():
+            x = frame.select(F.col("fold"), F.col(label).alias("__y"), vector_to_array(features).alias("__x"))
+            held = {(i, f): _absolute_error(fit) for (i, f), fit in fits.items() if at in (-1, f)}
+            row = x.agg(*[F.avg(F.when(F.col("fold") == f, e)).alias(f"{i}_{f}") for (i, f), e in held.items()]).first()
+            for i, f in held:
+                scores[i][f] = row[f"{i}_{f}"]
+    return scores
+
+
+def _absolute_error(fit: gram.LinearFit) -> F.Column:
+    prediction = F.lit(fit.intercept)
+    for j, c in enumerate(fit.coef.tolist()):
+        prediction = prediction + F.col("__x")[j] * F.lit(c)
+    return F.abs(F.col("__y") - prediction)
+
+
+def _width(df: DataFrame, features: str) -> int:
+    attrs = df.schema[features].metadata.get("ml_attr", {})
+    return int(attrs.get("num_attrs", 0)) or sum(map(len, attrs.get("attrs", {}).values()))
+
+
 def cross_validate(pipeline: Pipeline, param_maps: list[dict], folded: DataFrame, evaluator: Evaluator,
-                   parallelism: int = 4, k: int | None = None):
+                   parallelism: int = 4, k: int | None = None, memo: FoldMemo | None = None, refit: bool = True):
     """K-fold CV over a fold column; returns (best model refitted on
     all rows, table of (candidate, mean metric, its deviation over the folds, params)).
 
-    Every (param map, fold) fit is an independent Spark job; they are
-    submitted from a thread pool, so folds run concurrently even with one
-    param map (CrossValidator only parallelises across param maps). The
-    fold-tagged input is cached once.
+    Stages before the learner are fitted once per fold and setting (``FoldMemo``). Linear learners are solved for every
+    candidate and fold from sums of products; every other (candidate, fold) fit is an independent Spark job, submitted
+    from a thread pool. The fold-tagged input is cached once. Without ``refit`` the first result is None.
     """
-    folded = folded.persist()
+    held = memo is None
+    if held:
+        memo = FoldMemo(pipeline, folded.persist())
     if k is None:
-        k = folded.agg(F.max("fold")).first()[0] + 1
+        k = memo.folded.agg(F.max("fold")).first()[0] + 1
     maps = param_maps or [{}]
-
-    def run(job):
-        i, f = job
-        model = pipeline.fit(folded.where(F.col("fold") != f), maps[i])
-        return i, f, float(evaluator.evaluate(model.transform(folded.where(F.col("fold") == f))))
-
-    jobs = [(i, f) for i in range(len(maps)) for f in range(int(k))]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, jobs))
-    scores = [[m for i, _, m in results if i == j] for j in range(len(maps))]
+    scores = _gram_scores(memo, maps, evaluator, int(k), parallelism)
+    if scores is None:
+        def run(job):
+            i, f = job
+            model = memo.fit(f, maps[i])
+            return float(evaluator.evaluate(model.transform(memo.folded.where(F.col("fold") == f))))
+
+        jobs = [(i, f) for i in range(len(maps)) for f in range(int(k))]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = dict(zip(jobs, pool.map(run, jobs)))
+        scores = [[results[i, f] for f in range(int(k))] for i in range(len(maps))]
     means = [sum(s) / k for s in scores]
     devs = [math.sqrt(sum((x - m) ** 2 for x in s) / k) for s, m in zip(scores, means)]
     pick = max if evaluator.isLargerBetter() else min
-    best_i = means.index(pick(means))
-    best = pipeline.fit(folded, maps[best_i])
-    spark = folded.sparkSession
+    best = memo.fit(-1, maps[means.index(pick(means))]) if refit else None
     rows = [(i, means[i], devs[i], str({p.name: v for p, v in pm.items()})) for i, pm in enumerate(maps)]
-    table = spark.createDataFrame(rows, "candidate int, metric double, metric_std double, params string")
-    folded.unpersist()
+    table = folded.sparkSession.createDataFrame(rows, "candidate int, metric double, metric_std double, params string")
+    if held:
+        memo.folded.unpersist()
     return best, table
 
 
@@ -209,7 +328,8 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
     """T9 (re-aimed): a driver loop of Spark CV jobs. The first trials are
     random draws; later ones perturb the best quarter so far by one step on
     one parameter, or any untried candidate once those steps are used up, so
-    it ends early only when the space does. Returns (best model, trial log DataFrame)."""
+    it ends early only when the space does. Fitted stages are shared by all trials, and only the best candidate is
+    fitted on all rows, once. Returns (best model, trial log DataFrame)."""
     rng = random.Random(seed)
     k = folded.agg(F.max("fold")).first()[0] + 1
     axes = {name: Dimension(spec) for name, spec in space.items()}
@@ -217,8 +337,9 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
         if _param(learner, name) is None:
             raise ValueError(f"search parameter {name} has no Spark twin")
     tried: list[tuple[dict, float]] = []
-    best_model, best_score = None, None
+    best_map, best_score = {}, None
     larger = evaluator.isLargerBetter()
+    memo = FoldMemo(pipeline, folded.persist())
     for t in range(n_trials):
         for _ in range(100):  # a new candidate, if the space still holds one
             if t < n_startup:
@@ -235,11 +356,13 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
             if cand is None:
                 break
         pm = {_param(learner, name): convert_param(_param(learner, name).name, v) for name, v in cand.items()}
-        model, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k)
+        _, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k, memo, refit=False)
         score = table.first()["metric"]
         tried.append((cand, score))
         if best_score is None or (score > best_score if larger else score < best_score):
-            best_model, best_score = model, score
+            best_map, best_score = pm, score
+    best_model = memo.fit(-1, best_map) if tried else None
+    memo.folded.unpersist()
     spark = folded.sparkSession
     return best_model, spark.createDataFrame([(i, str(c), float(s)) for i, (c, s) in enumerate(tried)],
                                              "trial int, params string, metric double")

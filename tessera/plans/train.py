@@ -154,12 +154,12 @@ def compare_models(spark: SparkSession, train_df: DataFrame, valid_df: DataFrame
 
 def coefficient_path(spark: SparkSession, train_df: DataFrame, stages: list, names: list[str],
                      alphas: list[float], l1_ratio: float = 1.0) -> DataFrame:
-    """One linear fit per regularisation strength -> (alpha, feature, coef)."""
-    from pyspark.ml.regression import LinearRegression
-    prepared = CrossFitPipeline(stages=stages).fit(train_df).transform(train_df).select("features", "label").persist()
+    """(alpha, feature, coef) of the lasso or elastic-net path; every strength is solved from one pass of products."""
+    from ..operators import gram
+    prepared = CrossFitPipeline(stages=stages).fit(train_df).transform(train_df).select(F.lit(0).alias("one"), "features", "label")
+    found = gram.fold_moments(prepared, "one")
     rows = []
     for a in alphas:
-        m = LinearRegression(regParam=a, elasticNetParam=l1_ratio, standardization=False).fit(prepared)
-        rows += [(float(a), n, float(c)) for n, c in zip(names, m.coefficients.toArray().tolist())]
-    prepared.unpersist()
+        fit = gram.solve(found[0], "elasticnet", a, l1_ratio)
+        rows += [(float(a), n, float(c)) for n, c in zip(names, fit.coef.tolist())]
     return spark.createDataFrame(rows, "alpha double, feature string, coef double")

@@ -57,19 +57,20 @@ def test_adaptive_search_uses_up_the_space(spark, monkeypatch):
     """Candidates that no single step from the best reaches are tried too."""
     score = {}
 
-    def scored(pipeline, maps, *rest):
+    def scored(pipeline, maps, *rest, **named):
         values = tuple(sorted((p.name, v) for p, v in maps[0].items()))
         score[values] = 1.0 if len(score) == 0 else 100.0 + len(score)  # the first trial stays the best
         return None, spark.createDataFrame([(0, score[values])], "candidate int, metric double")
 
     monkeypatch.setattr(search, "cross_validate", scored)
+    monkeypatch.setattr(search.FoldMemo, "fit", lambda memo, fold, params: None)
     learner = learners.create_learner({"type": "decisiontree"})
     folded = spark.createDataFrame([(0,), (1,)], "fold int")
     space = {"max_depth": [1, 2], "min_samples_leaf": [1, 5], "minInfoGain": [0.0, 0.1]}
     ev = search.evaluator_for("neg_root_mean_squared_error")
     for asked, done in ((8, 8), (20, 8)):
         score.clear()
-        _, trials = search.adaptive_search(None, learner, space, folded, ev, n_trials=asked, n_startup=1)
+        _, trials = search.adaptive_search(Pipeline(stages=[learner]), learner, space, folded, ev, n_trials=asked, n_startup=1)
         assert trials.count() == done == len(score)
 
 
