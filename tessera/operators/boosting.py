@@ -157,8 +157,13 @@ def mse_before_after(df: DataFrame, label: str, before: str, after: str) -> Data
 
 
 def hash_order_key(id_col: str, seed: int) -> Column:
-    """Seeded, engine-independent pseudo-random order: md5('seed:id')."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    """Seeded, engine-independent pseudo-random order: md5('seed:id'); a null id hashes as the empty string."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
+def row_tie(df: DataFrame) -> Column:
+    """16 hex digits that tell rows of one id apart (the same for rows that agree in every column)."""
+    return F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), 16, "0")
 
 
 def goss_sample(df: DataFrame, id_col: str, g: str = "g", top_ratio: float = 0.2, bottom_ratio: float = 0.1,
@@ -166,23 +171,38 @@ def goss_sample(df: DataFrame, id_col: str, g: str = "g", top_ratio: float = 0.2
     """Keep the top ``top_ratio`` rows by |g| (ties by id), plus a seeded
     ``bottom_ratio`` share of all rows drawn from the rest; drawn rows weigh
     (n - top_n) / bottom_n. Returns the selected rows with ``weight`` and
-    ``part`` (top / sampled). Only ids and gradients are ranked (distributed); the rows join on the id, which is unique."""
+    ``part`` (top / sampled).
+
+    Only two order statistics are needed, the last key of either part; the
+    choice is then a map-side comparison, so repeated ids multiply nothing.
+    Null gradients rank last; rows of one id and gradient are told apart by
+    their other columns, and rows equal in all columns stand or fall together."""
     n = df.count()
     top_n, bottom_n = int(n * top_ratio), int(n * bottom_ratio)
-    slim = df.select(F.col(id_col).alias("__id"), (-F.abs(F.col(g))).alias("__neg_abs_g"))
-    ranked = global_rank(slim, ["__neg_abs_g", "__id"], "__grank")
-    top = ranked.where(F.col("__grank") <= top_n).select("__id", F.lit(1.0).alias("weight"), F.lit("top").alias("part"))
-    rest = ranked.where(F.col("__grank") > top_n).select("__id", hash_order_key("__id", seed).alias("__h"))
-    drawn = global_rank(rest, ["__h"], "__hrank").where(F.col("__hrank") <= bottom_n).select(
-        "__id", F.lit((n - top_n) / bottom_n if bottom_n else 0.0).alias("weight"), F.lit("sampled").alias("part"))
-    return df.join(top.unionByName(drawn), F.col(id_col) == F.col("__id")).select(*df.columns, "weight", "part")
+    g0 = F.coalesce(F.abs(F.col(g).cast("double")), F.lit(-1.0))
+    key = F.struct((-g0).alias("__neg"), F.col(id_col).isNull().alias("__none"), F.col(id_col).alias("__id"), row_tie(df).alias("__tie"))
+    marked = df.withColumn("__key", key)
+    names = ["__neg", "__none", "__id", "__tie"]
+    last = None
+    if top_n:
+        ranked = global_rank(marked.select("__key.*"), names, "__rank")
+        last = ranked.where(F.col("__rank") == top_n).select(*names).first()
+    types = {f.name: f.dataType for f in marked.schema["__key"].dataType.fields}
+    is_top = F.lit(False) if last is None else F.col("__key") <= F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in names])
+    marked = marked.withColumn("__top", is_top).withColumn("__h", F.concat(hash_order_key(id_col, seed), F.col("__key.__tie")))
+    from .split import hash_cuts  # which builds on this module
+    _, cuts = hash_cuts(marked.where(~F.col("__top")), lambda _: [bottom_n])
+    drawn = ~F.col("__top") & (F.col("__h") <= F.lit(next(iter(cuts.values())))) if cuts else F.lit(False)
+    weight = F.when(F.col("__top"), F.lit(1.0)).otherwise(F.lit((n - top_n) / bottom_n if bottom_n else 0.0))
+    part = F.when(F.col("__top"), F.lit("top")).otherwise(F.lit("sampled"))
+    return marked.where(F.col("__top") | drawn).select(*df.columns, weight.alias("weight"), part.alias("part"))
 
 
 def ordered_leaf_weight(df: DataFrame, id_col: str, x: str, threshold: float, g: str = "g", h: str = "h",
                         lam: float = 1.0) -> DataFrame:
     """Each row's leaf output at a given split, from strictly earlier rows
-    (by ``id_col``) on the same side only (ordered boosting)."""
+    (by ``id_col``) on the same side only (ordered boosting). Rows of one id follow each other in a fixed order."""
     side = F.when(F.col(x) < F.lit(float(threshold)), F.lit("left")).otherwise(F.lit("right"))
-    pre = ordered_prefix(df.withColumn("side", side), [id_col], {"__G": F.col(g), "__H": F.col(h)},
+    pre = ordered_prefix(df.withColumn("side", side).withColumn("__tie", row_tie(df)), [id_col, "__tie"], {"__G": F.col(g), "__H": F.col(h)},
                          partition_by=["side"], inclusive=False)
-    return pre.withColumn("ordered_weight", leaf_weight_expr(F.col("__G"), F.col("__H"), lam)).drop("__G", "__H")
+    return pre.withColumn("ordered_weight", leaf_weight_expr(F.col("__G"), F.col("__H"), lam)).drop("__G", "__H", "__tie")

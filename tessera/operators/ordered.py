@@ -22,10 +22,25 @@ from ..session import cut_lineage
 _PID = "__pid"
 
 
+PARTITION_BYTES = 128 << 20  # of the tables read
+UNKNOWN_SIZE = 1 << 60  # what the planner gives for tables it cannot measure lies above
+
+
+def read_bytes(df: DataFrame) -> int:
+    """Bytes of the tables behind ``df``, as the planner measures its leaves (a leaf of unknown size counts nothing).
+
+    The estimate of the whole plan is no use here: for joins it is a product."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN_SIZE)
+
+
 def _num_partitions(df: DataFrame, requested: int | None) -> int:
+    """At least ``spark.sql.shuffle.partitions``, and so many more that a range holds about ``PARTITION_BYTES``."""
     if requested:
         return int(requested)
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    least = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return max(least, read_bytes(df) // PARTITION_BYTES)
 
 
 def ordered_prefix(df: DataFrame, order_by: Sequence[str], sums: Mapping[str, Column],

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import cut
 from ..functions.stats import quantiles
 from .base import DefaultParamsReadable, DefaultParamsWritable, Estimator, HasInputCols, MapModel, lookup_all, settle_map
+from .boosting import row_tie
 from .ordered import ordered_prefix
 
 # Tier labels, low to high, and the default for unseen values.
@@ -175,19 +176,15 @@ def ordered_target_encode(df: DataFrame, cat: str, label: str, order_col: str, o
     w*prior) / (count of earlier rows + w), earlier by ``order_col``.
 
     The prefix statistics are distributed (range-partitioned prefix sums), so
-    a hot category is split across tasks. Only (category, order, label) are
-    sorted; other columns join back on ``order_col``, a unique key.
+    a hot category is split across tasks. Rows travel whole, once, and nothing
+    is joined back: null order keys (first) and repeated ones lose or multiply
+    no row. Rows of one key follow each other in an order of their own (a hash
+    of the row); null targets count as rows of value 0.
     """
     if prior is None:
         prior = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
     w = float(prior_weight)
-    needed = list(dict.fromkeys([order_col, cat, label]))
-    slim = df.select(*needed)
-    pre = ordered_prefix(slim, [order_col], {"__sum": F.col(label), "__cnt": F.lit(1)},
+    pre = ordered_prefix(df.drop(out).withColumn("__tie", row_tie(df)), [order_col, "__tie"], {"__sum": F.col(label), "__cnt": F.lit(1)},
                          partition_by=[cat], inclusive=False)
-    coded = pre.withColumn(out, (F.col("__sum") + F.lit(w * prior)) / (F.col("__cnt") + F.lit(w))).drop("__sum", "__cnt")
-    rest = [c for c in df.columns if c not in needed and c != out]
-    if not rest:
-        return coded
-    keyed = coded.select(F.col(order_col).alias("__order"), F.col(out))
-    return df.drop(out).join(keyed, F.col(order_col) == F.col("__order")).drop("__order")
+    coded = pre.withColumn(out, (F.col("__sum") + F.lit(w * prior)) / (F.col("__cnt") + F.lit(w)))
+    return coded.select(*[c for c in df.columns if c != out], out)
