@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .base import small_rows
 from .ordered import ordered_prefix
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon (MAPE floor, sklearn rule)
@@ -135,9 +137,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach balanced weights as a ``weightCol`` (the class table is tiny)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    """Attach balanced weights as a ``weightCol``; the class table is broadcast only when it measures small."""
+    w = cut_lineage(class_weights(df, label).select(label, F.col("weight").alias(out)))
+    rows = small_rows(w)
+    return df.join(w if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, w.schema)), label, "left")
 
 
 def cv_summary(scores: DataFrame, score: str = "score") -> DataFrame:
@@ -146,6 +149,12 @@ def cv_summary(scores: DataFrame, score: str = "score") -> DataFrame:
     return agg.withColumns({"low": F.col("mean") - 2 * F.col("std"), "high": F.col("mean") + 2 * F.col("std")})
 
 
+def cv_test_gap(cv: float, test: float, share: float = 0.1) -> dict:
+    """The distance between the cross-validated and the test metric; too far apart beyond ``share`` of the former."""
+    gap = abs(cv - test)
+    return {"cv": float(cv), "test": float(test), "gap": float(gap), "too_far": bool(gap > share * abs(cv))}
+
+
 def overfit_gap(train_r2: DataFrame, test_r2: DataFrame) -> DataFrame:
     """Train R^2 - test R^2 with bands (< 0.1 ok, < 0.2 mild, else severe)."""
     tr, te = train_r2.first()["r2"], test_r2.first()["r2"]

@@ -20,6 +20,7 @@ from ..functions.ops import apply_operations
 from ..operators import prep
 from ..operators.base import CrossFitPipeline
 from ..operators.categories import CategoryCodes
+from ..operators.classes import class_codes
 from ..operators.split import hash_split, train_valid_split
 from ..sources.readers import clean_name, required_feature_columns
 from .learners import encoding_for
@@ -146,9 +147,11 @@ def slot_name(name: str) -> str:
     return name
 
 
-def prepare_rows(df: DataFrame, label: str) -> DataFrame:
-    """Drop rows with a null target; cast the target to double as ``label``."""
+def prepare_rows(df: DataFrame, label: str, names: list[str] | None = None) -> DataFrame:
+    """Drop rows with a null target; the target as double ``label``, or its place among the class ``names``."""
     label = clean_name(label)
+    if names is not None:
+        return class_codes(df, label, names)
     return df.withColumn("label", prep.number(label)).where(F.col("label").isNotNull())
 
 

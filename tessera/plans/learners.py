@@ -14,6 +14,8 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.classes import learner_stage
+
 log = logging.getLogger(__name__)
 
 # Parameter names of the reference learners and their Spark twins.
@@ -218,15 +220,20 @@ def linear_kind(learner) -> tuple | None:
 
 
 def last_stage(model):
-    return model.stages[-1] if isinstance(model, PipelineModel) else model
+    return learner_stage(model)
 
 
 def feature_importance(spark: SparkSession, model, names: list[str]) -> DataFrame | None:
     """(feature, importance) sorted descending (ties by name); linear
     models give |coefficient|; others None."""
     m = last_stage(model)
-    if hasattr(m, "featureImportances"):
+    if hasattr(m, "models"):  # one against the rest: the mean over the classes
+        each = [own.featureImportances.toArray() for own in m.models]
+        values = (sum(each) / len(each)).tolist()
+    elif hasattr(m, "featureImportances"):
         values = m.featureImportances.toArray().tolist()
+    elif getattr(m, "numClasses", 2) > 2 and hasattr(m, "coefficientMatrix"):  # one row a class
+        values = abs(m.coefficientMatrix.toArray()).mean(axis=0).tolist()
     elif hasattr(m, "coefficients"):
         values = [abs(v) for v in m.coefficients.toArray().tolist()]
     else:

@@ -226,10 +226,10 @@ def encode_on_batch_q(spark, sf):
     return score.encode_on_batch(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), ["o_orderpriority"])
 
 
-@q("prediction_summary", f"""
+@q("predicted_value_summary", f"""
 WITH {JOBS_SQL}, {ols_sql("saving")}, p AS (SELECT {PREDICT_SQL} AS p FROM s, f)
 SELECT round(min(p), 3) AS min, round(max(p), 3) AS max, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std FROM p""")
-def prediction_summary(spark, sf):
+def predicted_value_summary(spark, sf):
     """G1 of the predictions."""
     cfg = _linear_cfg()
     rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")

@@ -29,11 +29,13 @@ def score(model: PipelineModel, df: DataFrame, data_cfg: dict | None = None, kee
             raise ValueError(f"missing required columns: {missing}")
         predicted = f"Predicted_{clean_name(data_cfg.get('target_column') or 'Target')}"
     scored = model.transform(df)
-    stamps = {predicted: F.col("prediction"),
+    named = "prediction_class" in scored.columns  # a model of named classes predicts their names
+    stamps = {predicted: F.col("prediction_class" if named else "prediction"),
               "Prediction_Timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),
               "Model_Type": F.lit(model_family(model))}
     if with_probability and "probability" in scored.columns:
-        stamps["Probability"] = vector_to_array("probability")[1]  # T26
+        p = vector_to_array("probability")  # T26: of the positive class; of the predicted one when there are more than two
+        stamps["Probability"] = F.when(F.size(p) == 2, p[1]).otherwise(F.array_max(p)) if named else p[1]
     out = scored.withColumns(stamps)
     cols = (keep if keep is not None else df.columns) + list(stamps)
     return out.select(*cols)

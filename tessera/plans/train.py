@@ -7,11 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import metrics
 from ..operators.base import CrossFitPipeline
+from ..operators.classes import class_names, is_named, with_names
 from ..sources.readers import clean_column_names, clean_name, read_table
 from ..sources.sinks import RunLog, save_model
 from .features import plan_features, prepare_rows, slot_name, split_rows
@@ -30,6 +32,9 @@ class TrainResult:
     feature_cols: list[str]
     run_id: str | None = None
     best_params: dict | None = None
+    classes: list[str] | None = None
+    report: DataFrame | None = None
+    gap: dict | None = None
     transformations: list | None = None
 
 
@@ -54,6 +59,8 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
           fit_on: str = "train") -> TrainResult:
     """Features -> split -> (search | CV + fit) -> evaluate -> importance.
 
+    A text or boolean target of a classification is coded; the model predicts, and the report names, its classes.
+
     ``fit_on="train"`` (default) fits fills, encoders and scaler inside each
     training fold only (no leakage). ``fit_on="all"`` reproduces the
     reference: those stages are fitted once on all rows before the split and
@@ -63,11 +70,19 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     fit_on = cfg.get("fit_on", fit_on)
     data, model_cfg = cfg["data"], cfg.get("model", {})
     target = clean_name(data["target_column"])
-    rows = prepare_rows(clean_column_names(df), target)
+    task = model_cfg.get("task", "regression")
+    clean = clean_column_names(df)
+    names = class_names(clean, target) if task == "classification" and is_named(clean, target) else None
+    rows = prepare_rows(clean, target, names)
     plan = plan_features(rows.drop("label"), cfg, id_col=id_col)
     rows = rows.drop(target) if target != "label" else rows
     train_df, valid_df = split_rows(rows, id_col, float(cfg.get("val_size", 0.2)), seed, exact_split)
     learner = create_learner(model_cfg, seed)
+    search = model_cfg.get("hyperparameter_search", {}) or {}
+    if names and len(names) > 2 and isinstance(learner, GBTClassifier):  # which tells two classes apart
+        if search.get("enabled"):
+            raise ValueError("a boosted classifier of more than two classes cannot be searched; use randomforest")
+        learner = OneVsRest(classifier=learner, featuresCol="features", labelCol="label")
     if fit_on == "all":
         fitted_stages = CrossFitPipeline(stages=plan.stages).fit(rows)
         pipe = CrossFitPipeline(stages=[fitted_stages, learner])
@@ -75,10 +90,8 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
         pipe = plan.pipeline(learner)
     else:
         raise ValueError(f"fit_on must be 'train' or 'all', not {fit_on!r}")
-    search = model_cfg.get("hyperparameter_search", {}) or {}
     scoring = search.get("scoring", "neg_root_mean_squared_error")
     k = int(search.get("cv", cfg.get("cv_folds", 3)))
-    task = model_cfg.get("task", "regression")
     folded = assign_folds(train_df, id_col, k, "shuffle" if task == "regression" else "stratified", seed=seed)
     ev = evaluator_for(scoring)
     if search.get("enabled"):
@@ -94,7 +107,7 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     else:
         maps = [{}]
     best, cv_table = cross_validate(pipe, maps, folded, ev, parallelism=int(search.get("parallelism", 4)), k=k)
-    model = best
+    model = with_names(best, names) if names else best
     m = evaluate_regression(model, train_df, valid_df) if task == "regression" else evaluate_classification(model, valid_df)
     top = cv_table.orderBy(F.desc("metric") if ev.isLargerBetter() else F.asc("metric"), "candidate").first()
     m[f"CV_{scoring}"] = float(top["metric"])
@@ -104,7 +117,17 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
             m["CV_RMSE_std"] = float(top["metric_std"])
     chosen = {p.name: v for p, v in maps[top["candidate"]].items()} if search.get("enabled") else None
     imp = feature_importance(spark, model, _vector_names(model, valid_df))
-    return TrainResult(model, m, imp, cv_table, plan.feature_cols, best_params=chosen, transformations=plan.summary["transformations"])
+    test = {"root_mean_squared_error": "RMSE", "rmse": "RMSE", "mean_absolute_error": "MAE", "mae": "MAE", "r2": "R2"}
+    own_test = m.get(test.get(scoring.lower().replace("neg_", "")))
+    gap = metrics.cv_test_gap(float(top["metric"]), own_test) if own_test is not None else None
+    if gap and gap["too_far"]:
+        log.warning("the test metric %.6g is over 10 %% away from the cross-validated %.6g", own_test, gap["cv"])
+    report = None
+    if task == "classification":
+        own = ("label_class", "prediction_class") if names else ("label", "prediction")
+        report = metrics.classification_report(model.transform(valid_df).select(*own), *own)
+    return TrainResult(model, m, imp, cv_table, plan.feature_cols, best_params=chosen, classes=names, report=report, gap=gap,
+                       transformations=plan.summary["transformations"])
 
 
 def _vector_names(model: PipelineModel, df: DataFrame) -> list[str]:

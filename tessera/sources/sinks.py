@@ -75,7 +75,10 @@ def load_model(path: str) -> PipelineModel:
 
 def model_family(model) -> str:
     """Family of the last stage, by class name."""
-    stage = model.stages[-1] if isinstance(model, PipelineModel) and model.stages else model
+    from ..operators.classes import learner_stage
+    stage = learner_stage(model)
+    if type(stage).__name__ == "OneVsRestModel":
+        stage = stage.models[0]
     name = type(stage).__name__.lower()
     for key, family in (("gbt", "gbt"), ("randomforest", "randomforest"), ("decisiontree", "decisiontree"),
                         ("linearregression", "linear"), ("logisticregression", "logistic"),
