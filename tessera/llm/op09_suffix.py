@@ -8,7 +8,8 @@ only suffixes that can start a repeated string get that far:
    anchor occurs once in the corpus is unique and leaves here.
 2. The other windows travel as pieces (the bytes around one anchor that all
    its windows cover). Splitters sampled from the repeated anchors divide the
-   order of the anchors' leading bytes into buckets of even weight.
+   order of the anchors' leading bytes into buckets of even weight; a bucket is
+   a partition.
 3. Inside a bucket equal pieces meet first; the suffixes of the remaining ones
    are ordered by multikey quicksort, eight bytes a character, keeping only
    ties. What is tied after 200 bytes is repeated.
@@ -16,11 +17,13 @@ only suffixes that can start a repeated string get that far:
 Equal windows agree in (leading bytes, anchor, offset block), which is what
 splitters cut by, so comparing across a bucket boundary reduces to that key:
 no run of equal suffixes lies on two sides. A frequent anchor is dealt over
-several offset blocks, and equal pieces of one batch leave it once.
+several offset blocks, in the end of one window each, which are dealt by their
+content; equal pieces of one batch leave it once.
 
 Defined results: null text is empty; texts under the window length keep all
 bytes; a repeated row is a document of its own, so its copy counts as another
-place; ids may be null or repeat (documents are told apart by a 64-bit hash of
+place (such rows are searched once and, from the window length on, removed
+whole); very long texts are read in segments; ids may be null or repeat (documents are told apart by a 64-bit hash of
 id and text); an empty table gives no rows; other columns are not read.
 """
 
@@ -30,6 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +43,7 @@ from .common import arrow_map, discard, id_text, settle, sorted_runs, table
 SPAN = 200
 GRAM = 32
 SEGMENT = 1 << 17  # positions handled by one vector operation: its arrays stay in the CPU cache
+BUCKET_ROWS = 1 << 20  # anchor rows of the corpus for one bucket, about (few of them recur)
 PER_BLOCK = 512  # rows of one anchor in one offset block, about
 BYTE_CODE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 ODD = 0x9E3779B97F4A7C15
@@ -121,20 +126,27 @@ def _rank(lead: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (lead.astype(np.int64) << 32) + (h.astype(np.int64) >> 32)
 
 
-def _splitters(found: DataFrame, buckets: int, sample: int = 200) -> np.ndarray:
-    """Bucket bounds of even weight from a sample of about ``sample`` anchors a bucket."""
-    share = min(1.0, sample * buckets / max(found.count(), 1))
-    rows = found.sample(share, seed=7).select("lead", "h").toPandas()
-    rank = np.sort(_rank(rows["lead"].to_numpy(), rows["h"].to_numpy()))
-    return np.unique(rank[len(rank) * np.arange(1, buckets) // buckets]) if len(rank) else rank
+def _splitters(again: DataFrame, buckets: int, sample: int = 200) -> np.ndarray:
+    """Bucket bounds of even weight from a sample of about ``sample`` repeated anchors a bucket, each weighing its rows."""
+    share = min(1.0, sample * buckets / max(again.count(), 1))
+    rows = again.sample(share, seed=7).select("lead", "h", "n").toPandas()
+    if not len(rows):
+        return np.empty(0, np.int64)
+    rank = _rank(rows["lead"].to_numpy(), rows["h"].to_numpy())
+    order = np.argsort(rank)
+    weight = np.cumsum(np.minimum(rows["n"].to_numpy()[order], PER_BLOCK))  # a more frequent anchor is dealt over blocks
+    return np.unique(rank[order][np.searchsorted(weight, weight[-1] * np.arange(1, buckets) / buckets)])
 
 
-PIECES = "bucket int, h long, block int, row long, s long, multi boolean, piece binary"
+PIECES = "bucket int, h long, block int, row long, s long, multi boolean, piece binary"  # bucket: the task
 
 
-def _pieces(cuts: np.ndarray, span: int):
+def _pieces(cuts: np.ndarray, buckets: int, span: int):
     """Documents with their repeated anchors -> pieces; equal ones of a slice leave as one marked ``multi``
-    (rows without a piece say that the ``block`` windows from ``s`` on are repeated)."""
+    (rows without a piece say that the ``block`` windows from ``s`` on are repeated).
+
+    A bucket is a range of anchors. The blocks of a frequent anchor go to buckets of their own; where a block is one
+    window, equal pieces are all that can meet, so these are dealt (and grouped) by their content."""
     names = ("bucket", "h", "block", "row", "s", "multi", "piece")
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -153,7 +165,7 @@ def _pieces(cuts: np.ndarray, span: int):
                 for block in range(hi // width, lo // width - 1, -1):
                     s, e = a - min(hi, block * width + width - 1), a - max(lo, block * width) + span
                     lead = int.from_bytes(text[a:a + 4], "big") - (1 << 31)
-                    if (seen := keep.setdefault((int(h[j]), block, text[s:e]), [lead, doc, s, None]))[3] is None:
+                    if (seen := keep.setdefault((int(h[j]), block, text[s:e]), [lead, doc, s, None, ways[j]]))[3] is None:
                         seen[3] = False
                         continue
                     seen[3] = True
@@ -162,10 +174,16 @@ def _pieces(cuts: np.ndarray, span: int):
                         runs[-1][1] = max(runs[-1][1], e)
                     else:
                         runs.append([s, e])
-        rows = [(0, 0, e - s - span + 1, doc, s, True, None) for doc, runs in known.items() for s, e in runs]
-        bucket = np.searchsorted(cuts, _rank(np.array([v[0] for v in keep.values()], np.int64),
+        rows = [(s + doc & 0x7FFFFFFF, 0, e - s - span + 1, doc, s, True, None) for doc, runs in known.items() for s, e in runs]
+        ranged = np.searchsorted(cuts, _rank(np.array([v[0] for v in keep.values()], np.int64),
                                              np.array([key[0] for key in keep], np.int64)), side="right").tolist()
-        rows += [(b, key[0], key[1], doc, s, multi, key[2]) for b, (key, (_, doc, s, multi)) in zip(bucket, keep.items())]
+        for b, ((anchor, block, piece), (_, doc, s, multi, dealt)) in zip(ranged, keep.items()):
+            if dealt >= span:
+                anchor = xxhash.xxh64_intdigest(piece) - (1 << 63)
+                b = anchor % buckets
+            elif dealt > 1:
+                b = (anchor + 0x9E3779B1 * (block + 1)) % buckets
+            rows.append((b, anchor, block, doc, s, multi, piece))
         return dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
 
     return run
@@ -288,17 +306,27 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
-    found = settle(arrow_map(texts.select("row", "text"), _anchor_rows(span), "row long, place long, h long, lead int"))
-    again = settle(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
-    cuts = _splitters(found, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cand = (found.select("row", "place", "h").join(again, "h").groupBy("row")
+    # Equal rows (one id, one text) are resolved once; that they cover each other is known without looking.
+    copies = settle(texts.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row"))
+    several = not copies.isEmpty()
+    once, whole = texts, None
+    if several:
+        one = settle(texts.join(copies, "row", "left_semi").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")))
+        once = texts.join(copies, "row", "left_anti").select("doc_id", "text", "row").union(one.select("doc_id", "text", "row"))
+        size = F.octet_length("text").cast("long")
+        whole = one.where(size >= span).select("row", F.lit(0).cast("long").alias("s"), size.alias("e"))
+    found = settle(arrow_map(once.select("row", "text"), _anchor_rows(span), "row long, place long, h long, lead int"))
+    again = settle(found.groupBy("h").agg(F.count("*").alias("n"), F.min("lead").alias("lead")).where("n > 1"))
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), found.count() // BUCKET_ROWS)
+    cuts = _splitters(again, buckets)
+    cand = (found.select("row", "place", "h").join(again.select("h", "n"), "h").groupBy("row")
             .agg(F.collect_list(F.struct("place", "h", "n")).alias("cand")))
-    packed = arrow_map(texts.select("row", "text"), _packed, "row long, text binary")
-    pieces = arrow_map(packed.join(cand, "row"), _pieces(cuts, span), PIECES)
-    # rows without a piece need no meeting: they are dealt by their own place
-    to = F.when(F.col("piece").isNull(), F.xxhash64("row", "s")).otherwise(F.xxhash64("bucket", "block"))
-    runs = pieces.withColumn("to", to).repartition("to").sortWithinPartitions("h", "block")
+    packed = arrow_map(once.select("row", "text"), _packed, "row long, text binary")
+    pieces = arrow_map(packed.join(cand, "row"), _pieces(cuts, buckets, span), PIECES)
+    runs = pieces.repartitionById(buckets, "bucket").sortWithinPartitions("h", "block")
     covered = settle(runs.mapInArrow(_all_runs(span), "row long, s long, e long"))
+    if several:
+        covered = covered.join(copies, "row", "left_anti").union(whole)
     discard(spark, found, again)
     spans = covered.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("runs"))
     schema, extra = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", ""
