@@ -22,7 +22,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the line CRF scores under 0.3. The labelled training texts come from ``docs``."""
+    """Drop documents that the line CRF scores under 0.3. The labelled training texts come from ``docs``. A null text is
+    scored as an empty one; null ids are scored like others."""
     return quality_filter(docs, fit_quality(docs, table(spark, sf_dir, "labels")), least=0.3).select(*COLUMNS)
 
 
@@ -31,13 +32,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     id are documents of their own; rows without an id are in no group and stay."""
     rows = docs.withColumn("text_hash", text_hash())
     copies = simhash_rows(docs).where("doc_id <> component_id or text_hash <> component_text").select("doc_id", "text_hash")
-    kept = rows.join(copies, ["doc_id", "text_hash"], "left_anti")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text_hash"])
+    # Repeated rows go first, map-side: the one shuffle of the texts then serves the join with the slim keys too.
+    named = rows.where("doc_id is not null").dropDuplicates(["doc_id", "text_hash"])
+    named = named.join(copies.distinct(), ["doc_id", "text_hash"], "left_anti")
     return named.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut bytes under repeated 200-byte strings; what a cut leaves of a character goes too. Emptied documents stay, empty."""
+    """Cut bytes under repeated 200-byte strings; what a cut leaves of a character goes too. Emptied documents and null
+    texts stay, empty."""
     found = suffix_dedup(docs, carry=("lang", "source"))
     text = F.col("kept").cast("string")
     whole = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
@@ -46,12 +49,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that cover 0.8 or more of a benchmark item's words."""
+    """Drop documents that cover 0.8 or more of a benchmark item's words (a null or empty text covers nothing)."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 2048 tokens."""
+    """Pack what is left into sequences of 2048 tokens (a null or empty text is its closing id alone)."""
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
