@@ -31,7 +31,7 @@ from .tokens import encode_texts, tokenizer_path
 
 CAPACITY = 2048
 END_ID = 0
-BUCKET_ROWS = 1 << 16  # pieces of one salt bucket, about: one length may hold a third of all pieces
+BUCKET_ROWS = 1 << 13  # pieces of one salt bucket, about: one length may hold a third of all pieces
 
 
 def _cut(path: str, capacity: int, with_ids: bool):
@@ -190,10 +190,11 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` and, if asked for, the piece's ``ids`` bytes."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     pieces = settle(arrow_map(id_text(docs, id_col, text_col), _cut(path, capacity, with_ids), schema))
-    buckets = max(64, pieces.count() // BUCKET_ROWS)
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
-    sizes = settle(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")))
-    histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    buckets = F.array(*[F.lit(1 + histogram.get(w, 0) // BUCKET_ROWS) for w in range(1, capacity + 1)])
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"),
+                                              F.element_at(buckets, F.col("length").cast("int"))).cast("int"))
+    sizes = settle(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")))  # a row a length and BUCKET_ROWS pieces
     slots = _slots(pack_histogram(histogram, capacity))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

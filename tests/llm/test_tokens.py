@@ -47,3 +47,17 @@ def test_other_tokenizers_go_through_the_library():
 def test_long_pieces_are_not_remembered():
     encode_texts(WORD, [b"y" * 5000 + b" short"])
     assert "short" in load(WORD).known and not any(len(p) > 64 for p in load(WORD).known)
+
+
+def test_frequent_lengths_are_dealt_over_buckets(spark, monkeypatch):
+    """Ranks within a length that is dealt over many buckets still fill every sequence without a gap."""
+    from tessera.llm import op05_packing
+    monkeypatch.setattr(op05_packing, "BUCKET_ROWS", 7)
+    docs = spark.createDataFrame([(k % 300, "one two " * (1 + k % 5 // 4)) for k in range(900)], "doc_id long, text string").repartition(4)
+    got = op05_packing.pack_documents(docs, WORD, capacity=16).collect()
+    assert len(got) == 900
+    ends = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert ends.get(r.sequence_id, 0) == r.offset
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 16
