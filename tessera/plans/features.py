@@ -87,7 +87,8 @@ def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None, id_co
 
     strategy = pre.get("missing_strategy", "mean")
     method = encoding_for(model_type, pre.get("categorical_encoding", "label"))
-    applied = []
+    kinds = {k: len([c for c in v if c in numeric + cats]) for k, v in prep.column_kinds(df).items()}
+    applied = ["columns: " + ", ".join(f"{n} {k}" for k, n in kinds.items())]
     stages: list = []
     if ops:
         stages.append(prep.FeatureOperations(ops, onError="raise"))
@@ -124,7 +125,7 @@ def plan_features(df: DataFrame, cfg: dict, model_type: str | None = None, id_co
         applied.append(f"scaled: {scaler}")
     stages.append(VectorAssembler(inputCols=num_f + cat_features, outputCol="features", handleInvalid="keep"))
     return FeaturePlan(stages, numeric + cats, label, cats,
-                       {"model_type": model_type, "encoding_method": method, "missing_strategy": strategy if configured else None,
+                       {"model_type": model_type, "columns": kinds, "encoding_method": method, "missing_strategy": strategy if configured else None,
                         "scaling": scaling, "scaling_method": scaler, "operations": ops, "transformations": applied})
 
 

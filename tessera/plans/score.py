@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.readers import clean_column_names, clean_name, required_feature_columns
+from ..operators.prep import assert_numeric
+from ..sources.readers import clean_column_names, clean_name, required_feature_columns, validate_columns
 from ..sources.sinks import model_family, write_table
 
 
+def _guarded(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """P10: the model's output; text that would reach its vector raises with the column names first."""
+    stages = model.stages if isinstance(model, PipelineModel) else [model]
+    at = next((i for i, s in enumerate(stages) if isinstance(s, VectorAssembler)), None)
+    if at is None:
+        return model.transform(df)
+    before = PipelineModel(stages[:at]).transform(df)
+    have = [c for c in stages[at].getInputCols() if c in before.columns]
+    return PipelineModel(stages[at:]).transform(assert_numeric(before, have))
+
+
 def score(model: PipelineModel, df: DataFrame, data_cfg: dict | None = None, keep: list[str] | None = None,
           with_probability: bool = False) -> DataFrame:
     """Clean names, check required columns, predict, stamp.
@@ -23,12 +36,9 @@ def score(model: PipelineModel, df: DataFrame, data_cfg: dict | None = None, kee
     predicted = "Predicted_Value"
     df = clean_column_names(df)
     if data_cfg:
-        required = required_feature_columns(data_cfg)
-        missing = [c for c in required if c not in df.columns]
-        if missing:
-            raise ValueError(f"missing required columns: {missing}")
+        validate_columns(df, required_feature_columns(data_cfg))
         predicted = f"Predicted_{clean_name(data_cfg.get('target_column') or 'Target')}"
-    scored = model.transform(df)
+    scored = _guarded(model, df)
     named = "prediction_class" in scored.columns  # a model of named classes predicts their names
     stamps = {predicted: F.col("prediction_class" if named else "prediction"),
               "Prediction_Timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"),

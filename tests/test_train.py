@@ -165,3 +165,22 @@ def test_logistic_strength_and_hidden_layers(spark):
     assert abs(model.getRegParam() - 1 / (0.5 * 200)) < 1e-12
     mlp = learners.create_learner({"type": "mlp", "task": "classification", "params": {"hidden_layer_sizes": [5], "max_iter": 30}}).fit(df)
     assert list(mlp.getLayers()) == [2, 5, 2]
+
+
+def test_text_and_missing_columns_raise_before_the_learner(spark):
+    """Scoring names the columns that are missing or still text; the plan counts columns by kind."""
+    import pytest
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from tessera.plans.features import plan_features
+    rows = spark.createDataFrame([(float(i), 2.0 * i) for i in range(20)], "x double, label double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"), learners.create_learner({"type": "linear"})]).fit(rows)
+    with pytest.raises(ValueError, match="text.*x"):
+        score.score(model, spark.createDataFrame([("a",)], "x string"))
+    with pytest.raises(ValueError, match="missing required columns.*z"):
+        score.score(model, rows, {"feature_columns": ["x", "z"], "target_column": "label"})
+    df = spark.createDataFrame([(1, 1.0, "a", 1, 0.0)], "id long, x double, c string, is_new int, y double")
+    plan = plan_features(df, {"data": {"target_column": "y", "feature_columns": ["x", "c", "is_new"]}, "model": {"type": "linear"}}, id_col="id")
+    assert plan.summary["columns"] == {"numeric": 1, "text": 1, "flag": 1}
+    assert plan.summary["transformations"][0] == "columns: 1 numeric, 1 text, 1 flag"
