@@ -14,14 +14,16 @@ broadcast and meets all documents in one pass, so any benchmark size works.
 Defined results: null and word-less texts match nothing; an item with fewer
 than ``seed`` words is seeded by its whole length; repeated rows and ties are
 reported for each row (leftmost run first); rows with a null document or item
-id are searched like any other and reported under that null; empty tables give
-no rows; columns other than ids and texts are not read by the search and pass
+id are searched like any other and reported under that null; very long texts and
+items are searched whole (the search length halves, so an item of n words takes
+log n scans); empty tables give no rows; columns other than ids and texts are not read by the search and pass
 the filter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ THRESHOLD = 0.8
 BLOCK_BYTES = 32 << 20
 CHUNK = 1 << 18
 FILTER_BITS = 22
+RADIX = np.uint64(0xD6E8FEB86659FD93)
 
 _WORD = np.array([bytes([c]).isalnum() or c > 127 for c in range(256)])
 
@@ -55,39 +58,89 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = np.zeros(len(words) - n + 1, np.uint64)
     for j in range(n):
-        h = h * np.uint64(0xD6E8FEB86659FD93) + words[j:j + len(h)]
+        h = h * RADIX + words[j:j + len(h)]
     return mix(h)
 
 
+def _running_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Karp-Rabin hash of the ``n`` words from every place on, from one running sum whatever ``n`` is."""
+    if len(words) < n:
+        return np.empty(0, np.uint64)
+    power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(words), RADIX))))
+    total = np.concatenate(([np.uint64(0)], np.cumsum(mix(words) * power[:-1])))
+    inverse = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(words) - n, np.uint64(pow(int(RADIX), -1, 1 << 64))))))
+    return (total[n:] - total[:-n]) * inverse
+
+
+def _open_places(free: np.ndarray, n: int) -> np.ndarray:
+    """Places from which ``n`` entries are all free."""
+    s, e = spans(free)
+    return np.concatenate([np.arange(x, y - n + 1) for x, y in zip(s.tolist(), e.tolist()) if y - x >= n] or [np.empty(0, np.int64)])
+
+
 def greedy_tiles(item: list[int], runs: list[list[int]], least: int) -> list[tuple[int, int, int, int]]:
-    """Greedy string tiling of ``item`` against token runs: ``(item place, run, run place, length)``.
+    """Greedy string tiling of ``item`` against token runs: ``(item place, run, run place, length)``, longest first, ties
+    by run, its place and the item's place.
 
-    Lengths go down from the longest possible; at each one a table of the
-    item's unmarked stretches is met by the unmarked stretches of the runs.
+    Running Karp-Rabin: the search length halves from the longest possible down to ``least``. At each one the running
+    hashes of the unmarked stretches of both sides meet by equality; hits that follow each other on a diagonal are one
+    match of that length or more, and its words are compared. Matches are marked longest first; of one that a mark has
+    cut, the parts still long enough come again in their turn.
     """
-    free = [True] * len(item)
-    open_runs = [[True] * len(r) for r in runs]
-    tiles, left = [], len(item)
-    for n in range(min(len(item), max(map(len, runs))), least - 1, -1):
-        if left < n:
-            continue
-        places: dict[tuple, list[int]] = {}
-        for i in range(len(item) - n + 1):
-            if all(free[i:i + n]):
-                places.setdefault(tuple(item[i:i + n]), []).append(i)
-        for r, (run, is_open) in enumerate(zip(runs, open_runs)):
-            for j in range(len(run) - n + 1) if places else ():
-                if is_open[j] and all(is_open[j:j + n]):
-                    for i in places.get(tuple(run[j:j + n]), ()):
-                        if all(free[i:i + n]):
-                            free[i:i + n] = [False] * n
-                            is_open[j:j + n] = [False] * n
-                            tiles.append((i, r, j, n))
-                            left -= n
-                            break
+    own = np.array(item, np.uint64)
+    ends = np.cumsum([len(r) + 1 for r in runs])
+    begin = ends - [len(r) + 1 for r in runs]
+    text = np.zeros(int(ends[-1]) if len(runs) else 0, np.uint64)
+    open_text = np.zeros(len(text), bool)  # the gaps between the runs stay closed
+    for b, r in zip(begin.tolist(), runs):
+        text[b:b + len(r)] = r
+        open_text[b:b + len(r)] = True
+    free = np.ones(len(own), bool)
+    tiles: list[tuple[int, int, int, int]] = []
+    n = min(len(own), max(map(len, runs), default=0))
+    while n >= least and n > 0:
+        heap = [(-size, j, i) for size, j, i in _matches(own, free, text, open_text, n)]
+        heapify(heap)
+        while heap:
+            size, j, i = heappop(heap)
+            both = free[i:i - size] & open_text[j:j - size]
+            if both.all():
+                free[i:i - size] = open_text[j:j - size] = False
+                r = int(np.searchsorted(ends, j, side="right"))
+                tiles.append((i, r, j - int(begin[r]), -size))
+                continue
+            for x, y in zip(*map(np.ndarray.tolist, spans(both))):
+                if y - x >= n:
+                    heappush(heap, (x - y, j + x, i + x))
+        if n == least:
+            break
+        n = max(least, n // 2)
     return tiles
 
 
+def _matches(own: np.ndarray, free: np.ndarray, text: np.ndarray, open_text: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Maximal common stretches ``(length, text place, item place)`` of ``n`` unmarked words or more."""
+    i, j = _open_places(free, n), _open_places(open_text, n)
+    if not len(i) or not len(j):
+        return []
+    hi, hj = _running_hashes(own, n)[i], _running_hashes(text, n)[j]
+    order = np.argsort(hi, kind="stable")
+    lo, up = np.searchsorted(hi[order], hj, "left"), np.searchsorted(hi[order], hj, "right")
+    many = up - lo
+    at_j = np.repeat(j, many)
+    first = np.repeat(lo - (np.cumsum(many) - many), many)
+    at_i = i[order][first + np.arange(len(at_j))]
+    by = np.lexsort((at_i, at_j - at_i))
+    at_i, at_j = at_i[by], at_j[by]
+    new = np.flatnonzero(np.concatenate(([True], (np.diff(at_i) != 1) | (np.diff(at_j) != 1)))) if len(at_i) else np.empty(0, np.int64)
+    out = []
+    for b, e in zip(new.tolist(), [*new[1:].tolist(), len(at_i)]):
+        x, y, size = int(at_i[b]), int(at_j[b]), e - b - 1 + n
+        equal = own[x:x + size] == text[y:y + size]  # the words themselves, should two hashes agree by chance
+        out += [(f - s, y + s, x + s) for s, f in zip(*map(np.ndarray.tolist, spans(equal))) if f - s >= n]
+    return out
+
+
 class BenchmarkBlock:
     """Items of one block and the table of their seeds."""
 
