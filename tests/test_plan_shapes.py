@@ -39,14 +39,20 @@ def test_scalar_operators_are_one_stage(spark, static_plans, name):
     assert "Exchange" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-@pytest.mark.parametrize("name", ["ordered_target_encoding", "ordered_leaf_weight", "goss_sample"])
+@pytest.mark.parametrize("name", ["ordered_target_encoding", "ordered_leaf_weight"])
 def test_ordered_operators_have_no_single_partition_exchange_over_rows(spark, static_plans, name):
     plan = _plan(spark, name)
     # partitioned windows only; the global (unpartitioned) window runs on the carry table
-    assert "Exchange SinglePartition" not in plan or name == "goss_sample"
+    assert "Exchange SinglePartition" not in plan
     assert re.search(r"Window \[.*\], \[__pid", plan)
 
 
+def test_goss_chooses_rows_by_comparison(spark, static_plans):
+    """Two order statistics are fetched first; the rows themselves are neither ranked nor joined."""
+    plan = _plan(spark, "goss_sample")
+    assert "Window" not in plan and "Join" not in plan and "Exchange rangepartitioning" not in plan
+
+
 def test_lookup_maps_are_broadcast(spark, static_plans):
     for name in ["label_encode_unseen", "rare_group_v1", "tier_plain"]:
         assert "BroadcastHashJoin" in _plan(spark, name)
