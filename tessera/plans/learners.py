@@ -60,6 +60,12 @@ def convert_param(name: str, value):
     return value
 
 
+def rate_scale(learner) -> float:
+    """What a reference learning rate is multiplied by: Spark's squared loss fits twice the residual, so half the rate
+    makes the same step."""
+    return 0.5 if isinstance(learner, GBTRegressor) and learner.getLossType() == "squared" else 1.0
+
+
 def _spark_params(learner, params: dict, extra: dict | None = None, ignore: tuple = ()) -> dict:
     """Spark Params for reference parameters. One without a Spark twin raises unless the config lists it under
     ``ignore_params``: a model other than the one asked for is never trained silently."""
@@ -79,6 +85,8 @@ def _spark_params(learner, params: dict, extra: dict | None = None, ignore: tupl
             log.info("parameter %s has no effect on Spark", k)
         else:
             raise ValueError(f"parameter {k} has no Spark twin; list it under model.ignore_params to train without it")
+    if "learning_rate" in (params or {}) and "stepSize" in out and out.get("lossType") != "absolute":
+        out["stepSize"] *= rate_scale(learner)
     return out
 
 

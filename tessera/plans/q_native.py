@@ -1,11 +1,14 @@
-"""Registered queries: categories of any width, null and repeated ids, named classes, tree searches at shipped budgets."""
+"""Registered queries: categories of any width, null and repeated ids, named classes, trees by value, a search at
+a shipped budget."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ..operators import boosting, categories, prep, split, target
-from . import train
+from ..operators.base import CrossFitPipeline
+from . import learners, train
 from .q_train import ID, JOBS_SQL, RMSE_SQL, _cfg, _cv_rows, _jobs, _one_cfg, cv_sql
 from .tables import table
 
@@ -168,3 +171,50 @@ def cv_test_gap(spark, sf):
     gap = train.train(spark, _jobs(spark, sf), _one_cfg("linear"), ID).gap
     return spark.createDataFrame([(round(gap["cv"], 3), round(gap["test"], 3), round(gap["gap"], 3), gap["too_far"])],
                                  "cv double, test double, gap double, too_far boolean")
+
+
+TREE_SQL = """
+WITH v AS (SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice) AS s FROM lineitem GROUP BY l_quantity),
+p AS (SELECT x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS tn, sum(s) OVER () AS ts FROM v WINDOW w AS (ORDER BY x)),
+b AS (SELECT arg_max(x, s * s / n + (ts - s) * (ts - s) / (tn - n)) AS cut FROM p WHERE tn > n),
+side AS (SELECT v.*, x > cut AS r FROM v, b),
+p2 AS (SELECT r, x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER (PARTITION BY r) AS tn, sum(s) OVER (PARTITION BY r) AS ts
+       FROM side WINDOW w AS (PARTITION BY r ORDER BY x)),
+b2 AS (SELECT r, arg_max(x, s * s / n + (ts - s) * (ts - s) / (tn - n)) AS cut FROM p2 WHERE tn > n GROUP BY r)
+SELECT min(x) AS lo, max(x) AS hi, CAST(sum(n) AS BIGINT) AS rows, round(sum(s) / sum(n), 4) AS prediction
+FROM side JOIN b2 USING (r) GROUP BY r, x > cut"""
+
+
+@q("tree_by_value", TREE_SQL)
+def tree_by_value(spark, sf):
+    """T11, T21 by value: the four leaves of a tree of depth two over quantities, each value a bin of its own: their ranges,
+    rows and means."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("label"))
+    vector = VectorAssembler(inputCols=["x"], outputCol="features")
+    learner = learners.create_learner({"type": "decisiontree", "params": {"max_depth": 2, "border_count": 64}})
+    model = CrossFitPipeline(stages=[vector, learner]).fit(rows)
+    return model.transform(rows).groupBy("prediction").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("rows")).select(
+        "lo", "hi", "rows", F.round("prediction", 4).alias("prediction"))
+
+
+BOOST_SQL = """
+WITH v AS (SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice) AS s FROM lineitem GROUP BY l_quantity),
+p AS (SELECT x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS tn, sum(s) OVER () AS ts FROM v WINDOW w AS (ORDER BY x)),
+b AS (SELECT arg_max(x, s * s / n + (ts - s) * (ts - s) / (tn - n)) AS cut FROM p WHERE tn > n),
+f AS (SELECT x > cut AS r, sum(s) / sum(n) AS first FROM v, b GROUP BY x > cut),
+e AS (SELECT x, n, s - n * first AS s, first FROM v, b, f WHERE (x > cut) = r),
+q AS (SELECT x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS tn, sum(s) OVER () AS ts FROM e WINDOW w AS (ORDER BY x)),
+c AS (SELECT arg_max(x, s * s / n + (ts - s) * (ts - s) / (tn - n)) AS cut FROM q WHERE tn > n),
+g AS (SELECT x > cut AS r, sum(s) / sum(n) AS second FROM e, c GROUP BY x > cut)
+SELECT round(first + 0.1 * second, 3) AS prediction, CAST(sum(n) AS BIGINT) AS rows
+FROM e, c, g WHERE (x > cut) = r GROUP BY round(first + 0.1 * second, 3)"""
+
+
+@q("boosting_by_value", BOOST_SQL)
+def boosting_by_value(spark, sf):
+    """L CatBoost/XGBoost/LightGBM by value: two rounds of depth-one trees, the second on the residuals of the first at a rate
+    of a tenth."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("label"))
+    learner = learners.create_learner({"type": "xgboost", "params": {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.1, "border_count": 64}})
+    model = CrossFitPipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"), learner]).fit(rows)
+    return model.transform(rows).groupBy(F.round("prediction", 3).alias("prediction")).agg(F.count("*").alias("rows"))

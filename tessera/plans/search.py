@@ -19,7 +19,7 @@ from ..operators import gram
 from ..operators.base import fit_learner, fit_stage
 from ..operators.metrics import classification_scores
 from ..operators.split import contiguous_folds, cut_folds, hash_folds, kfold, stratified_folds
-from .learners import PARAM_MAP, convert_param, linear_kind
+from .learners import PARAM_MAP, convert_param, linear_kind, rate_scale
 
 log = logging.getLogger(__name__)
 
@@ -74,13 +74,18 @@ def _param(learner, name: str):
     return None
 
 
+def _value(learner, name: str, param: Param, value):
+    """A searched value of a reference parameter as the learner takes it."""
+    return value * rate_scale(learner) if name == "learning_rate" and param.name == "stepSize" else convert_param(param.name, value)
+
+
 def _axes(learner, space: dict, ignore: tuple = ()) -> list[tuple]:
     """(Param, values) of every searched parameter; one without a Spark twin raises unless listed in ``ignore``."""
     axes = []
     for k, values in space.items():
         p = _param(learner, k)
         if p is not None:
-            axes.append((p, [convert_param(p.name, v) for v in values]))
+            axes.append((p, [_value(learner, k, p, v) for v in values]))
         elif k in ignore:
             log.info("search parameter %s ignored as configured", k)
         else:
@@ -355,7 +360,7 @@ def adaptive_search(pipeline: Pipeline, learner, space: dict, folded: DataFrame,
             cand = _untried(axes, [c for c, _ in tried], rng)
             if cand is None:
                 break
-        pm = {_param(learner, name): convert_param(_param(learner, name).name, v) for name, v in cand.items()}
+        pm = {_param(learner, name): _value(learner, name, _param(learner, name), v) for name, v in cand.items()}
         _, table = cross_validate(pipeline, [pm], folded, evaluator, parallelism, k, memo, refit=False)
         score = table.first()["metric"]
         tried.append((cand, score))

@@ -184,3 +184,19 @@ def test_text_and_missing_columns_raise_before_the_learner(spark):
     plan = plan_features(df, {"data": {"target_column": "y", "feature_columns": ["x", "c", "is_new"]}, "model": {"type": "linear"}}, id_col="id")
     assert plan.summary["columns"] == {"numeric": 1, "text": 1, "flag": 1}
     assert plan.summary["transformations"][0] == "columns: 1 numeric, 1 text, 1 flag"
+
+
+def test_learning_rates_mean_what_the_reference_libraries_mean(spark):
+    """Two depth-one rounds at rate r give the first leaf mean plus r times the mean residual."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from tessera.plans import search
+    rows = spark.createDataFrame([(0.0, 0.0), (0.0, 4.0), (1.0, 10.0), (2.0, 16.0)], "x double, label double")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    learner = learners.create_learner({"type": "xgboost", "params": {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.5}})
+    got = {r.x: r.prediction for r in learner.fit(df).transform(df).collect()}
+    # first: x = 0 -> 2, x > 0 -> 13; the residuals of x = 0, 1 and of x = 2 are then cut apart: -1 and 3
+    assert {k: round(v, 9) for k, v in got.items()} == {0.0: 1.5, 1.0: 12.5, 2.0: 14.5}
+    absolute = learners.create_learner({"type": "catboost", "params": {"learning_rate": 0.5, "loss_function": "MAE"}})
+    assert (learner.getStepSize(), absolute.getStepSize()) == (0.25, 0.5)
+    assert [list(m.values()) for m in search.grid(learner, {"learning_rate": [0.1, 0.2]})] == [[0.05], [0.1]]
