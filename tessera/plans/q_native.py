@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import boosting, categories, prep, split, target
 from ..operators.base import CrossFitPipeline
-from . import learners, train
+from . import learners, staged, train
 from .q_train import ID, JOBS_SQL, RMSE_SQL, _cfg, _cv_rows, _jobs, _one_cfg, cv_sql
 from .tables import table
 
@@ -218,3 +218,35 @@ def boosting_by_value(spark, sf):
     learner = learners.create_learner({"type": "xgboost", "params": {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.1, "border_count": 64}})
     model = CrossFitPipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"), learner]).fit(rows)
     return model.transform(rows).groupBy(F.round("prediction", 3).alias("prediction")).agg(F.count("*").alias("rows"))
+
+
+STAGED_SQL = """
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_orderkey % 5 = 0 AS test FROM lineitem),
+v AS (SELECT x, count(*) AS n, sum(y) AS s FROM d WHERE NOT test GROUP BY x),
+p AS (SELECT x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS tn, sum(s) OVER () AS ts FROM v WINDOW w AS (ORDER BY x)),
+b AS (SELECT arg_max(x, s * s / n + (ts - s) * (ts - s) / (tn - n)) AS cut FROM p WHERE tn > n),
+f AS (SELECT x > cut AS r, sum(s) / sum(n) AS first FROM v, b GROUP BY x > cut),
+e AS (SELECT x, n, s - n * first AS s, first FROM v, b, f WHERE (x > cut) = r),
+q AS (SELECT x, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(n) OVER () AS tn, sum(s) OVER () AS ts FROM e WINDOW w AS (ORDER BY x)),
+c AS (SELECT arg_max(x, s * s / n + (ts - s) * (ts - s) / (tn - n)) AS cut FROM q WHERE tn > n),
+g AS (SELECT x > cut AS r, sum(s) / sum(n) AS second FROM e, c GROUP BY x > cut),
+m AS (SELECT x, first, first + 0.1 * second AS boosted FROM e, c, g WHERE (x > cut) = r),
+z AS (SELECT i AS iter, test, avg((y - CASE i WHEN 1 THEN first ELSE boosted END) ** 2) AS mse, var_pop(y) AS spread
+      FROM d JOIN m USING (x), range(1, 3) k(i) GROUP BY i, test),
+k AS (SELECT iter, test, 'RMSE' AS metric, sqrt(mse) AS v FROM z UNION ALL SELECT iter, test, 'R2', 1 - mse / spread FROM z)
+SELECT CAST(iter AS INTEGER) AS iter, metric, round(max(v) FILTER (WHERE NOT test), 5) AS learn,
+       round(max(v) FILTER (WHERE test), 5) AS test, true AS timed
+FROM k GROUP BY iter, metric"""
+
+
+@q("staged_history", STAGED_SQL)
+def staged_history(spark, sf):
+    """S13 by value: both errors of two boosting rounds on the rows learned from and on a fifth kept out, the times of the
+    rounds adding up to the fit's."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("label"),
+                                               (F.col("l_orderkey") % 5 == 0).alias("kept_out"))
+    learner = learners.create_learner({"type": "catboost", "params": {"iterations": 2, "depth": 1, "learning_rate": 0.1, "border_count": 64}})
+    _, curve = staged.fit_staged([VectorAssembler(inputCols=["x"], outputCol="features")], learner,
+                                 rows.where("not kept_out"), rows.where("kept_out"))
+    timed = (F.col("elapsed_ms") > 0) & F.when(F.col("iter") == 2, F.abs("remaining_ms") < 1e-6).otherwise(F.col("remaining_ms") > 0)
+    return curve.select("iter", "metric", F.round("learn", 5).alias("learn"), F.round("test", 5).alias("test"), timed.alias("timed"))

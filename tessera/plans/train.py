@@ -19,6 +19,7 @@ from ..sources.sinks import RunLog, save_model
 from .features import plan_features, prepare_rows, slot_name, split_rows
 from .learners import create_learner, feature_importance, model_params
 from .search import assign_folds, cross_validate, evaluator_for, grid, random_draws
+from .staged import fit_staged
 
 log = logging.getLogger(__name__)
 
@@ -35,6 +36,7 @@ class TrainResult:
     classes: list[str] | None = None
     report: DataFrame | None = None
     gap: dict | None = None
+    history: DataFrame | None = None
     transformations: list | None = None
 
 
@@ -65,6 +67,9 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     training fold only (no leakage). ``fit_on="all"`` reproduces the
     reference: those stages are fitted once on all rows before the split and
     only the learner is trained per fold.
+
+    ``model.stop_on_test`` (boosters only) stops adding rounds once the error on the test rows rises and fills
+    ``TrainResult.history``.
     """
     seed = int(cfg.get("random_state", 42))
     fit_on = cfg.get("fit_on", fit_on)
@@ -107,6 +112,9 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
     else:
         maps = [{}]
     best, cv_table = cross_validate(pipe, maps, folded, ev, parallelism=int(search.get("parallelism", 4)), k=k)
+    curve = None
+    if model_cfg.get("stop_on_test"):
+        best, curve = _staged_best(pipe, maps, cv_table, ev, train_df, valid_df)
     model = with_names(best, names) if names else best
     m = evaluate_regression(model, train_df, valid_df) if task == "regression" else evaluate_classification(model, valid_df)
     top = cv_table.orderBy(F.desc("metric") if ev.isLargerBetter() else F.asc("metric"), "candidate").first()
@@ -127,7 +135,14 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
         own = ("label_class", "prediction_class") if names else ("label", "prediction")
         report = metrics.classification_report(model.transform(valid_df).select(*own), *own)
     return TrainResult(model, m, imp, cv_table, plan.feature_cols, best_params=chosen, classes=names, report=report, gap=gap,
-                       transformations=plan.summary["transformations"])
+                       history=curve, transformations=plan.summary["transformations"])
+
+
+def _staged_best(pipe, maps: list[dict], cv_table: DataFrame, ev, train_df: DataFrame, valid_df: DataFrame):
+    """The best candidate's booster, fitted in rounds until the error on the test rows rises, and its history."""
+    top = cv_table.orderBy(F.desc("metric") if ev.isLargerBetter() else F.asc("metric"), "candidate").first()
+    *stages, learner = pipe.getStages()
+    return fit_staged(stages, learner.copy(maps[top["candidate"]]), train_df, valid_df)
 
 
 def _vector_names(model: PipelineModel, df: DataFrame) -> list[str]:
