@@ -8,6 +8,9 @@ across them, so a text has as many tokens as its pre-tokens together.
    per document, the frequency of each (packed numbers, no text).
 2. The distinct pre-tokens of all chunks meet by hash; the tokenizer sees each
    one once. Blobs of a chunk and hash range are one row, not a row a word.
+   The number of ranges follows the bytes read. A task reads its rows one by
+   one and holds the counts of one range's pre-tokens, up to ``KNOWN_BYTES``
+   of them (beyond that it forgets them and asks the tokenizer again).
 3. The counts go back to the chunks, where frequency times count is summed.
 
 Defined results: null and empty texts have 0 tokens and bytes; repeated rows
@@ -28,10 +31,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, id_text, settle, sorted_runs, table
+from ..operators.ordered import read_bytes
+from .common import arrow_map, id_text, settle, table
 from .tokens import load, tokenizer_path
 
 CHUNK = 8 << 20  # bytes of text whose vocabulary is kept together
+RANGE_BYTES = 16 << 30  # bytes read for each hash range; distinct pre-tokens grow more slowly than the text
+KNOWN_BYTES = 128 << 20  # of pre-tokens whose counts a task remembers
 LIMIT = 1024
 # Unicode white space, as in the pattern of the tokenizer (fixed values)
 _WS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -109,24 +115,26 @@ def _chunks(parts: int):
     return run
 
 
-def _count_pieces(path: str):
+def _count_pieces(path: str, room: int):
+    """Rows sorted by range come in; the pre-tokens of a range are asked for once, row by row."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(path).full
-        for rows in sorted_runs(batches, "part"):
-            part = rows.column("part").to_numpy()
-            blobs = rows.column("words").to_pylist()
-            edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))).tolist()
+        known: dict[bytes, int] = {}
+        size, last = 0, None
+        for batch in batches:
             counts: list[bytes] = []
-            for b, e in zip(edge, edge[1:]):
-                lists = [unpack_words(w) for w in blobs[b:e]]
-                words = list({w for ws in lists for w in ws})
-                pieces: dict[bytes, int] = {}
-                for s in range(0, len(words), 1 << 14):
-                    some = words[s:s + (1 << 14)]
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("words")):
+                if part != last or size > room:
+                    known, size, last = {}, 0, part
+                words = unpack_words(blob.as_py())
+                new = [w for w in words if w not in known]
+                for s in range(0, len(new), 1 << 14):
+                    some = new[s:s + (1 << 14)]
                     found = tok.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-                    pieces.update(zip(some, map(len, found)))
-                counts += [np.fromiter(map(pieces.__getitem__, ws), "<u4", len(ws)).tobytes() for ws in lists]
-            yield pa.RecordBatch.from_arrays([rows.column("chunk").combine_chunks(), pa.array(part), pa.array(counts, pa.binary())],
+                    known.update(zip(some, map(len, found)))
+                size += sum(map(len, new)) + 100 * len(new)
+                counts.append(np.fromiter(map(known.__getitem__, words), "<u4", len(words)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("part"), pa.array(counts, pa.binary())],
                                              names=["chunk", "part", "pieces"])
 
     return run
@@ -147,12 +155,13 @@ def _sum(batch: pa.RecordBatch) -> dict:
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_bytes, n_tokens)`` of every whole text."""
-    spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = settle(id_text(docs, id_col, text_col).mapInArrow(_chunks(parts), CHUNK_SCHEMA))
+    text = id_text(docs, id_col, text_col)
+    least = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, read_bytes(docs) // RANGE_BYTES)
+    chunks = settle(text.mapInArrow(_chunks(parts), CHUNK_SCHEMA))
     words = chunks.select("chunk", F.explode("blobs").alias("b")).select("chunk", "b.part", "b.words")
-    pieces = (words.repartition("part").sortWithinPartitions("part")
-              .mapInArrow(_count_pieces(path), "chunk string, part int, pieces binary"))
+    dealt = words.repartition(parts // 4, "part") if parts > least else words.repartition("part")
+    pieces = dealt.sortWithinPartitions("part").mapInArrow(_count_pieces(path, KNOWN_BYTES), "chunk string, part int, pieces binary")
     back = pieces.groupBy("chunk").agg(F.collect_list(F.struct("part", "pieces")).alias("back"))
     joined = chunks.select("chunk", "ids", "n_bytes", "freq").join(back, "chunk", "left")
     return arrow_map(joined, _sum, "doc_id long, n_bytes long, n_tokens long")
