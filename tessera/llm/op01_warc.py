@@ -2,13 +2,21 @@
 
 An archive starts with a skippable frame that holds the dictionary; each
 record after it is a frame of its own, so a reader can start at any record.
-Archives are rows ``(archive, content)`` of bounded size: write them with any
-sink, read them from one (a Parquet table, ``binaryFile``).
+Archives are rows ``(archive, content)`` of bounded size in a table, or files
+of a folder (``write_files``, ``read_files``; a file must stay under 2 GB).
+
+Archives of other writers are read too: WARC/1.0 and 1.1, header names in any
+case, folded header lines, any record type, SHA-1, SHA-256 and MD5 digests in
+base32 or hex or none, a compressed dictionary, none, other skippable frames.
+Of a record that holds an HTTP message the payload is its body. The payload
+digest is checked unless the record is cut short, segmented, a revisit, or its
+body sent in chunks (writers differ there); digests of other kinds are not.
 
 Defined results: a null payload is empty; a record without a target URI has no
 such header; repeated rows are written each; a null id sorts after all others
 when the response among equal payloads is chosen (the smallest id); an empty
-table gives no archive; columns other than those named are not read.
+table gives no archive; columns other than those named are not read. Very long
+payloads are records like others; one task holds one archive.
 """
 
 from __future__ import annotations
@@ -31,6 +39,14 @@ DICT_BYTES = 16 << 10
 DICT_SAMPLE = 200  # records, of at most SAMPLE_BYTES each, that an archive's dictionary is trained on
 SAMPLE_BYTES = 8 << 10
 VERSION = b"WARC/1.1"
+READABLE = (b"WARC/1.0", b"WARC/1.1")
+DIGESTS = ("sha1", "sha256", "md5")
+FEED_BYTES = 64 << 10  # compressed bytes given to the decoder at a time
+# The headers of the standard that a record has once at most
+SINGLE = {"warc-type", "warc-record-id", "warc-date", "content-length", "content-type", "warc-block-digest", "warc-payload-digest",
+          "warc-ip-address", "warc-refers-to", "warc-refers-to-target-uri", "warc-refers-to-date", "warc-target-uri", "warc-truncated",
+          "warc-warcinfo-id", "warc-filename", "warc-profile", "warc-identified-payload-type", "warc-segment-origin-id",
+          "warc-segment-number", "warc-segment-total-length", "warc-payload-length"}
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -54,30 +70,67 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     return VERSION + b"\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
+def _headers(head: bytes) -> dict[str, str]:
+    """Headers by lower-case name; a line that starts with white space continues the one before. Names that may come
+    again (``WARC-Concurrent-To`` and those of no standard) keep all values, joined by a space."""
+    found: list[list[str]] = []
+    for line in head.split(b"\r\n")[1:]:
+        text = line.decode("utf-8", "replace")
+        if found and text[:1] in (" ", "\t"):
+            found[-1][1] += " " + text.strip()
+            continue
+        key, colon, value = text.partition(":")
+        if not colon or not key.strip():
+            raise WarcError(f"bad header line {line!r}")
+        found.append([key.strip().lower(), value.strip()])
+    headers: dict[str, str] = {}
+    for key, value in found:
+        if key in headers and key in SINGLE:
+            raise WarcError(f"header {key} comes twice")
+        headers[key] = f"{headers[key]} {value}" if key in headers else value
+    return headers
+
+
+def _check_digest(stated: str, data: bytes, what: str) -> None:
+    """Compare a ``algorithm:value`` digest with the data; algorithms other than the known are passed over."""
+    kind, _, value = stated.partition(":")
+    if kind.strip().lower().replace("-", "") not in DIGESTS:
+        return
+    digest = hashlib.new(kind.strip().lower().replace("-", ""), data).digest()
+    if value.strip().rstrip("=").upper() not in (base64.b32encode(digest).decode().rstrip("="), digest.hex().upper()):
+        raise WarcError(f"{what} does not match")
+
+
 def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and block of a record; every length and the digest are checked."""
+    """Headers (by lower-case name) and payload of a record; every length and the digests are checked."""
     head, found, rest = raw.partition(b"\r\n\r\n")
-    lines = head.split(b"\r\n")
-    if not found or lines[0] != VERSION:
-        raise WarcError(f"not a {VERSION.decode()} record: {raw[:20]!r}")
-    headers: dict[str, str] = {}
-    for line in lines[1:]:
-        key, colon, value = line.decode().partition(":")
-        if not colon or not key or key in headers:
-            raise WarcError(f"bad header line {line!r}")
-        headers[key] = value.strip()
+    if not found or head.split(b"\r\n", 1)[0] not in READABLE:
+        raise WarcError(f"not a record of {' or '.join(v.decode() for v in READABLE)}: {raw[:20]!r}")
+    headers = _headers(head)
     for key in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"):
-        if key not in headers:
+        if key.lower() not in headers:
             raise WarcError(f"header {key} is missing")
-    if not headers["Content-Length"].isdigit() or int(headers["Content-Length"]) != len(rest) - 4 or rest[-4:] != b"\r\n\r\n":
-        raise WarcError(f"Content-Length {headers['Content-Length']} does not fit a block of {len(rest) - 4} bytes")
-    block = rest[:-4]
-    if headers["WARC-Type"] == "response":
-        if headers.get("WARC-Payload-Digest") != f"sha1:{base64.b32encode(hashlib.sha1(block).digest()).decode()}":
-            raise WarcError(f"payload digest of {headers['WARC-Record-ID']} does not match")
-        if headers.get("WARC-Payload-Length") != str(len(block)):
-            raise WarcError(f"payload length of {headers['WARC-Record-ID']} does not match")
-    return headers, block
+    name, length = headers["warc-record-id"], headers["content-length"]
+    if not (length.isascii() and length.isdigit()) or int(length) != len(rest) - 4 or rest[-4:] != b"\r\n\r\n":
+        raise WarcError(f"Content-Length {length} does not fit a block of {len(rest) - 4} bytes")
+    block = payload = rest[:-4]
+    if "warc-block-digest" in headers:
+        _check_digest(headers["warc-block-digest"], block, f"block digest of {name}")
+    if headers["warc-type"].lower() == "revisit":
+        stated = headers.get("warc-payload-length", "0")
+        if not (stated.isascii() and stated.isdigit()):
+            raise WarcError(f"payload length of {name} is no number")
+        return headers, block
+    chunked = False
+    if headers.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        chunked = b"\r\ntransfer-encoding:" in http.lower()
+    whole = "warc-truncated" not in headers and "warc-segment-number" not in headers
+    if "warc-payload-digest" in headers and whole and not chunked:
+        _check_digest(headers["warc-payload-digest"], payload, f"payload digest of {name}")
+    if whole and headers.get("warc-payload-length", str(len(payload))) != str(len(payload)):
+        raise WarcError(f"payload length of {name} does not match")
+    return headers, payload
 
 
 def pack_archive(records: list[bytes]) -> bytes:
@@ -92,27 +145,55 @@ def pack_archive(records: list[bytes]) -> bytes:
     return SKIPPABLE.to_bytes(4, "little") + len(raw).to_bytes(4, "little") + raw + b"".join(map(pack.compress, records))
 
 
-def frames(content: bytes) -> Iterator[bytes]:
-    """The records of an archive, one frame each, decoded with the dictionary of the leading skippable frame."""
-    if len(content) < 8 or int.from_bytes(content[:4], "little") != SKIPPABLE:
-        raise WarcError("no leading dictionary frame")
-    at = 8 + int.from_bytes(content[4:8], "little")
-    if at > len(content):
-        raise WarcError("the dictionary frame is cut off")
-    raw = content[8:at]
+def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
+    if raw[:4] == MAGIC:  # the dictionary may itself be compressed
+        one = zstandard.ZstdDecompressor().decompressobj()
+        raw = one.decompress(raw)
+        if not one.eof:
+            raise WarcError("the compressed dictionary is cut off")
     kind = zstandard.DICT_TYPE_FULLDICT if raw[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=kind))
-    view = memoryview(content)
+    return zstandard.ZstdCompressionDict(raw, dict_type=kind)
+
+
+def _frame(reader: zstandard.ZstdDecompressor, view: memoryview, start: int) -> tuple[bytes, int]:
+    """The content of the frame at ``start`` and where it ends. Fed in steps: what the decoder gives back unused is
+    copied, and for a whole archive a record that would be quadratic."""
+    one, parts, at = reader.decompressobj(), [], start
+    try:
+        size = zstandard.frame_content_size(view[start:start + 18])
+        while not one.eof and at < len(view):
+            parts.append(one.decompress(view[at:at + FEED_BYTES]))
+            at = min(at + FEED_BYTES, len(view))
+    except zstandard.ZstdError as e:
+        raise WarcError(f"the frame at byte {start} cannot be decoded: {e}") from e
+    record = b"".join(parts)
+    if not one.eof or (size >= 0 and size != len(record)):
+        raise WarcError(f"the frame at byte {start} is cut off")
+    return record, at - len(one.unused_data)
+
+
+def frames(content: bytes) -> Iterator[bytes]:
+    """The records of an archive, one frame each, decoded with the dictionary of the leading skippable frame. An archive
+    that starts with a record's frame has no dictionary."""
+    view, at = memoryview(content), 0
+    reader = zstandard.ZstdDecompressor()
+    if view[:4] != MAGIC:
+        if len(content) < 8 or int.from_bytes(content[:4], "little") != SKIPPABLE:
+            raise WarcError("no leading dictionary frame")
+        at = 8 + int.from_bytes(content[4:8], "little")
+        if at > len(content):
+            raise WarcError("the dictionary frame is cut off")
+        reader = zstandard.ZstdDecompressor(dict_data=_dictionary(content[8:at]))
     while at < len(content):
-        if view[at:at + 4] != MAGIC:
+        if view[at:at + 4] == MAGIC:
+            record, at = _frame(reader, view, at)
+            yield record
+        elif len(view) - at >= 8 and int.from_bytes(view[at:at + 4], "little") & 0xFFFFFFF0 == 0x184D2A50:
+            at += 8 + int.from_bytes(view[at + 4:at + 8], "little")
+            if at > len(content):
+                raise WarcError("a skippable frame is cut off")
+        else:
             raise WarcError(f"no frame at byte {at}")
-        size = zstandard.frame_content_size(view[at:at + 18])
-        one = reader.decompressobj()
-        record = one.decompress(view[at:])
-        if not one.eof or (size >= 0 and size != len(record)):
-            raise WarcError(f"the frame at byte {at} is cut off")
-        yield record
-        at = len(content) - len(one.unused_data)
 
 
 def _write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,6 +238,14 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 RECORD = "archive string, record_id string, record_type string, url string, payload_bytes long, payload_digest string, refers_to string, payload binary"
 
 
+def _length_and_digest(head: dict[str, str], payload: bytes) -> tuple[int | None, str | None]:
+    """Bytes and bare SHA-1 of the payload; of a revisit, what its headers say of the payload that it does not hold."""
+    if head["warc-type"].lower() != "revisit":
+        return len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    length, (kind, _, digest) = head.get("warc-payload-length"), head.get("warc-payload-digest", "").partition(":")
+    return int(length) if length else None, digest.strip().upper() if kind.strip().lower() == "sha1" else None
+
+
 def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in RECORD.split(", ")]
     types = [pa.int64() if " long" in f else pa.binary() if " binary" in f else pa.string() for f in RECORD.split(", ")]
@@ -168,11 +257,10 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for archive, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             rows, size = [], 0
             for raw in frames(content):
-                head, block = parse_record(raw)
-                rows.append((archive, head["WARC-Record-ID"], head["WARC-Type"], head.get("WARC-Target-URI"),
-                             int(head["WARC-Payload-Length"]), head["WARC-Payload-Digest"].removeprefix("sha1:"),
-                             head.get("WARC-Refers-To"), block))
-                size += len(block)
+                head, payload = parse_record(raw)
+                rows.append((archive, head["warc-record-id"], head["warc-type"].lower(), head.get("warc-target-uri"),
+                             *_length_and_digest(head, payload), head.get("warc-refers-to"), payload))
+                size += len(payload)
                 if size > 4 << 20:
                     yield emit(rows)
                     rows, size = [], 0
@@ -185,6 +273,35 @@ def read_warc(archives: DataFrame, name_col: str = "archive", content_col: str =
     return archives.select(F.col(name_col).alias("archive"), F.col(content_col).alias("content")).mapInArrow(_read, RECORD)
 
 
+def write_files(archives: DataFrame, folder: str) -> DataFrame:
+    """Write every archive as a file of its name in ``folder`` (a shared path or a URI that pyarrow opens) and return
+    ``(archive, n_bytes)``; the files are there when that result has been computed. A file gets its name once it is
+    whole, so a repeated task replaces it by the same one."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = f"{root}/.{uuid.uuid4().hex}.part"
+                with system.open_output_stream(part, compression=None) as out:
+                    out.write(content.as_buffer())
+                system.move(part, f"{root}/{name}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(c.as_buffer()) for c in batch.column(1)], pa.int64())],
+                                             names=["archive", "n_bytes"])
+
+    return archives.select("archive", "content").mapInArrow(run, "archive string, n_bytes long")
+
+
+def read_files(spark: SparkSession, folder: str, pattern: str = "*.warc.zst") -> DataFrame:
+    """The records of all archive files of a folder whose names fit ``pattern``, in any Spark file system."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return read_warc(files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content"))
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     def page(c):
         return F.regexp_extract(F.col(c), r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
