@@ -48,7 +48,7 @@ def log1p(cols: list[str]) -> Column:
     return F.log1p(_d(cols[0]))
 
 
-OPERATIONS: dict[str, Callable[[list[str]], Column]] = {
+OPERATIONS: dict[str, Callable[[list[Column]], Column]] = {
     "subtract": subtract,
     "add": add,
     "multiply": multiply,
@@ -58,15 +58,15 @@ OPERATIONS: dict[str, Callable[[list[str]], Column]] = {
 }
 
 
-def get_operation(name: str) -> Callable[[list[str]], Column]:
+def get_operation(name: str) -> Callable[[list[Column]], Column]:
     """Look up an operation; unknown names raise ValueError."""
     if name not in OPERATIONS:
         raise ValueError(f"Operation '{name}' not found. Available: {list(OPERATIONS)}")
     return OPERATIONS[name]
 
 
-def register_operation(name: str, fn: Callable[[list[str]], Column]) -> None:
-    """Add a user operation (a builder from input names to a Column)."""
+def register_operation(name: str, fn: Callable[[list[Column]], Column]) -> None:
+    """Add a user operation (a builder from input columns to a Column)."""
     OPERATIONS[name] = fn
 
 

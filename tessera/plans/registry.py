@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_boost, q_eval, q_extra, q_features, q_native, q_prep, q_profiles, q_train
+from . import q_boost, q_eval, q_extra, q_features, q_native, q_prep, q_profiles, q_sources, q_train
 
-MODULES = [q_features, q_profiles, q_prep, q_boost, q_eval, q_train, q_extra, q_native]
+MODULES = [q_features, q_profiles, q_prep, q_boost, q_eval, q_train, q_extra, q_native, q_sources]
 
 
 def merged(parts: list[dict]) -> dict:
