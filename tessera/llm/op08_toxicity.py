@@ -1,12 +1,14 @@
 """Document toxicity by a subsequence string-kernel SVM with Nyström landmarks.
 
 A word is compared with a landmark by their common subsequences of three
-letters, gaps allowed at a decay per place skipped, as a share of the
-landmark's own, to the fourth power. A sentence's kernel with a landmark sums
-this over its distinct words, so an insult with inserted characters, another
-ending or letters set apart still meets its landmark. Landmarks are words and
-word beginnings of the training sentences; sentences become Nyström vectors
-over them, on which a linear SVM is trained. Labels belong to
+letters, gaps allowed at a decay per place skipped: the cosine of the two
+strings' weighted subsequences, to the fifth power (a power of a kernel is a
+kernel, symmetric and 1 for equal strings). A sentence's kernel with a landmark
+sums this over its distinct words, so an insult with inserted characters,
+another ending or letters set apart still meets its landmark. Landmarks are
+words and word beginnings of the training sentences; the inverse root of their
+own kernel matrix turns sentences into Nyström vectors, on which a linear SVM is
+trained. Labels belong to
 documents: a toxic document counts through its most toxic sentence, chosen
 anew in each training round. A document scores its highest sentence.
 
@@ -36,7 +38,8 @@ LETTERS = 64  # 26 letters, word begin and end, and 36 classes for any other let
 BEGIN, END, OTHER = 26, 27, 28
 REACH = 6  # a subsequence spans at most this many places after its first letter
 DECAY = 0.85
-POWER = 4
+POWER = 5
+FLOOR = 1e-6  # eigenvalues of the landmarks' kernel matrix below this count as zero
 CACHE_WORDS = 500_000  # words remembered by a worker before it starts anew; affects speed only
 GAP = -(1 << 18)  # code of what is no letter; any id with it stays negative
 
@@ -85,6 +88,19 @@ def marked(words: list[str]) -> list[str]:
     return ["\1" + w + "\2" for w in plain]
 
 
+def lengths(spans: list, word: np.ndarray, n: int) -> np.ndarray:
+    """Euclidean length of each word's vector of weighted subsequences."""
+    wide = LETTERS ** 3
+    ids = np.concatenate([np.where(i >= 0, word[:len(i)] * wide + i, -1) for _, i in spans])
+    weight = np.repeat([w for w, _ in spans], [len(i) for _, i in spans])
+    order = np.flatnonzero(ids >= 0)
+    order = order[np.argsort(ids[order], kind="stable")]
+    ids, weight = ids[order], weight[order]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))[:len(ids)])
+    total = np.add.reduceat(weight, first) if len(first) else np.zeros(0)
+    return np.sqrt(np.bincount(ids[first] // wide, total * total, minlength=n))
+
+
 class WordKernel:
     """Kernel of words with the landmarks, given as marked strings (a word beginning has no end mark)."""
 
@@ -96,9 +112,7 @@ class WordKernel:
             at = np.flatnonzero(ids >= 0)
             for i, k in zip(ids[at].tolist(), word[at].tolist()):
                 weight[i, k] = weight.get((i, k), 0.0) + w
-        own = np.zeros(len(landmarks))
-        for (_, k), w in weight.items():
-            own[k] += w * w
+        own = lengths(spans, word, len(landmarks))
         entries = sorted(weight)
         self.of = np.array([k for _, k in entries], np.int64)
         self.value = np.array([weight[i, k] / own[k] for i, k in entries])
@@ -119,7 +133,8 @@ class WordKernel:
             cells.append(np.repeat(word[at], times) * m + self.of[entry])
             values.append(self.value[entry] * w)
         total = np.bincount(np.concatenate(cells), np.concatenate(values), minlength=len(words) * m)
-        return np.minimum(total.reshape(-1, m), 1.0) ** POWER
+        own = lengths(spans, word, len(words))
+        return (total.reshape(-1, m) / np.where(own > 0, own, 1.0)[:, None]) ** POWER
 
 
 class ToxicityModel:
@@ -177,7 +192,6 @@ def pick_landmarks(docs: list[list[list[str]]], y: np.ndarray, n: int, least: fl
     taken: list[int] = []
     if order:
         near = WordKernel(order)(order)
-        near = np.maximum(near, near.T)
         for k, w in enumerate(order):
             if len(taken) < n and (score[w] >= least or len(taken) < 8) and (not taken or near[k, taken].max() < 0.3):
                 taken.append(k)
@@ -219,9 +233,8 @@ def train_toxicity(texts: list[str], labels: list[int], landmarks: int = 64, rou
         if ws:
             x[k] = of_word[[place[w] for w in set(ws)]].sum(axis=0)
     del of_word, place, words
-    gram = kernel(names).astype(np.float64)
-    value, vector = np.linalg.eigh((gram + gram.T) / 2)
-    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
+    value, vector = np.linalg.eigh(kernel(names))
+    root = (vector / np.sqrt(np.where(value > FLOOR, value, np.inf))) @ vector.T
     z = x @ root
     margin = x.max(axis=1)
     negative = np.flatnonzero(y[doc] == 0)

@@ -470,6 +470,28 @@ def test_word_kernel_matches_brute_force():
                 out[w[i], w[j], w[k]] = out.get((w[i], w[j], w[k]), 0) + op08_toxicity.DECAY ** (k - i - 2)
         return out
 
-    want = [[min(1, sum(a.get(g, 0) * x for g, x in b.items()) / sum(x * x for x in b.values())) ** op08_toxicity.POWER
-             for b in map(phi, names)] for a in map(phi, words)]
+    def cosine(a, b):
+        size = np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(a.get(g, 0) * x for g, x in b.items()) / size if size else 0.0
+
+    want = [[cosine(a, b) ** op08_toxicity.POWER for b in map(phi, names)] for a in map(phi, words)]
     assert np.allclose(op08_toxicity.WordKernel(names)(words), want)
+    assert op08_toxicity.WordKernel(names)([]).shape == (0, 2)
+
+
+def test_word_kernel_is_one_kernel():
+    """Symmetric, 1 for equal strings, without negative eigenvalues; word beginnings included."""
+    rng = random.Random(9)
+    names = list({"\1" + "".join(rng.choice("abcde") for _ in range(rng.randint(4, 9))) + rng.choice(("", "\2")) for _ in range(40)})
+    gram = op08_toxicity.WordKernel(names)(names)
+    assert np.allclose(gram, gram.T) and np.allclose(np.diag(gram), 1) and np.linalg.eigvalsh(gram).min() > -1e-9
+
+
+def test_toxicity_of_held_out_rows(spark):
+    """On the given tables: most toxic documents found, few clean ones flagged."""
+    import duckdb
+    got = op08_toxicity.op8_toxicity(spark, "/root/testdata/sf0.1").where("held_out").select("doc_id", "predicted").toPandas()
+    labels = duckdb.sql("SELECT doc_id, toxic FROM read_parquet('/root/testdata/sf0.1/labels.parquet')").df()
+    both = got.merge(labels, on="doc_id")
+    hit = ((both.predicted == 1) & (both.toxic == 1)).sum()
+    assert len(both) > 500 and hit >= 0.75 * (both.toxic == 1).sum() and hit >= 0.75 * (both.predicted == 1).sum()
