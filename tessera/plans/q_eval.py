@@ -91,10 +91,10 @@ def residual_stats(spark, sf):
     return _r(metrics.residual_stats(_group_mean_preds(spark, sf), "l_quantity", "pred"), 9)
 
 
-@q("prediction_summary", f"""
+@q("group_mean_summary", f"""
 SELECT round(min(pred), 9) AS min, round(max(pred), 9) AS max, round(avg(pred), 9) AS mean,
   round(stddev_pop(pred), 9) AS std FROM {_PRED_SQL}""")
-def prediction_summary(spark, sf):
+def group_mean_summary(spark, sf):
     return _r(profile.prediction_summary(_group_mean_preds(spark, sf), "pred"), 9)
 
 
