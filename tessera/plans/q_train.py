@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import metrics, profile
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, kept
 from ..sources.sinks import RunLog, load_model, save_model
 from . import learners, score, search, train
 from .features import plan_features, prepare_rows, split_rows
@@ -319,11 +319,12 @@ def experiment_log(spark, sf):
     """Two runs logged and read back: names, metrics and one id each."""
     log_dir = _model_dir(spark, "runlog")
     runs = RunLog(log_dir)
-    for name, mtype in [("exp1", "linear"), ("exp2", "decisiontree")]:
-        cfg = _cfg(mtype)
-        cfg["experiment_name"] = name
-        res = train.train(spark, _jobs(spark, sf), cfg, ID)
-        runs.append(spark, name, res.metrics, learners.model_params(res.model))
+    with kept(_jobs(spark, sf)) as jobs:
+        for name, mtype in [("exp1", "linear"), ("exp2", "decisiontree")]:
+            cfg = _cfg(mtype)
+            cfg["experiment_name"] = name
+            res = train.train(spark, jobs, cfg, ID)
+            runs.append(spark, name, res.metrics, learners.model_params(res.model))
     names = F.array_join(F.array_sort(F.map_keys("metrics")), ",")
     return runs.read(spark).groupBy("experiment_name").agg(F.max(names).alias("metric_names"), F.count_distinct("run_id").cast("int").alias("runs"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics
 from ..operators.base import CrossFitPipeline
 from ..operators.classes import class_names, is_named, with_names
+from ..session import kept
 from ..sources.readers import clean_column_names, clean_name, read_table
 from ..sources.sinks import RunLog, save_model
 from .features import plan_features, prepare_rows, slot_name, split_rows
@@ -70,7 +71,15 @@ def train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_spli
 
     ``model.stop_on_test`` (boosters only) stops adding rounds once the error on the test rows rises and fills
     ``TrainResult.history``.
+
+    The rows are computed once and held until the run ends: the cuts of split and folds, the fits and the scores all
+    read them.
     """
+    with kept(df) as held:
+        return _train(spark, held, cfg, id_col, exact_split, fit_on)
+
+
+def _train(spark: SparkSession, df: DataFrame, cfg: dict, id_col: str, exact_split: bool, fit_on: str) -> TrainResult:
     seed = int(cfg.get("random_state", 42))
     fit_on = cfg.get("fit_on", fit_on)
     data, model_cfg = cfg["data"], cfg.get("model", {})

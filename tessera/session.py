@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +71,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` held on the executors (memory, then disk) while several jobs read it; rows the caller already holds stay
+    the caller's. A frame made from it that is first run later computes its rows again."""
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        yield df
+        return
+    held = df.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def settle(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
