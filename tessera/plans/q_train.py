@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -135,19 +136,22 @@ WITH {JOBS_SQL}, n AS (SELECT CAST(1000000000000.0 AS DOUBLE) / count(*) AS lam
 SELECT 'o_totalprice' AS feature, round(b1, 9) AS coef FROM f UNION ALL SELECT 'quantity', round(b2, 6) FROM f""")
 def ridge_coefficients(spark, sf):
     """Ridge by its own alpha, as the normal equations give it."""
-    plan, tr, _ = _prepared(spark, sf, _linear_cfg("ridge", {"alpha": 1e12}), prefix=LINEAR)
-    model = plan.pipeline(learners.create_learner({"type": "ridge", "params": {"alpha": 1e12}})).fit(tr)
+    with _prepared(spark, sf, _linear_cfg("ridge", {"alpha": 1e12}), prefix=LINEAR) as (plan, tr, _):
+        model = plan.pipeline(learners.create_learner({"type": "ridge", "params": {"alpha": 1e12}})).fit(tr)
     return learners.coefficients(spark, model, LINEAR).withColumn(
         "coef", F.when(F.col("feature") == "quantity", F.round("coef", 6)).otherwise(F.round("coef", 9)))
 
 
+@contextmanager
 def _prepared(spark, sf, cfg, target="saving", prefix=None):
+    """Feature plan, train and valid rows; the job table is computed once and held inside the block."""
     rows = prepare_rows(_jobs(spark, sf, target), target).drop(target)
     if prefix:
         rows = rows.select(ID, *prefix, "label")
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, va = split_rows(rows, ID, 0.2, 42)
-    return plan, tr, va
+    with kept(rows) as held:
+        tr, va = split_rows(held, ID, 0.2, 42)
+        yield plan, tr, va
 
 
 # One feature: every penalty has a closed form. soft() is the soft threshold.
@@ -171,11 +175,11 @@ SELECT model, round(avg(abs(saving - my - b * (quantity - mx))), 3) AS mae, roun
 FROM s, soft, b WHERE valid GROUP BY model""")
 def train_linear_family(spark, sf):
     """T17 over the linear family, each by its own alpha."""
-    plan, tr, va = _prepared(spark, sf, _one_cfg("linear"))
     ls = {t: learners.create_learner({"type": t, "params": p}) for t, p in [
         ("linear", {}), ("ridge", {"alpha": 100000.0}), ("lasso", {"alpha": 50.0}),
         ("elasticnet", {"alpha": 50.0, "l1_ratio": 0.5})]}
-    table_ = train.compare_models(spark, tr, va, plan.stages, ls)
+    with _prepared(spark, sf, _one_cfg("linear")) as (plan, tr, va):
+        table_ = train.compare_models(spark, tr, va, plan.stages, ls)
     return table_.select("model", F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"))
 
 
@@ -184,12 +188,12 @@ def train_linear_family(spark, sf):
 def model_comparison(spark, sf):
     """Every learner explains some of the variance and no mean error exceeds the squared one's root."""
     cfg = _cfg("randomforest")
-    plan, tr, va = _prepared(spark, sf, cfg)
     ls = {"decisiontree": learners.create_learner({"type": "decisiontree", "params": {"max_depth": 5}}),
           "randomforest": learners.create_learner({"type": "randomforest", "params": {"n_estimators": 10}}),
           "gbt": learners.create_learner({"type": "xgboost", "params": {"n_estimators": 10, "max_depth": 3}}),
           "linear": learners.create_learner({"type": "linear"})}
-    table_ = train.compare_models(spark, tr, va, plan.stages, ls)
+    with _prepared(spark, sf, cfg) as (plan, tr, va):
+        table_ = train.compare_models(spark, tr, va, plan.stages, ls)
     return table_.select("model", (F.col("r2") > 0).alias("explains"), (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse"))
 
 
@@ -243,12 +247,12 @@ def random_search(spark, sf):
 def adaptive_search(spark, sf):
     """Distinct trials inside typed dimensions; the best of all is no worse than the best of the random start."""
     cfg = _one_cfg("decisiontree")
-    plan, tr, _ = _prepared(spark, sf, cfg)
     learner = learners.create_learner(cfg["model"])
-    folded = search.assign_folds(tr, ID, 3)
-    _, trials = search.adaptive_search(plan.pipeline(learner), learner,
-                                       {"max_depth": {"low": 2, "high": 8}, "min_samples_leaf": [1, 5, 20]},
-                                       folded, search.evaluator_for("neg_root_mean_squared_error"), n_trials=12, n_startup=4)
+    with _prepared(spark, sf, cfg) as (plan, tr, _):
+        folded = search.assign_folds(tr, ID, 3)
+        _, trials = search.adaptive_search(plan.pipeline(learner), learner,
+                                           {"max_depth": {"low": 2, "high": 8}, "min_samples_leaf": [1, 5, 20]},
+                                           folded, search.evaluator_for("neg_root_mean_squared_error"), n_trials=12, n_startup=4)
     depth = F.regexp_extract("params", r"'max_depth': (\d+)", 1).cast("int")
     return trials.agg(F.count("*").cast("int").alias("trials"), F.count_distinct("params").cast("int").alias("distinct_trials"),
                       (F.min("metric") <= F.min(F.when(F.col("trial") < 4, F.col("metric")))).alias("later_no_worse"),
@@ -271,8 +275,8 @@ PATH_SQL = f"""WITH {ONE_SQL}, p AS (SELECT alpha, sign(sxy) * greatest(abs(sxy)
 
 
 def _lasso_path(spark, sf):
-    plan, tr, _ = _prepared(spark, sf, _one_cfg("lasso"))
-    return train.coefficient_path(spark, tr, plan.stages, plan.feature_cols, ALPHAS)
+    with _prepared(spark, sf, _one_cfg("lasso")) as (plan, tr, _):
+        return train.coefficient_path(spark, tr, plan.stages, plan.feature_cols, ALPHAS)
 
 
 @q("coef_path", f"{PATH_SQL} SELECT CAST(alpha AS DOUBLE) AS alpha, 'quantity' AS feature, round(coef, 4) AS coef FROM p")
@@ -304,9 +308,9 @@ SELECT o_orderkey, o_totalprice, quantity, n_lines, c_acctbal, o_orderstatus, o_
 def score_batch(spark, sf):
     """Fit on the train split, save, load, score every order. All source columns come back as they were."""
     cfg = _linear_cfg()
-    plan, tr, _ = _prepared(spark, sf, cfg)
     path = _model_dir(spark, "model")
-    save_model(plan.pipeline(learners.create_learner(cfg["model"])).fit(tr), path)
+    with _prepared(spark, sf, cfg) as (plan, tr, _):
+        save_model(plan.pipeline(learners.create_learner(cfg["model"])).fit(tr), path)
     scored = score.score(load_model(path), _jobs(spark, sf).drop("saving"), cfg["data"])
     return scored.drop("Prediction_Timestamp").withColumn("Predicted_saving", F.round("Predicted_saving", 3))
 
@@ -333,9 +337,9 @@ def experiment_log(spark, sf):
 def training_history(spark, sf):
     """The loss on the training rows falls (or stays) with every boosting round."""
     cfg = _cfg("lightgbm", {"n_estimators": 12, "max_depth": 4})
-    plan, tr, _ = _prepared(spark, sf, cfg)
-    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
-    losses = learners.training_history(model, PipelineModel(model.stages[:-1]).transform(tr), "squared")
+    with _prepared(spark, sf, cfg) as (plan, tr, _):
+        model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+        losses = learners.training_history(model, PipelineModel(model.stages[:-1]).transform(tr), "squared")
     return spark.createDataFrame([(i + 1, "squared", i == 0 or v <= losses[i - 1] * (1 + 1e-9)) for i, v in enumerate(losses)],
                                  "iter int, metric string, no_worse boolean")
 
@@ -346,10 +350,10 @@ def classify_logistic(spark, sf):
     """T20 + G15: balanced class weights for a rare label (order has a return): the report's classes, supports and ranges."""
     cfg = _cfg("logistic", {"max_iter": 50}, task="classification", target="has_return",
                prep={"missing_strategy": "mean", "scale_features": True})
-    plan, tr, va = _prepared(spark, sf, cfg, "has_return")
-    tr = metrics.with_class_weights(tr, "label", "weight")
     learner = learners.create_learner(cfg["model"]).setWeightCol("weight")
-    report = metrics.classification_report(plan.pipeline(learner).fit(tr).transform(va), "label", "prediction")
+    with _prepared(spark, sf, cfg, "has_return") as (plan, tr, va):
+        model = plan.pipeline(learner).fit(metrics.with_class_weights(tr, "label", "weight"))
+    report = metrics.classification_report(model.transform(va), "label", "prediction")
     return report.withColumn("class", F.col("class").try_cast("double")).where("class is not null").select("class", F.col("support").cast("long").alias("support"),
                          (F.col("precision").between(0, 1) & F.col("recall").between(0, 1)).alias("in_range"))
 
