@@ -2,7 +2,7 @@
 
 Training is full-batch gradient descent with Adam. Per step, each partition
 computes the summed gradient of the squared loss on its rows in
-``mapInPandas`` (numpy, Arrow batches) and returns one row; the driver sums
+``mapInArrow`` (a batch's feature arrays are one numpy matrix) and returns one row; the driver sums
 P rows of n_params numbers and updates the weights. The cached input is read
 once per step. Scoring is native: each unit is a Spark expression over the
 feature array, so no Python runs at scoring time.
@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -52,11 +52,11 @@ def _grad_fn(theta_b, shapes, activation):
         layers = _unflatten(theta, shapes)
         grad = np.zeros_like(theta)
         loss, n = 0.0, 0
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.stack(pdf["x"].to_numpy())
-            y = pdf["y"].to_numpy(dtype=float)
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            y = batch.column("y").to_numpy(zero_copy_only=False)
             zs, acts = [], [x]
             for i, (w, b) in enumerate(layers):
                 z = acts[-1] @ w + b
@@ -73,7 +73,8 @@ def _grad_fn(theta_b, shapes, activation):
                     delta = (delta @ layers[i][0].T) * _act_grad(zs[i - 1], activation)
             flat = np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in reversed(parts)])
             grad += flat
-        yield pd.DataFrame({"g": [grad.tolist()], "loss": [loss], "n": [n]})
+        yield pa.RecordBatch.from_arrays([pa.array([grad.tolist()], pa.list_(pa.float64())), pa.array([loss], pa.float64()),
+                                          pa.array([n], pa.int64())], names=["g", "loss", "n"])
     return run
 
 
@@ -109,8 +110,8 @@ class MLPRegressor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         history = []
         for t in range(1, g(self.maxIter) + 1):
             tb = sc.broadcast(theta)
-            parts = data.mapInPandas(_grad_fn(tb, shapes, g(self.activation)),
-                                     "g array<double>, loss double, n long").collect()
+            parts = data.mapInArrow(_grad_fn(tb, shapes, g(self.activation)),
+                                    "g array<double>, loss double, n long").collect()
             tb.unpersist()
             n = sum(p["n"] for p in parts)
             grad = np.sum([np.asarray(p["g"]) for p in parts if p["n"]], axis=0) / max(n, 1) + alpha * theta

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ops
 from ..operators import metrics, prep, split, target
+from ..session import kept
 from ..sources.sinks import RunLog, load_model
 from . import learners, score, train
 from .features import plan_features, prepare_rows, route_columns, split_rows
@@ -132,8 +133,9 @@ def train_symlog_target(spark, sf):
     cfg = _linear_cfg()
     rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, va = split_rows(rows, ID, 0.2, 42)
-    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr.withColumn("label", ops.symlog("label")))
+    with kept(rows) as held:
+        tr, va = split_rows(held, ID, 0.2, 42)
+        model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr.withColumn("label", ops.symlog("label")))
     scored = model.transform(va).withColumn("prediction", ops.symexp("prediction"))
     return metrics.regression_metrics(scored, "label", "prediction").select(F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"))
 
@@ -184,9 +186,10 @@ def search_transformer_params(spark, sf):
                         handleInvalid="keep"),
         learner])
     grid = (ParamGridBuilder().addGrid(tiers.smoothing, [0.0, 10.0]).addGrid(learner.maxDepth, [3, 5]).build())
-    tr, _ = split_rows(rows, ID, 0.2, 42)
-    folded = assign_folds(tr, ID, 3)
-    _, table_ = cross_validate(pipe, grid, folded, evaluator_for("neg_root_mean_squared_error"), 2, 3)
+    with kept(rows) as held:
+        tr, _ = split_rows(held, ID, 0.2, 42)
+        folded = assign_folds(tr, ID, 3)
+        _, table_ = cross_validate(pipe, grid, folded, evaluator_for("neg_root_mean_squared_error"), 2, 3)
     return table_.select("candidate", "params", (F.col("metric") > 0).alias("positive"))
 
 
@@ -197,9 +200,10 @@ def mlp_regressor(spark, sf):
                prep={"missing_strategy": "mean", "scale_features": True})
     rows = prepare_rows(_jobs(spark, sf), "saving").withColumn("label", F.col("label") / 1000.0).drop("saving")
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, va = split_rows(rows, ID, 0.2, 42)
-    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
-    m = metrics.regression_metrics(model.transform(va), "label", "prediction").first()
+    with kept(rows) as held:
+        tr, va = split_rows(held, ID, 0.2, 42)
+        model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+        m = metrics.regression_metrics(model.transform(va), "label", "prediction").first()
     history = model.stages[-1].history
     return spark.createDataFrame([(history[-1] < history[0], m["r2"] > 0, m["mae"] <= m["rmse"])],
                                  "loss_falls boolean, explains boolean, mae_below_rmse boolean")
@@ -212,8 +216,9 @@ def score_probability(spark, sf):
     cfg = _cfg("randomforest", {"n_estimators": 10, "max_depth": 5}, task="classification", target="has_return")
     rows = prepare_rows(_jobs(spark, sf, "has_return"), "has_return").drop("has_return")
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, _ = split_rows(rows, ID, 0.2, 42)
-    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+    with kept(rows) as held:
+        tr, _ = split_rows(held, ID, 0.2, 42)
+        model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
     scored = score.score(model, _jobs(spark, sf, "has_return").drop("has_return"), keep=[ID], with_probability=True)
     p = F.col("Probability")
     return scored.select(ID, p.between(0, 1).alias("in_range"), ((p > 0.5).cast("double") == F.col("Predicted_Value")).alias("agrees"))
@@ -236,12 +241,13 @@ SELECT round(min(p), 3) AS min, round(max(p), 3) AS max, round(avg(p), 3) AS mea
 def prediction_summary(spark, sf):
     """G1 of the predictions: fit on the train split, score every order, summarise. Both names stand for this job."""
     cfg = _linear_cfg()
-    rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
-    plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, _ = split_rows(rows, ID, 0.2, 42)
-    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
-    scored = score.score(model, _jobs(spark, sf).drop("saving"), cfg["data"])
-    row = score.prediction_summary_row(scored, "Predicted_saving")
+    with kept(_jobs(spark, sf)) as jobs:
+        rows = prepare_rows(jobs, "saving").drop("saving")
+        plan = plan_features(rows.drop("label"), cfg, id_col=ID)
+        tr, _ = split_rows(rows, ID, 0.2, 42)
+        model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+        scored = score.score(model, jobs.drop("saving"), cfg["data"])
+        row = score.prediction_summary_row(scored, "Predicted_saving")
     return spark.createDataFrame([tuple(round(row[k], 3) for k in ("min", "max", "mean", "std"))], "min double, max double, mean double, std double")
 
 
@@ -265,8 +271,9 @@ def top_predictions(spark, sf):
     cfg = _linear_cfg()
     rows = prepare_rows(_jobs(spark, sf), "saving").drop("saving")
     plan = plan_features(rows.drop("label"), cfg, id_col=ID)
-    tr, _ = split_rows(rows, ID, 0.2, 42)
-    model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
+    with kept(rows) as held:
+        tr, _ = split_rows(held, ID, 0.2, 42)
+        model = plan.pipeline(learners.create_learner(cfg["model"])).fit(tr)
     scored = score.score(model, _jobs(spark, sf).drop("saving"), cfg["data"], keep=[ID])
     top = scored.orderBy(F.desc("Predicted_saving"), ID).limit(10)
     return top.select(ID, F.round("Predicted_saving", 3).alias("Predicted_saving"))
